@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosemill.llm.packing import pack_documents
-from prosemill.llm.runtime import table
+from prosemill.llm.quality import score_quality
+from prosemill.llm.runtime import in_fold, table
+from prosemill.llm.secrets import findings, scan_versions, written
 from prosemill.llm.simhash import simhash_groups
+from prosemill.llm.toxicity import score_toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -22,20 +25,49 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _verdicts(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of fold 0 of 5 are never learned from."""
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    scored = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), usable=~held_out)
+    return _verdicts(scored, held_out)
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place; ids_crc32 is of its little-endian ids."""
     packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, from a ledger that starts empty."""
+    found = findings(*scan_versions(table(spark, sf_dir, "documents")))
+    base = found.withColumn("base", F.filter("found", lambda s: s["base"]))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return base.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of fold 1 of 3 are never learned from."""
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), usable=~held_out)
+    return _verdicts(scored, held_out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_harmonic_packing, op8_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op6_secret_scan, op8_simhash_near_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
