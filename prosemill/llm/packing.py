@@ -18,11 +18,13 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 _ROWS = 4096
 
 
@@ -102,9 +104,10 @@ class _Bins:
             if pieces:
                 self._close(pieces)
 
-    def take(self) -> pd.DataFrame:
+    def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
-        return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+        columns = list(zip(*rows, strict=True)) or [[]] * len(NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "ids" else pa.int64()) for n, c in zip(NAMES, columns, strict=True)], NAMES)
 
 
 def piece_lengths(total: int, capacity: int, cut: str) -> list[int]:
@@ -133,12 +136,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, c
     if cut not in ("reciprocal", "long") or capacity < 1 or cut == "reciprocal" and capacity & (capacity - 1):
         raise ValueError("cut is reciprocal (capacity: a power of two) or long")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = byte_bpe(tokenizer_path), np.array([end_id], dtype="<u4")
         bins = _Bins(capacity, TaskContext.get().partitionId())
-        for frame in batches:
-            for doc, text in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True):
-                doc = None if pd.isna(doc) else int(doc)
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids, start = np.append(encode(text or ""), end), 0
                 for n in piece_lengths(len(ids), capacity, cut):
                     bins.add((doc, start, ids[start : start + n], len(ids)))
@@ -148,4 +150,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, c
         bins.finish(cut == "reciprocal")
         yield bins.take()
 
-    return docs.select(id_col, text_col).mapInPandas(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)

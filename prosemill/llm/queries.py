@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosemill.llm.fingerprints import compare_neighbours
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.quality import score_quality
 from prosemill.llm.runtime import in_fold, table
@@ -42,6 +43,12 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_minhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like they are."""
+    compared = compare_neighbours(table(spark, sf_dir, "documents"))
+    return compared.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, from a ledger that starts empty."""
     found = findings(*scan_versions(table(spark, sf_dir, "documents")))
@@ -67,7 +74,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op6_secret_scan, op8_simhash_near_dedup, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op8_simhash_near_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
