@@ -14,6 +14,7 @@ from prosemill.llm.quality import score_quality
 from prosemill.llm.runtime import in_fold, table
 from prosemill.llm.secrets import findings, scan_versions, written
 from prosemill.llm.simhash import simhash_groups
+from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import score_toxicity
 
 
@@ -66,6 +67,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document stands in an earlier one too, by strings of 50 bytes."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"), 50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels of fold 1 of 3 are never learned from."""
     held_out = in_fold(F.col("doc_id"), 3, 1)
@@ -74,7 +81,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op8_simhash_near_dedup, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
