@@ -16,6 +16,7 @@ from prosemill.llm.secrets import findings, scan_versions, written
 from prosemill.llm.simhash import simhash_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import score_toxicity
+from prosemill.llm.vectors import link_vectors
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,6 +62,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors at cosine 0.9 or more."""
+    return link_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
@@ -81,7 +87,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
