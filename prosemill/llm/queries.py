@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from prosemill.llm.fingerprints import compare_neighbours
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.quality import score_quality
-from prosemill.llm.runtime import in_fold, table
+from prosemill.llm.runtime import checkpoint_root, in_fold, table
 from prosemill.llm.secrets import findings, scan_versions, written
 from prosemill.llm.simhash import simhash_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import score_toxicity
 from prosemill.llm.vectors import link_vectors
+from prosemill.llm.warc import arc_to_warc, base32, http_number, pages_to_arc, read_warc, with_revisits, write_warc
 
 
 def tokenizer_file(name: str) -> str:
@@ -45,6 +47,20 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as legacy archives, converted, written as WARC with revisits, and read back."""
+    records = arc_to_warc(pages_to_arc(table(spark, sf_dir, "pages")))
+    path = f"{checkpoint_root(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(with_revisits(records.withColumn("page_id", http_number("X-Page-Id")), "page_id"), path)
+    back = read_warc(spark, path).filter(F.col("warc_type").isin("response", "revisit"))
+    payload_sha = F.expr("unhex(sha1(payload))")
+    full = F.when(F.col("payload").isNotNull(), base32(payload_sha)).otherwise(F.col("declared_digest"))
+    rows = back.select("record_id", "warc_type", "refers_to", http_number("X-Page-Id").alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), http_number("Content-Length")).alias("payload_bytes"), full.alias("payload_digest"))
+    responses = rows.filter("warc_type = 'response'").select(F.col("record_id").alias("of"), F.col("page_id").alias("of_page"))
+    joined = rows.join(responses, F.col("refers_to") == F.col("of"), "left")
+    return joined.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.col("of_page").alias("refers_to"))
+
+
 def op5_minhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how like they are."""
     compared = compare_neighbours(table(spark, sf_dir, "documents"))
@@ -87,7 +103,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op4_arc_to_warc, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
