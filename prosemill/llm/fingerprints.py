@@ -23,7 +23,7 @@ from prosemill.llm.runtime import partitions
 
 BINS, BITS, WORDS = 512, 4, 5
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _FEW = 64
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -198,7 +198,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         return pd.Series([[r, before[r]] if (None if none else i) == top[r] else [r] for r, i, none in rows], dtype=object)
 
     dealt = docs.select("doc_id", "text", F.posexplode(places(*_id_columns())).alias("ahead", "part"))
-    return dealt.repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    return dealt.repartition(number, "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 
 SCHEMA = "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -214,7 +214,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None,
                 out.append((held[1], held[2], text))
                 size += len(held[2]) + len(text)
             held = None if ahead else (part, doc, text)
-            if size >= 4 * _CHUNK or len(out) >= 4096:
+            if size >= 8 * _CHUNK or len(out) >= 4096:
                 yield out
                 out, size = [], 0
     if out:
