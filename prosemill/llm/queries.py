@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from prosemill.llm.fingerprints import compare_neighbours
 from prosemill.llm.packing import pack_documents
+from prosemill.llm.pieces import decode_pieces, encode_pieces
 from prosemill.llm.quality import score_quality
 from prosemill.llm.runtime import checkpoint_root, in_fold, table
 from prosemill.llm.secrets import findings, scan_versions, written
@@ -47,6 +48,13 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, and whether they decode to it."""
+    docs, model = table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")
+    decoded = decode_pieces(encode_pieces(docs, model), model)
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as legacy archives, converted, written as WARC with revisits, and read back."""
     records = arc_to_warc(pages_to_arc(table(spark, sf_dir, "pages")))
@@ -103,7 +111,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op4_arc_to_warc, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op3_piece_viterbi, op4_arc_to_warc, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
