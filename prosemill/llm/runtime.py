@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,3 +39,13 @@ def partitions(spark: SparkSession) -> int:
 def in_fold(id_col: Column, folds: int, fold: int) -> Column:
     """True where crc32(id as text) mod folds is fold; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def release() -> None:
+    """Give freed memory of a Python worker back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()

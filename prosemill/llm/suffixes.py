@@ -33,14 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from prosemill.llm.runtime import cut, partitions
+from prosemill.llm.runtime import cut, partitions, release
 
 ANCHOR, HALF = 16, 32
-_SEGMENT = 1 << 20
-_ROOM = 1 << 21
-_FLUSH = 1 << 20
-_BUCKET_BYTES = 32 << 20
+_SEGMENT = 1 << 18
+_ROOM = 1 << 19
+_FLUSH = 1 << 19
+_BUCKET_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 #: Id of rows without one: such documents come after all others.
@@ -153,7 +154,7 @@ def anchors(raw: Sequence[bytes], length: int) -> Iterator[_Rows]:
             return np.where(inside, np.maximum(value, _U(1)), _U(0)).astype(np.uint16)
 
         yield _Rows(
-            v=rank[a],
+            v=_mix(rank[a]),  # least hashes are small; buckets ask for even ones
             r=_mix(hashes.of(start, start + count + length - 1) + reach.astype(np.uint64)),
             left=beside(a - side, a),
             right=beside(a + ANCHOR, a + ANCHOR + side),
@@ -256,6 +257,7 @@ class _Sender:
                     which = order[limits[b] : limits[b + 1]]
                     yield b, _pack(rows.take(which), covered[which], keys)
         self.rows, self.keys, self.size, self.docs = [], [], 0, 0
+        release()
 
 
 def _sent(blobs: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -306,18 +308,12 @@ def _ranked(sent: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 17)]) for c in columns], ["key", "text_hash", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held = None, []
-        for batch in batches:
-            for b, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if b != bucket and held:
-                    yield from emit(held)
-                    held = []
-                bucket = b
-                held.append(blob.as_py())
+        held = [blob for batch in batches for blob in batch.column(1).to_pylist()]
         if held:
             yield from emit(held)
+        release()
 
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "key long, text_hash long, place long")
+    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "key long, text_hash long, place long")
 
 
 def _windows(text: bytes, places: np.ndarray, length: int) -> _Rows:
@@ -337,6 +333,10 @@ def _windows(text: bytes, places: np.ndarray, length: int) -> _Rows:
     return _Rows(v=v, r=r, left=none, right=none, doc=np.zeros(len(p), np.int64), start=p, count=np.ones(len(p), np.uint8), reach=np.zeros(len(p), np.uint8))
 
 
+def _fields(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
 def removed_mask(size: int, places: np.ndarray, length: int) -> np.ndarray:
     """True for the bytes that covered runs take."""
     edge = np.zeros(size + 1, np.int64)
@@ -346,21 +346,32 @@ def removed_mask(size: int, places: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(edge[:size]) > 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_bytes, n_removed, n_spans, kept): every row's text without the bytes that stand in an earlier document.
+def whole_characters(raw: bytes, mask: np.ndarray) -> np.ndarray:
+    """The mask of removed bytes, without the characters of which some bytes stay."""
+    begins = np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)
+    if not len(begins):
+        return mask
+    return np.repeat(np.logical_and.reduceat(mask, begins), np.diff(np.append(begins, len(raw))))
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", characters: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept, row): every row's text without the bytes that stand in an earlier document.
 
     A byte goes if a string of ``length`` bytes that covers it also starts in a
     document with a smaller id, judged on the input. kept holds the remaining
-    bytes, which may end inside a character. Null texts are empty; rows of one
-    id are one document and never take from each other; rows without an id
-    come after all others. text_hash is xxhash64 of the row's text (null as
-    empty). An empty table gives no rows. Other columns are not read.
+    bytes, which may end inside a character; with ``characters`` a character
+    goes only if all its bytes do, so kept is text. row holds the columns named
+    in ``carry``, whatever their names; others are not read. Null texts are
+    empty; rows of one id are one document and never take from each other;
+    rows without an id come after all others. An empty table gives no rows.
     """
     if not HALF <= length <= 2 * HALF:
         raise ValueError("two ranks of 32 bytes make windows of 32 to 64 bytes")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(F.coalesce("doc_id", F.lit(_LAST)).alias("key"), F.xxhash64("text").alias("text_hash"), "doc_id", F.col("text").cast("binary").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(True).alias("none")])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), row.alias("row")).select(F.coalesce("doc_id", F.lit(_LAST)).alias("key"), F.xxhash64("text").alias("text_hash"), "doc_id", F.col("text").cast("binary").alias("text"), "row")
+    carried = T.StructField("row", rows.schema["row"].dataType)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(partitions(spark), ceil(total / _BUCKET_BYTES))
 
@@ -384,9 +395,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         for batch in batches:
             raw = batch.column(3).to_pylist()
             packed = [codec.compress(t, asbytes=True) if t else b"" for t in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([len(t) for t in raw], pa.int64()), pa.array(packed, pa.binary())], ["key", "text_hash", "doc_id", "n_bytes", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([len(t) for t in raw], pa.int64()), pa.array(packed, pa.binary()), batch.column(4)], ["key", "text_hash", "doc_id", "n_bytes", "packed", "row"])
 
-    packed = rows.mapInArrow(squeeze, "key long, text_hash long, doc_id long, n_bytes long, packed binary").repartition(buckets, "key", "text_hash")
+    packed = rows.mapInArrow(squeeze, _fields("key long, text_hash long, doc_id long, n_bytes long, packed binary").add(carried)).repartition(buckets, "key", "text_hash")
     go_on = F.col("place").bitwiseAND(15) != 0
 
     def of_doc(places: DataFrame) -> DataFrame:
@@ -403,7 +414,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                     yield from _sent(sender.flush())
         yield from _sent(sender.flush())
 
-    windows = packed.drop("doc_id").join(of_doc(ranked.filter(go_on)), ["key", "text_hash"]).select("key", "text_hash", "n_bytes", "packed", "places").mapInArrow(second, "bucket int, blob binary")
+    windows = packed.join(of_doc(ranked.filter(go_on)), ["key", "text_hash"]).select("key", "text_hash", "n_bytes", "packed", "places").mapInArrow(second, "bucket int, blob binary")
     covered = ranked.filter(~go_on).unionByName(_ranked(windows, buckets))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,6 +425,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                 raw = codec.decompress(packed, n, asbytes=True) if n else b""
                 if places:
                     mask = removed_mask(n, np.array(places), length)
+                    if characters:
+                        mask = whole_characters(raw, mask)
                     gone.append(int(mask.sum()))
                     spans.append(int((np.diff(mask.astype(np.int8), prepend=0) == 1).sum()))
                     raw = np.frombuffer(raw, np.uint8)[~mask].tobytes()
@@ -421,8 +434,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                     gone.append(0)
                     spans.append(0)
                 kept.append(raw)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), batch.column("n_bytes"), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()), batch.column("row")], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "row"])
 
     whole = packed.join(of_doc(covered), ["key", "text_hash"], "left")
-    return whole.select("doc_id", "text_hash", "n_bytes", "packed", "places").mapInArrow(finish, "doc_id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return whole.select("doc_id", "n_bytes", "packed", "places", "row").mapInArrow(finish, _fields("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add(carried))
 
