@@ -13,13 +13,13 @@ from prosemill.llm.fingerprints import compare_neighbours
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.pieces import decode_pieces, encode_pieces
 from prosemill.llm.quality import score_quality
-from prosemill.llm.runtime import checkpoint_root, in_fold, table
+from prosemill.llm.runtime import checkpoint_root, cut, in_fold, table
 from prosemill.llm.secrets import findings, scan_versions, written
 from prosemill.llm.simhash import simhash_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import score_toxicity
 from prosemill.llm.vectors import link_vectors
-from prosemill.llm.warc import arc_to_warc, base32, http_number, pages_to_arc, read_warc, with_revisits, write_warc
+from prosemill.llm.warc import arc_to_warc, http_number, pages_to_arc, read_warc, with_revisits, write_warc
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,9 +61,8 @@ def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(with_revisits(records.withColumn("page_id", http_number("X-Page-Id")), "page_id"), path)
     back = read_warc(spark, path).filter(F.col("warc_type").isin("response", "revisit"))
-    payload_sha = F.expr("unhex(sha1(payload))")
-    full = F.when(F.col("payload").isNotNull(), base32(payload_sha)).otherwise(F.col("declared_digest"))
-    rows = back.select("record_id", "warc_type", "refers_to", http_number("X-Page-Id").alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), http_number("Content-Length")).alias("payload_bytes"), full.alias("payload_digest"))
+    full = F.coalesce("payload_digest", "declared_digest")
+    rows = cut(back.select("record_id", "warc_type", "refers_to", http_number("X-Page-Id").alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), http_number("Content-Length")).alias("payload_bytes"), full.alias("payload_digest")))
     responses = rows.filter("warc_type = 'response'").select(F.col("record_id").alias("of"), F.col("page_id").alias("of_page"))
     joined = rows.join(responses, F.col("refers_to") == F.col("of"), "left")
     return joined.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.col("of_page").alias("refers_to"))

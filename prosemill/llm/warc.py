@@ -223,11 +223,11 @@ def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], byte
         yield headers, stream.read(int(headers["content-length"]))
 
 
-WARC = "record_id string, warc_type string, target_uri string, warc_date string, refers_to string, declared_digest string, head binary, payload binary"
+WARC = "record_id string, warc_type string, target_uri string, warc_date string, refers_to string, declared_digest string, payload_digest string, head binary, payload binary"
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the archives under path; payload is null in a revisit."""
+    """A row for each record of the archives under path; in a revisit payload and payload_digest are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +236,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 for h, block in parse_warc(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
                     head, payload = split_http(block)
                     kind = h["warc-type"]
-                    rows.append((h["warc-record-id"], kind, h.get("warc-target-uri"), h.get("warc-date"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, head, None if kind == "revisit" else payload))
+                    rows.append((h["warc-record-id"], kind, h.get("warc-target-uri"), h.get("warc-date"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, *((None, head, None) if kind == "revisit" else (digest(payload), head, payload))))
                     size += len(block)
                     if size >= 1 << 22:
                         yield _batch(rows, WARC)
@@ -281,13 +281,6 @@ def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     return pages.select(F.col(id_col).cast("long"), F.col(url_col), F.col(html_col)).mapInArrow(run, "name string, content binary")
 
 
-def base32(data: Column) -> Column:
-    """Upper-case base32 of 20 bytes (a SHA-1), in column functions: five bits a letter."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(F.hex(data), 1 + 5 * i, 5), 16, 2), 20, "0") for i in range(8)])
-    letter = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(F.substring(bits, 5 * i + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)))
-    return F.array_join(letter, "")
-
-
 def http_number(name: str, head: str = "head") -> Column:
     """A whole-number header field of an HTTP head, or null."""
     return F.expr(f"try_cast(nullif(regexp_extract(decode({head}, 'ISO-8859-1'), '(?im)^{name}: *(-?[0-9]+)', 1), '') as bigint)")
