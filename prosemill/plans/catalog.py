@@ -1,11 +1,649 @@
-"""Registry of the engine's queries and of their SQL equivalents."""
+"""Registry of the engine's queries.
+
+``documents`` stand for verbatim draws, ``labels`` for outside verdicts,
+``conversations`` for pieces in order, ``embeddings`` for frozen vectors and
+``benchmark`` for held-out passages. Votes, replies, draws and log-probabilities
+come from outside models, so the queries derive small tables of them from ids.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from prosemill.functions import gates as G
+from prosemill.functions import labels as L
+from prosemill.functions import patterns as P
+from prosemill.functions import text as T
+from prosemill.functions.strip import stripped
+from prosemill.functions.vocab import ENERGIES, TAGS, WORLDS
+from prosemill.operators import acceptance, audit, census, corpus, merge, rank, sampling
+from prosemill.operators import labels as votes
+from prosemill.plans.oracle import ORACLE
+from prosemill.sources import records
+from prosemill.streaming import ingest
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", *columns, F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _tokens(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    docs = _docs(spark, sf_dir, *columns).withColumn("words", T.tokens(F.col("text")))
+    return docs.withColumn("g8", T.ngrams(F.col("words"), 8)).withColumn("g6", T.ngrams(F.col("words"), 6))
+
+
+def _count(c: Column, name: str) -> Column:
+    return F.count_if(c).cast("long").alias(name)
+
+
+_N = F.size
+LOOP = lambda: T.repeats(F.slice("g8", F.lit(1), F.greatest(F.size("g8") - 1, F.lit(0))))
+LOOPISH = lambda: (F.size("g6") > 2) & F.coalesce(F.try_divide(F.size(F.array_distinct("g6")).cast("double"), F.size("g6").cast("double")) < 0.85, F.lit(False))
+
+
+# --- text and gates ---------------------------------------------------------------
+
+
+@query
+def gate_profile_by_lang(spark, sf_dir):
+    rows = _tokens(spark, sf_dir, "lang").withColumn("n", F.size("words")).withColumn("k", T.content_key(F.col("text")))
+    return rows.groupBy("lang").agg(
+        F.count("*").alias("n_docs"),
+        _count(F.col("n").between(40, 240), "n_band_240"),
+        _count(F.col("n").between(40, 700), "n_band_700"),
+        _count(LOOP(), "n_loop"),
+        _count(T.repeats(F.col("g8")), "n_echo"),
+        _count((F.col("n") >= 8) & LOOPISH(), "n_loopish"),
+        F.count_distinct("k").alias("n_keys"),
+    )
+
+
+@query
+def word_counts(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.size(T.tokens(F.col("text"))).cast("long").alias("n_tok"))
+
+
+@query
+def content_keys(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.content_key(F.col("text")).alias("k"))
+
+
+@query
+def first_n_words(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.first_words(F.col("text"), 110).alias("head"))
+
+
+@query
+def ws_normalize(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.md5(T.normalise(F.col("text"))).alias("norm_md5"))
+
+
+@query
+def sentence_split(spark, sf_dir):
+    parts = _docs(spark, sf_dir).withColumn("s", T.sentences(F.col("text")))
+    return parts.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.size(acceptance.eligible(F.col("s"))).cast("long").alias("n_eligible"))
+
+
+@query
+def length_gate(spark, sf_dir):
+    n = F.size(T.tokens(F.col("text")))
+    ok = n.between(40, 240)
+    return _docs(spark, sf_dir).select("doc_id", ok.alias("in_band"), (ok & ((n < 55) | (n > 225))).alias("len_edge"))
+
+
+@query
+def loop_gate(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("doc_id", LOOP().alias("loop"))
+
+
+@query
+def echo_flag(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("doc_id", T.repeats(F.col("g8")).alias("echo"))
+
+
+@query
+def loopish_flag(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("doc_id", ((F.size("words") >= 8) & LOOPISH()).alias("loopish"))
+
+
+@query
+def english_gate(spark, sf_dir):
+    rows = _docs(spark, sf_dir).withColumn("foreign", G.foreign_letters(F.col("text"))).withColumn("share", G.function_share(F.col("text")))
+    wide = F.col("foreign") > F.greatest(F.lit(8.0), F.length("text") * 0.01)
+    return rows.select("doc_id", (~wide & ((F.col("foreign") > 0) | (F.coalesce("share", F.lit(0.0)) >= 0.15))).alias("english"), (~wide & (F.col("foreign") > 0)).alias("diacritics"), F.bround("share", 6).alias("function_share"))
+
+
+@query
+def cohesion(spark, sf_dir):
+    rows = _docs(spark, sf_dir).withColumn("stems", G.sentence_stems(F.col("text")))
+    return rows.select("doc_id", F.bround(G.cohesion(F.col("stems")), 6).alias("cohesion"))
+
+
+@query
+def stem_sets(spark, sf_dir):
+    rows = _docs(spark, sf_dir).withColumn("stems", G.sentence_stems(F.col("text")))
+    return rows.select("doc_id", F.size(F.array_distinct(F.flatten("stems"))).cast("long").alias("n_stems"))
+
+
+@query
+def ends_flag(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.ends(T.normalise(F.col("text"))).alias("ends"))
+
+
+@query
+def quote_strip(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.md5(T.without_quotes(F.col("text"))).alias("bare_md5"))
+
+
+@query
+def format_gate(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.col("text").rlike(P.java(P.FORMAT, "iu")).alias("format"))
+
+
+@query
+def define_gate(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.col("text").rlike(P.java(P.DEFINE, "iu")).alias("define"))
+
+
+@query
+def template_gate(spark, sf_dir):
+    text = F.col("text")
+    return _docs(spark, sf_dir).select("doc_id", (text.rlike(P.java(P.TEMPLATE_LABEL)) | text.rlike(P.java(P.TEMPLATE_HEAD))).alias("template"))
+
+
+@query
+def outline_gate(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", G.outline(T.normalise(F.col("text")), F.col("text")).alias("outline"))
+
+
+@query
+def screenplay_gate(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", (F.regexp_count("text", F.lit(P.java(P.SPEAKER))) >= 2).alias("screenplay"))
+
+
+@query
+def meta_gate(spark, sf_dir):
+    """Half the documents with a line of speech about the story before them."""
+    led = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("The story follows a man named Arlo. "), F.col("text"))).otherwise(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", G.meta(T.normalise(led)).alias("meta"))
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _docs(spark, sf_dir, "source").withColumn("norm", T.normalise(F.col("text")))
+    return G.with_gates(rows, "norm", "text")
+
+
+@query
+def verdicts(spark, sf_dir):
+    hard = F.filter("hard", lambda g: g != "meta")
+    return _gated(spark, sf_dir).select("doc_id", F.array_join(hard, ",").alias("gates"), F.array_join("soft", ",").alias("review"), F.when(F.size(hard) > 0, "failed").otherwise("pass").alias("verdict"))
+
+
+@query
+def failure_census(spark, sf_dir):
+    rejects = _gated(spark, sf_dir).withColumn("gates", F.filter("hard", lambda g: g != "meta")).filter(F.size("gates") > 0).withColumn("stop", F.lit("stop"))
+    return corpus.failure_census(rejects)
+
+
+# --- strip, repair and build ---------------------------------------------------------
+
+
+def _wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents behind wrappers of kinds that depend on the id."""
+    lead = F.when(F.col("doc_id") % 4 == 0, "**The Long Road**\nBy A. Writer\n\n").when(F.col("doc_id") % 4 == 1, "Title: The Long Road\nGenre: Drama\n\n").when(F.col("doc_id") % 4 == 2, "Chapter 1: The Road\n").otherwise("")
+    return _docs(spark, sf_dir, "source").withColumn("text", F.concat(lead, F.col("text")))
+
+
+@query
+def style_strip(spark, sf_dir):
+    rows = _wrapped(spark, sf_dir).withColumn("s", stripped(F.col("text")))
+    return rows.select("doc_id", F.md5("s.prose").alias("prose_md5"), F.col("s.cuts").cast("long").alias("cuts"), F.col("s.echo_cuts").cast("long").alias("echo_cuts"))
+
+
+@query
+def restrip(spark, sf_dir):
+    rows = _wrapped(spark, sf_dir).select("doc_id", F.col("source").alias("genre"), F.lit(None).cast("string").alias("raw"), "text", F.lit("pass").alias("verdict"))
+    return corpus.repair(rows).select("doc_id", "verdict", F.array_join("gates", ",").alias("gates"), F.array_join("review", ",").alias("review"), "changed")
+
+
+def _draws(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Five draws a leaf out of the documents; a leaf for each five ids."""
+    docs = _wrapped(spark, sf_dir)
+    draws = docs.select(F.floor(F.col("doc_id") / 5).alias("idx"), (F.col("doc_id") % 5).alias("att"), "text", F.when(F.col("doc_id") % 11 == 0, "length").otherwise("stop").alias("stop"))
+    leaves = draws.select("idx").distinct().select("idx", F.format_string("leaf %d", "idx").alias("n"), F.format_string("parent %d", F.floor(F.col("idx") / 10)).alias("p"))
+    return leaves, draws
+
+
+@query
+def build_corpus(spark, sf_dir):
+    rows, _ = corpus.build(*_draws(spark, sf_dir), config=corpus.BuildConfig(attempts=4))
+    return rows.select("idx", "genre", "att", "draws", "k", "verdict", "n_tok", "ends")
+
+
+@query
+def build_rejects(spark, sf_dir):
+    _, rows = corpus.build(*_draws(spark, sf_dir), config=corpus.BuildConfig(attempts=4))
+    return rows.select("idx", "att", "k", "verdict", F.array_join("gates", ",").alias("gates"))
+
+
+@query
+def patch_dead_leaves(spark, sf_dir):
+    leaves, draws = _draws(spark, sf_dir)
+    rows, _ = corpus.build(leaves, draws, config=corpus.BuildConfig(attempts=4))
+    dead = rows.filter("verdict = 'exhausted'").select(F.col("genre").alias("n"))
+    return corpus.patch(leaves, dead, draws, rows, corpus.BuildConfig(first_attempt=4, attempts=1)).select("idx", "genre", "draws", "verdict", "k")
+
+
+@query
+def corpus_yields(spark, sf_dir):
+    rows, _ = corpus.build(*_draws(spark, sf_dir), config=corpus.BuildConfig(attempts=4))
+    return corpus.yields(rows)
+
+
+@query
+def audit_corpus(spark, sf_dir):
+    rows, _ = corpus.build(*_draws(spark, sf_dir), config=corpus.BuildConfig(attempts=4))
+    return audit.audit(rows)
+
+
+@query
+def prompts_and_seeds(spark, sf_dir):
+    rows = _docs(spark, sf_dir, "source", "lang")
+    leaf = F.when(F.col("doc_id") % 3 == 0, F.col("source")).otherwise(F.col("lang"))
+    return rows.select("doc_id", corpus.prompt(leaf, F.col("source")).alias("prompt"), corpus.seed(F.col("doc_id"), F.col("doc_id") % 60).alias("seed"))
+
+
+@query
+def short_draw_replacement(spark, sf_dir):
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("idx"), F.lit(0).cast("long").alias("att"), "text", F.lit("stop").alias("stop"))
+    second = docs.withColumn("text", F.concat(F.lit("again "), F.col("text"))).withColumn("stop", F.lit("length"))
+    return corpus.replace_short(docs, second).select("idx", F.md5("text").alias("text_md5"), "stop")
+
+
+@query
+def first_wins_dedup(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", T.content_key(F.col("text")).alias("k"), F.lit("pass").alias("verdict"))
+    return corpus.first_wins(rows, "k", "doc_id")
+
+
+@query
+def dupe_surplus(spark, sf_dir):
+    keys = _docs(spark, sf_dir).select(T.content_key(F.col("text")).alias("k"))
+    return keys.agg((F.count("*") - F.count_distinct("k")).alias("surplus"))
+
+
+@query
+def running_ships(spark, sf_dir):
+    """Shipped rows before each row, by ranges of the id."""
+    rows = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return sampling.running_total(rows, "doc_id", F.col("quality").cast("long"), "shipped_before").select("doc_id", F.col("shipped_before").cast("long").alias("shipped_before"))
+
+
+# --- joins and sets --------------------------------------------------------------------
+
+
+@query
+def resume_anti(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+@query
+def labelled_semi(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+
+
+@query
+def labelled_left(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "lang", "quality", "toxic")
+
+
+@query
+def labelled_inner_sorted(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "n_chars", "quality").orderBy("doc_id")
+
+
+@query
+def coverage_check(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return merge.coverage(docs, labels.filter("quality = 1"), labels.filter("quality = 0"), "doc_id")
+
+
+@query
+def gate_merge(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    rows = labels.select(F.col("doc_id").alias("k"), F.lit("old").alias("gate_decision"))
+    results = labels.filter("quality = 1").select(F.col("doc_id").alias("k"), F.lit("PASS").alias("gate_decision"), F.lit(1.0).alias("gate_score"), F.array(F.lit("a")).alias("gate_fails"), F.array().cast("array<string>").alias("gate_defaulted"))
+    merged = merge.merge_gates(rows, results, labels.filter("quality = 0").select(F.col("doc_id").alias("k")))
+    return merged.select("k", "gate_decision", "gate_score", F.array_join("gate_fails", ",").alias("gate_fails"))
+
+
+@query
+def duplicate_texts(spark, sf_dir):
+    return merge.duplicate_keys(_docs(spark, sf_dir).select(T.content_key(F.col("text")).alias("k")))
+
+
+@query
+def overlay_latest(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    newer = labels.filter("doc_id % 3 = 0").select("doc_id", (1 - F.col("quality")).alias("quality"))
+    return merge.overlay(labels, newer, key="doc_id")
+
+
+@query
+def source_union(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.length("text").cast("long").alias("n"), F.lit("documents").alias("src"))
+    gold = table(spark, sf_dir, "benchmark").select(F.length("text").cast("long").alias("n"), F.lit("benchmark").alias("src"))
+    return audit.tally(docs.unionByName(gold), "src")
+
+
+@query
+def content_fingerprints(spark, sf_dir):
+    before = _docs(spark, sf_dir, "lang").withColumnRenamed("doc_id", "k")
+    after = before.withColumn("lang", F.when(F.col("k") % 10 == 0, "xx").otherwise(F.col("lang")))
+    return merge.content_changes(before, after)
+
+
+@query
+def taxonomy_leaves(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.sort_array(F.collect_set(F.concat(F.lit("lang "), "lang"))).alias("subgenres"), F.min("doc_id").alias("pos"))
+    return records.taxonomy_leaves(rows.select(F.col("source").alias("genre"), "subgenres", "pos"))
+
+
+@query
+def taxonomy_names(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.collect_set("lang").alias("subgenres"))
+    return records.taxonomy_names(rows.select(F.col("source").alias("genre"), "subgenres"))
+
+
+# --- labels ------------------------------------------------------------------------------
+
+
+def _votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three passes of votes on the labelled documents, by arithmetic on the ids; some are invalid."""
+    worlds, energies, tags = (F.array(*[F.lit(x) for x in xs]) for xs in ([*WORLDS, "?"], ENERGIES, TAGS))
+    ids = table(spark, sf_dir, "labels").select("doc_id", F.explode(F.array(*[F.lit(p) for p in (1, 2, 3)])).alias("pass"))
+    d, p = F.col("doc_id"), F.col("pass")
+    mod = lambda c, n: F.pmod(c, F.lit(n)).cast("int")
+    return ids.select(
+        F.format_string("%d", d).alias("k"),
+        "pass",
+        F.get(worlds, mod(d * 7 + p * (d % 3) * 2, 5)).alias("world"),
+        F.get(energies, mod(d + p * (d % 4), 2)).alias("energy"),
+        F.array(F.get(tags, mod(d, 5)), F.get(tags, mod(d + p, 5))).alias("tags"),
+    )
+
+
+@query
+def vote_majority(spark, sf_dir):
+    return votes.vote(_votes(spark, sf_dir)).select("k", "world", "energy", "confidence")
+
+
+@query
+def tag_quorum(spark, sf_dir):
+    return votes.vote(_votes(spark, sf_dir)).select("k", F.array_join("tags", ",").alias("tags"))
+
+
+@query
+def vote_confidence(spark, sf_dir):
+    return audit.tally(votes.vote(_votes(spark, sf_dir)), "confidence")
+
+
+@query
+def sweep_missing(spark, sf_dir):
+    rows = table(spark, sf_dir, "labels").select(F.format_string("%d", "doc_id").alias("k"))
+    return votes.still_missing(rows, _votes(spark, sf_dir))
+
+
+@query
+def label_parse(spark, sf_dir):
+    kinds = F.array(*[F.lit(x) for x in ("WORLD: Fantasy & Supernatural\nENERGY: External\nTAGS: Horror, romance", "<think>hm</think>world - a **sci-fi** world\nenergy - love.\ntags - quest; noir; quest", "WORLD: none\nENERGY: external danger\nTAGS: n/a", "no slots at all")])
+    reply = F.get(kinds, F.pmod("doc_id", F.lit(4)).cast("int"))
+    rows = _docs(spark, sf_dir).select("doc_id", L.parse_reply(reply).alias("r"))
+    return rows.select("doc_id", "r.world", "r.energy", F.array_join("r.tags", ",").alias("tags"), "r.ok")
+
+
+@query
+def retokenise(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select(F.col("doc_id").alias("k"), F.size(T.tokens(F.col("text"))).cast("long").alias("n_tok"))
+    counts = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("k"), (F.col("doc_id") * 3).alias("n"))
+    return votes.retokenise(rows, counts).select("k", "n_tok", "n_word")
+
+
+# --- censuses -----------------------------------------------------------------------------
+
+
+@query
+def tic_census(spark, sf_dir):
+    return census.phrase_census(_docs(spark, sf_dir, "lang"), "lang")
+
+
+@query
+def distinct_ngrams(spark, sf_dir):
+    return census.diversity(_docs(spark, sf_dir, "lang"), "lang")
+
+
+@query
+def cross_doc_8gram_dup(spark, sf_dir):
+    return census.repeated_ngrams(_docs(spark, sf_dir), 8)
+
+
+@query
+def vocab_size(spark, sf_dir):
+    return census.vocabulary(_docs(spark, sf_dir, "lang"), "lang")
+
+
+@query
+def zlib_ratio(spark, sf_dir):
+    return census.compressed_bits(_docs(spark, sf_dir, "lang"), "lang", "doc_id")
+
+
+@query
+def benchmark_ngram_overlap(spark, sf_dir):
+    return census.held_out_overlap(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"), 8)
+
+
+@query
+def top_first_words(spark, sf_dir):
+    return audit.top_first_words(_docs(spark, sf_dir))
+
+
+@query
+def percentiles_by_source(spark, sf_dir):
+    return rank.percentiles(table(spark, sf_dir, "documents"), "source", "n_chars")
+
+
+@query
+def upper_median_by_source(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(T.upper_median(F.col("n_chars")).alias("median"))
+
+
+@query
+def conversation_join(spark, sf_dir):
+    return records.conversation_documents(table(spark, sf_dir, "conversations")).select("conv_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def usable_tally(spark, sf_dir):
+    rows = _gated(spark, sf_dir).withColumn("verdict", F.when(F.size(F.filter("hard", lambda g: g != "meta")) > 0, "failed").otherwise("pass"))
+    return audit.tally(rows.filter(F.col("verdict").isin("pass", "style")), "source")
+
+
+# --- samples -------------------------------------------------------------------------------
+
+
+@query
+def even_sample(spark, sf_dir):
+    return sampling.even_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 50)
+
+
+@query
+def shard_modulo(spark, sf_dir):
+    return sampling.shard(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 1, 4)
+
+
+@query
+def hash_shuffle_slice(spark, sf_dir):
+    return sampling.shuffled_slice(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 7, 20, 50)
+
+
+@query
+def stratified_folds(spark, sf_dir):
+    return sampling.folds(table(spark, sf_dir, "labels"), "doc_id", "quality")
+
+
+@query
+def sentence_sample(spark, sf_dir):
+    rows = _docs(spark, sf_dir).withColumn("e", acceptance.eligible(T.sentences(F.col("text")))).filter(F.size("e") > 0)
+    return rows.select("doc_id", sampling.pick_one(F.col("e"), 7, F.col("doc_id")).alias("sentence"))
+
+
+@query
+def sample_within_source(spark, sf_dir):
+    return sampling.sample_within(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 3, 7)
+
+
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("pos", "sentence")).filter(F.size(T.tokens(F.col("sentence"))) >= 5)
+
+
+@query
+def paragraph_chunks(spark, sf_dir):
+    return acceptance.paragraphs(_sentences(spark, sf_dir)).select("doc_id", "paragraph", F.md5("text").alias("text_md5"))
+
+
+@query
+def held_out_openings(spark, sf_dir):
+    gold = table(spark, sf_dir, "benchmark").select(F.explode(T.sentences(F.col("text"))).alias("sentence"))
+    return acceptance.without_held_out_openings(_sentences(spark, sf_dir), gold).groupBy("doc_id").agg(F.count("*").alias("n_kept"))
+
+
+@query
+def job_grid(spark, sf_dir):
+    gold = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("sentence_id"), "text")
+    numbered = sampling.with_position(gold, "sentence_id", "g").select("g", F.col("text").alias("sentence"))
+    openers = spark.createDataFrame([(0, "The town had"), (1, "By then the village")], "o long, opener string")
+    return sampling.job_grid(openers, 10, numbered).select("i", "opener", "repeat", F.md5("sentence1").alias("first_md5"), F.md5("sentence2").alias("second_md5"))
+
+
+@query
+def positive_verification(spark, sf_dir):
+    kind = F.when(F.col("doc_id") % 2 == 0, "cliche").otherwise("babble")
+    return _docs(spark, sf_dir).select("doc_id", acceptance.refusal(T.first_words(F.col("text"), acceptance.PARAGRAPH_WORDS), kind).alias("refusal"))
+
+
+@query
+def rewrite_acceptance(spark, sf_dir):
+    changed = F.regexp_replace("text", r"\bof the\b|\bthe\b", "a")
+    return _docs(spark, sf_dir).select("doc_id", acceptance.accepted_rewrite(F.col("text"), changed).alias("accepted"))
+
+
+# --- rankings and probes ---------------------------------------------------------------------
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+
+
+@query
+def auc_ranksum(spark, sf_dir):
+    return rank.auc(_scored(spark, sf_dir), "quality", "n_chars").select(F.bround("auc", 9).alias("auc"), rank.decision(F.col("auc")).alias("decision"))
+
+
+@query
+def spearman_probe(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("n_chars", F.octet_length("text").cast("long").alias("n_bytes"))
+    return rank.spearman(rows, "n_chars", "n_bytes").select(F.bround("rho", 6).alias("rho"))
+
+
+@query
+def judge_reduce(spark, sf_dir):
+    """Log-probabilities by arithmetic on the ids stand for the judge's."""
+    d = F.col("doc_id")
+    options = F.array(*[F.struct(F.lit(t).alias("token"), (-(F.pmod(d * m, F.lit(97)) + 1) / 10.0).alias("logprob")) for t, m in ((" G", 3), ("g", 5), ("S", 7), (" s ", 11), ("x", 13))])
+    tokens = table(spark, sf_dir, "documents").select("doc_id", F.explode(options).alias("o")).select("doc_id", "o.*")
+    return rank.judge_probability(tokens, "doc_id").select("doc_id", F.bround("p", 6).alias("p"))
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), (F.pmod(F.col("doc_id") * 37, F.lit(101)) / 101.0).alias("s"))
+
+
+@query
+def paired_wins(spark, sf_dir):
+    pairs = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("kf"), (F.col("doc_id") + 1).alias("kg"))
+    out = rank.paired_wins(pairs, _scores(spark, sf_dir))
+    return out.select("n", F.bround("win_rate", 6).alias("win_rate"), F.bround("median_margin", 6).alias("median_margin"))
+
+
+@query
+def flag_rate(spark, sf_dir):
+    rows = _scores(spark, sf_dir).select(F.when(F.col("k") % 9 != 0, F.col("s")).alias("score"))
+    out = rank.flag_rate(rows)
+    return out.select("n", "n_missing", F.bround("flag_rate", 6).alias("flag_rate"), F.bround("mean_score", 6).alias("mean_score"))
+
+
+@query
+def bootstrap_ci(spark, sf_dir):
+    rows = sampling.even_sample(_scores(spark, sf_dir), "k", 300)
+    return rank.bootstrap_interval(rows, "s", "k")
+
+
+@query
+def l2_normalize(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", rank.normalised(F.col("embedding")).alias("u"))
+    return rows.select("vec_id", F.bround(F.get("u", F.lit(0)), 6).alias("u0"), F.bround(F.aggregate("u", F.lit(0.0), lambda a, x: a + x), 6).alias("u_sum"))
+
+
+@query
+def embedding_label_mean(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("label", F.get(rank.normalised(F.col("embedding")), F.lit(0)).alias("u0"))
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.bround(F.avg("u0"), 6).alias("u0_mean"))
+
+
+@query
+def logreg_probe(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", (F.col("label") < 5).cast("int").alias("y"))
+    return rank.probe(rows, "vec_id", "embedding", "y", "logistic", 3)
+
+
+@query
+def distil_probe(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.get("embedding", F.lit(0)).cast("double").alias("s"))
+    return rank.distil(rows, "vec_id", "embedding", "s")
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Documents through the append log: the first row of each key, in the shared folder."""
+    root = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/prosemill-streams").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "documents").select("doc_id", "text").write.json(f"{root}/in")
+    rows = ingest.first_of_key(ingest.stream_lines(spark, f"{root}/in", table(spark, sf_dir, "documents").select("doc_id", "text").schema))
+    ingest.append_stream(rows.select("k"), f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("k")
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, sql in ORACLE.items() if name in _QUERIES}

@@ -1 +1 @@
-
+"""Streaming forms of the append-and-resume log."""
