@@ -84,9 +84,9 @@ def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = No
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     raw = text if raw_col is None else F.coalesce(F.col(raw_col), F.lit(""))
-    step = rows.withColumn("_t", F.struct(text.alias("text"), raw.alias("raw"), T.tokens(text).alias("words"), sentence_stems(text).alias("stems"), foreign_letters(text).alias("foreign"), function_share(text).alias("share")))
+    step = T.materialised(rows, "_t", text=text, raw=raw, words=T.tokens(text), stems=sentence_stems(text), foreign=foreign_letters(text), share=function_share(text))
     words = F.col("_t.words")
-    step = step.withColumn("_g", F.struct(T.ngrams(words, 8).alias("g8"), T.ngrams(words, 6).alias("g6"), cohesion(F.col("_t.stems")).alias("cohesion")))
+    step = T.materialised(step, "_g", g8=T.ngrams(words, 8), g6=T.ngrams(words, 6), cohesion=cohesion(F.col("_t.stems")))
     n, t, r = F.size(words), F.col("_t.text"), F.col("_t.raw")
     g8, g6 = F.col("_g.g8"), F.col("_g.g6")
     band = (n >= 40) & (n <= max_words)
@@ -119,7 +119,7 @@ def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = No
     def fired(gates: dict[str, Column]) -> Column:
         return F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in gates.items()]), lambda x: x.isNotNull())
 
-    return step.withColumn("hard", fired(hard)).withColumn("soft", fired(soft)).drop("_t", "_g")
+    return T.materialised(step, "_f", hard=fired(hard), soft=fired(soft)).select(*rows.columns, F.col("_f.hard").alias("hard"), F.col("_f.soft").alias("soft"))
 
 
 def verdict(hard: Column, prose: Column) -> Column:

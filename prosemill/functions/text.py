@@ -7,7 +7,7 @@ case over all letters and ``(?U)`` gives word boundaries over all letters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Every code point that separates words, for Java patterns.
@@ -19,6 +19,16 @@ TERMINAL = r"""[.!?…]["')\]]?$"""
 QUOTED = r'["“][^"”]*["”]'
 
 
+def materialised(rows: DataFrame, name: str, **columns: Column) -> DataFrame:
+    """rows with a struct of columns that are computed once.
+
+    Projections alone do not ensure that: the optimiser puts an expression in
+    the place of each use of it, also inside the functions of array elements.
+    Nothing is moved over an explode of one element.
+    """
+    return rows.select("*", F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias(name))
+
+
 def normalise(text: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
     return F.trim(F.regexp_replace(text, f"{WS}+", " "))

@@ -39,13 +39,19 @@ def distinct_share(words: Column, n: int) -> Column:
 
 
 def diversity(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame:
-    rows = docs.select(F.col(by), T.tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
-    return rows.select(by, distinct_share(F.col("w"), 2).alias("d2"), distinct_share(F.col("w"), 3).alias("d3")).groupBy(by).agg(F.bround(F.avg("d2"), 3).alias("distinct2"), F.bround(F.avg("d3"), 3).alias("distinct3"))
+    rows = T.materialised(docs, "_w", words=T.tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.select(by, distinct_share(F.col("_w.words"), 2).alias("d2"), distinct_share(F.col("_w.words"), 3).alias("d3")).groupBy(by).agg(F.bround(F.avg("d2"), 3).alias("distinct2"), F.bround(F.avg("d3"), 3).alias("distinct3"))
+
+
+def _own_grams(docs: DataFrame, n: int, text_col: str, *keep: str) -> DataFrame:
+    """Distinct n-grams g of each document."""
+    rows = T.materialised(docs, "_w", words=T.tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.select(*keep, F.explode(F.array_distinct(T.ngrams(F.col("_w.words"), n))).alias("g"))
 
 
 def repeated_ngrams(docs: DataFrame, n: int = 8, text_col: str = "text") -> DataFrame:
     """n-grams by document, distinct ones, and the repeated percentage; each document counts an n-gram once."""
-    grams = docs.select(F.explode(F.array_distinct(T.ngrams(T.tokens(F.coalesce(F.col(text_col), F.lit(""))), n))).alias("g"))
+    grams = _own_grams(docs, n, text_col)
     counted = grams.groupBy("g").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n_distinct"))
     return counted.select("total", "n_distinct", F.bround(F.try_divide(100.0 * (F.col("total") - F.col("n_distinct")), F.col("total")), 2).alias("repeated_pct"))
 
@@ -83,6 +89,6 @@ def compressed_bits(docs: DataFrame, by: str, order: str, text_col: str = "text"
 
 def held_out_overlap(docs: DataFrame, held_out: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shared): documents that share n-grams with held-out texts, and how many distinct ones."""
-    gold = held_out.select(F.explode(T.ngrams(T.tokens(F.col("text")), n)).alias("g")).distinct()
-    own = docs.select(id_col, F.explode(F.array_distinct(T.ngrams(T.tokens(F.coalesce(F.col(text_col), F.lit(""))), n))).alias("g"))
+    gold = _own_grams(held_out, n, "text").distinct()
+    own = _own_grams(docs, n, text_col, id_col)
     return own.join(gold, "g", "left_semi").groupBy(id_col).agg(F.count("*").alias("n_shared"))

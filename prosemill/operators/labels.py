@@ -32,7 +32,7 @@ def vote(votes: DataFrame) -> DataFrame:
     """(k, world, energy, tags, confidence) from the valid votes (k, pass, world, energy, tags) of each key."""
     ordered = F.array_sort(F.collect_list(F.struct("pass", "world", "energy", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"))))
     grouped = valid(votes).groupBy("k").agg(ordered.alias("v"))
-    world, energy = (majority(F.transform("v", lambda x, c=c: x[c])) for c in ("world", "energy"))
+    world, energy = majority(F.transform("v", lambda x: x["world"])), majority(F.transform("v", lambda x: x["energy"]))
     done = grouped.select("k", world.alias("w"), energy.alias("e"), tag_quorum(F.transform("v", lambda x: x["tags"])).alias("tags"))
     return done.select("k", F.col("w.value").alias("world"), F.col("e.value").alias("energy"), "tags", F.col("e.confidence").alias("confidence"))
 

@@ -44,15 +44,14 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def _tokens(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    docs = _docs(spark, sf_dir, *columns).withColumn("words", T.tokens(F.col("text")))
-    return docs.withColumn("g8", T.ngrams(F.col("words"), 8)).withColumn("g6", T.ngrams(F.col("words"), 6))
+    docs = T.materialised(_docs(spark, sf_dir, *columns), "w", words=T.tokens(F.col("text")))
+    return T.materialised(docs, "g", g8=T.ngrams(F.col("w.words"), 8), g6=T.ngrams(F.col("w.words"), 6)).select("*", "w.words", "g.g8", "g.g6")
 
 
 def _count(c: Column, name: str) -> Column:
     return F.count_if(c).cast("long").alias(name)
 
 
-_N = F.size
 LOOP = lambda: T.repeats(F.slice("g8", F.lit(1), F.greatest(F.size("g8") - 1, F.lit(0))))
 LOOPISH = lambda: (F.size("g6") > 2) & F.coalesce(F.try_divide(F.size(F.array_distinct("g6")).cast("double"), F.size("g6").cast("double")) < 0.85, F.lit(False))
 
@@ -131,8 +130,8 @@ def english_gate(spark, sf_dir):
 
 @query
 def cohesion(spark, sf_dir):
-    rows = _docs(spark, sf_dir).withColumn("stems", G.sentence_stems(F.col("text")))
-    return rows.select("doc_id", F.bround(G.cohesion(F.col("stems")), 6).alias("cohesion"))
+    rows = T.materialised(_docs(spark, sf_dir), "s", stems=G.sentence_stems(F.col("text")))
+    return rows.select("doc_id", F.bround(G.cohesion(F.col("s.stems")), 6).alias("cohesion"))
 
 
 @query
@@ -310,7 +309,8 @@ def labelled_semi(spark, sf_dir):
 
 @query
 def labelled_left(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "lang", "quality", "toxic")
+    joined = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return joined.select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
 
 
 @query
@@ -414,7 +414,7 @@ def sweep_missing(spark, sf_dir):
 def label_parse(spark, sf_dir):
     kinds = F.array(*[F.lit(x) for x in ("WORLD: Fantasy & Supernatural\nENERGY: External\nTAGS: Horror, romance", "<think>hm</think>world - a **sci-fi** world\nenergy - love.\ntags - quest; noir; quest", "WORLD: none\nENERGY: external danger\nTAGS: n/a", "no slots at all")])
     reply = F.get(kinds, F.pmod("doc_id", F.lit(4)).cast("int"))
-    rows = _docs(spark, sf_dir).select("doc_id", L.parse_reply(reply).alias("r"))
+    rows = T.materialised(_docs(spark, sf_dir), "p", r=L.parse_reply(reply)).select("doc_id", "p.r")
     return rows.select("doc_id", "r.world", "r.energy", F.array_join("r.tags", ",").alias("tags"), "r.ok")
 
 

@@ -187,7 +187,7 @@ ORACLE = {
     "running_ships": "SELECT doc_id, CAST(coalesce(sum(quality) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS shipped_before FROM labels",
     "resume_anti": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "labelled_semi": "SELECT doc_id, lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
-    "labelled_left": "SELECT d.doc_id, lang, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+    "labelled_left": "SELECT d.doc_id, lang, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "labelled_inner_sorted": "SELECT d.doc_id, n_chars, quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id ORDER BY d.doc_id",
     "coverage_check": """SELECT count(*) AS n_keys, count(*) FILTER (q IS NOT NULL) AS n_covered, count(*) FILTER (q IS NULL) AS n_uncovered, CAST(0 AS BIGINT) AS n_both,
         CAST(round_even(100.0 * count(*) FILTER (q IS NOT NULL)::DOUBLE / count(*)::DOUBLE, 2) AS DOUBLE) AS covered_pct

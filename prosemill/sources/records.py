@@ -9,19 +9,18 @@ from pyspark.sql.window import Window
 
 #: Canonical order of a corpus row's columns (fixed values); unknown ones follow.
 CORPUS_COLUMNS = ("k", "genre", "parent", "prompt", "text", "prose", "n_tok", "seed", "stop", "ends", "verdict", "draws", "att", "review", "gates", "world", "energy", "tags", "confidence", "gate_decision", "gate_score", "gate_fails", "gate_defaulted")
-CORPUS = T.StructType.fromDDL(
+CORPUS = (
     "k string, genre string, parent string, prompt string, text string, raw string, prose string, n_tok long, n_word long, seed long, stop string, ends boolean, verdict string, draws long, att long, "
     "review array<string>, gates array<string>, world string, energy string, tags array<string>, confidence string, gate_decision string, gate_score double, gate_fails array<string>, gate_defaulted array<string>"
 )
-LEAVES = T.StructType.fromDDL("idx long, n string, p string")
-DRAWS = T.StructType.fromDDL("idx long, att long, text string, stop string")
-VOTES = T.StructType.fromDDL("k string, world string, energy string, tags array<string>, raw string")
+LEAVES = "idx long, n string, p string"
+DRAWS = "idx long, att long, text string, stop string"
+VOTES = "k string, world string, energy string, tags array<string>, raw string"
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """Records of JSON-lines files with the file's name in ``source``. Blank lines and a torn last line are skipped."""
-    torn = T.StructField("_torn", T.StringType())
-    rows = spark.read.schema(T.StructType([*schema.fields, torn])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_torn").json(paths)
+    rows = spark.read.schema(f"{schema}, _torn string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_torn").json(paths)
     return rows.select("*", F.col("_metadata.file_name").alias("source")).filter("_torn is null").drop("_torn")
 
 
