@@ -56,13 +56,18 @@ def echo_kept(hit: Column) -> Column:
     return shape & (long | narrates)
 
 
-def meta(text: Column) -> Column:
-    """Opens with speech about a story, or of an assistant."""
+def lead_speech(text: Column) -> Column:
+    """Opens with speech of an assistant."""
+    return _starts(text, rf"\s*{P.LEAD_SPEECH}", "iu")
+
+
+def about_story(text: Column) -> Column:
+    """Opens with speech about a story."""
     opens = _starts(text, rf"\s*(?:{P.META_BODY})", "iu")
     sentence = F.regexp_extract(text, P.java(rf"\A\s*(?:{P.META_BODY})[^.!?]*[.!?]\s*", "ius"), 0)
     opener = F.regexp_extract(text, P.java(rf"\A\s*(?:{P.META_BODY})", "iu"), 0)
     hit = F.when(sentence != "", sentence).otherwise(opener)
-    return (opens & ~echo_kept(hit)) | _starts(text, rf"\s*{P.LEAD_SPEECH}", "iu")
+    return opens & ~echo_kept(hit)
 
 
 def outline(text: Column, raw: Column) -> Column:
@@ -95,29 +100,30 @@ def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = No
     foreign, share, cohesive = F.col("_t.foreign"), F.col("_t.share"), F.col("_g.cohesion")
     wide = foreign > F.greatest(F.lit(8.0), F.length(t) * 0.01)
     english = ~wide & ((foreign > 0) | (F.coalesce(share, F.lit(0.0)) >= 0.15))
-    hard = {
-        "len": ~band,
-        "loop": loop,
-        "format": t.rlike(P.java(P.FORMAT, "iu")),
-        "meta": meta(t),
-        "define": t.rlike(P.java(P.DEFINE, "iu")),
-        "template": t.rlike(P.java(P.TEMPLATE_LABEL)) | t.rlike(P.java(P.TEMPLATE_HEAD)),
-        "outline": outline(t, r),
-        "english": ~english,
-        "incoherent": cohesive < 0.10,
-        "screenplay": F.regexp_count(r, F.lit(P.java(P.SPEAKER))) >= 2,
-    }
-    soft = {
-        "len-edge": band & ((n < 55) | (n > max_words - 15)),
-        "loop-ish": (n >= 8) & (distinct6 < 0.85),
-        "echo": (n >= 8) & T.repeats(g8),
-        "diacritics": english & (foreign > 0),
-        "english-low": english & (foreign == 0) & (share < 0.22),
-        "coherence-low": (cohesive >= 0.10) & (cohesive < 0.15),
-    }
-
-    def fired(gates: dict[str, Column]) -> Column:
-        return F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in gates.items()]), lambda x: x.isNotNull())
+    hard = (
+        ("len", ~band),
+        ("loop", loop),
+        ("format", t.rlike(P.java(P.FORMAT, "iu"))),
+        ("meta", about_story(t)),
+        ("define", t.rlike(P.java(P.DEFINE, "iu"))),
+        ("template", t.rlike(P.java(P.TEMPLATE_LABEL)) | t.rlike(P.java(P.TEMPLATE_HEAD))),
+        ("outline", outline(t, r)),
+        ("english", ~english),
+        ("meta", lead_speech(t)),
+        ("incoherent", cohesive < 0.10),
+        ("screenplay", F.regexp_count(r, F.lit(P.java(P.SPEAKER))) >= 2),
+    )
+    soft = (
+        ("len-edge", band & ((n < 55) | (n > max_words - 15))),
+        ("loop-ish", (n >= 8) & (distinct6 < 0.85)),
+        ("echo", (n >= 8) & T.repeats(g8)),
+        ("diacritics", english & (foreign > 0)),
+        ("english-low", english & (foreign == 0) & (share < 0.22)),
+        ("coherence-low", (cohesive >= 0.10) & (cohesive < 0.15)),
+    )
+
+    def fired(gates: tuple[tuple[str, Column], ...]) -> Column:
+        return F.array_distinct(F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in gates]), lambda x: x.isNotNull()))
 
     return T.materialised(step, "_f", hard=fired(hard), soft=fired(soft)).select(*rows.columns, F.col("_f.hard").alias("hard"), F.col("_f.soft").alias("soft"))
 

@@ -52,8 +52,13 @@ def _count(c: Column, name: str) -> Column:
     return F.count_if(c).cast("long").alias(name)
 
 
-LOOP = lambda: T.repeats(F.slice("g8", F.lit(1), F.greatest(F.size("g8") - 1, F.lit(0))))
-LOOPISH = lambda: (F.size("g6") > 2) & F.coalesce(F.try_divide(F.size(F.array_distinct("g6")).cast("double"), F.size("g6").cast("double")) < 0.85, F.lit(False))
+def _loop() -> Column:
+    return T.repeats(F.slice("g8", F.lit(1), F.greatest(F.size("g8") - 1, F.lit(0))))
+
+
+def _loopish() -> Column:
+    share = F.try_divide(F.size(F.array_distinct("g6")).cast("double"), F.size("g6").cast("double"))
+    return (F.size("words") >= 8) & F.coalesce(share < 0.85, F.lit(False))
 
 
 # --- text and gates ---------------------------------------------------------------
@@ -66,9 +71,9 @@ def gate_profile_by_lang(spark, sf_dir):
         F.count("*").alias("n_docs"),
         _count(F.col("n").between(40, 240), "n_band_240"),
         _count(F.col("n").between(40, 700), "n_band_700"),
-        _count(LOOP(), "n_loop"),
+        _count(_loop(), "n_loop"),
         _count(T.repeats(F.col("g8")), "n_echo"),
-        _count((F.col("n") >= 8) & LOOPISH(), "n_loopish"),
+        _count(_loopish(), "n_loopish"),
         F.count_distinct("k").alias("n_keys"),
     )
 
@@ -108,7 +113,7 @@ def length_gate(spark, sf_dir):
 
 @query
 def loop_gate(spark, sf_dir):
-    return _tokens(spark, sf_dir).select("doc_id", LOOP().alias("loop"))
+    return _tokens(spark, sf_dir).select("doc_id", _loop().alias("loop"))
 
 
 @query
@@ -118,7 +123,7 @@ def echo_flag(spark, sf_dir):
 
 @query
 def loopish_flag(spark, sf_dir):
-    return _tokens(spark, sf_dir).select("doc_id", ((F.size("words") >= 8) & LOOPISH()).alias("loopish"))
+    return _tokens(spark, sf_dir).select("doc_id", _loopish().alias("loopish"))
 
 
 @query
@@ -180,7 +185,8 @@ def screenplay_gate(spark, sf_dir):
 def meta_gate(spark, sf_dir):
     """Half the documents with a line of speech about the story before them."""
     led = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("The story follows a man named Arlo. "), F.col("text"))).otherwise(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", G.meta(T.normalise(led)).alias("meta"))
+    norm = T.normalise(led)
+    return _docs(spark, sf_dir).select("doc_id", G.about_story(norm).alias("about_story"), G.lead_speech(norm).alias("lead_speech"))
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
