@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of what nothing refers to any more."""
+    gc.collect()
+    for _ in range(2):  # what the gateway drops, in a thread of its own, may hold the rest until a second round
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

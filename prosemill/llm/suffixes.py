@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prosemill.llm.runtime import cut, partitions, release
+from prosemill.llm.runtime import cut, forget, partitions, release
 
 ANCHOR, HALF = 16, 32
+#: Bytes of a rank that travel. Its high bits choose the bucket besides, and a pair of ranks counts.
+RANK = 5
 _SEGMENT = 1 << 18
 _ROOM = 1 << 19
 _FLUSH = 1 << 19
@@ -189,12 +191,15 @@ def _pack(rows: _Rows, covered: np.ndarray, keys: np.ndarray) -> bytes:
     steps = np.diff(rows.start, prepend=0)
     steps = np.where(np.diff(local, prepend=-1) | np.diff(covered.astype(np.int8), prepend=0) != 0, rows.start, steps)
     n = int((~covered).sum())
-    return pickle.dumps((keys[used], n, _planes(local, 4), _planes(steps, 6), rows.count, rows.reach, _planes(rows.v[:n], 6), _planes(rows.r[:n], 6), rows.left[:n], rows.right[:n]), protocol=5)
+    places = _planes(local, 4) + _planes(steps, 6) + rows.count.tobytes() + rows.reach.tobytes()
+    return pickle.dumps((keys[used], len(local), n, pa.Codec("zstd").compress(places, asbytes=True), _planes(rows.v[:n], RANK), _planes(rows.r[:n], RANK), rows.left[:n], rows.right[:n]), protocol=5)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, _Rows, int]:
-    keys, n, local, steps, count, reach, v, r, left, right = pickle.loads(blob)
-    doc, step = _unplanes(local, 4).astype(np.int64), _unplanes(steps, 6).astype(np.int64)
+    keys, size, n, places, v, r, left, right = pickle.loads(blob)
+    places = pa.Codec("zstd").decompress(places, 12 * size, asbytes=True)
+    doc, step = _unplanes(places[: 4 * size], 4).astype(np.int64), _unplanes(places[4 * size : 10 * size], 6).astype(np.int64)
+    count, reach = np.frombuffer(places[10 * size :], np.uint8).reshape(2, -1)
     fresh = np.diff(doc, prepend=-1) != 0
     if n < len(doc):
         fresh[n] = True
@@ -202,7 +207,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, _Rows, int]:
     head = np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))
     start = total - (total[head] - step[head])
     none = np.zeros(len(doc) - n)
-    return keys, _Rows(v=np.append(_unplanes(v, 6), none.astype(np.uint64)), r=np.append(_unplanes(r, 6), none.astype(np.uint64)), left=np.append(left, none.astype(np.uint16)), right=np.append(right, none.astype(np.uint16)), doc=doc, start=start, count=count, reach=reach), n
+    return keys, _Rows(v=np.append(_unplanes(v, RANK), none.astype(np.uint64)), r=np.append(_unplanes(r, RANK), none.astype(np.uint64)), left=np.append(left, none.astype(np.uint16)), right=np.append(right, none.astype(np.uint16)), doc=doc, start=start, count=count, reach=reach), n
 
 
 def _groups(*columns: np.ndarray) -> np.ndarray:
@@ -387,8 +392,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                     yield from _sent(sender.flush())
         yield from _sent(sender.flush())
 
-    sent = rows.select("key", "text_hash", "text").mapInArrow(first, "bucket int, blob binary")
-    ranked = cut(_ranked(sent, buckets))
+    # The rows of round 1 are the largest exchange; once ranked they are not needed again.
+    ranked = cut(_ranked(rows.select("key", "text_hash", "text").mapInArrow(first, "bucket int, blob binary"), buckets))
+    forget(spark)
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)
@@ -408,13 +414,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         for batch in batches:
             keys = np.column_stack([batch.column(i).to_numpy() for i in (0, 1)])
             for i, (n, packed, places) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n_bytes", "packed", "places")), strict=True)):
+                if not places:
+                    continue
                 sender.add(_windows(codec.decompress(packed, n, asbytes=True), np.array(places), length))
                 sender.document(keys[i : i + 1])
                 if sender.size >= _FLUSH:
                     yield from _sent(sender.flush())
         yield from _sent(sender.flush())
 
-    windows = packed.join(of_doc(ranked.filter(go_on)), ["key", "text_hash"]).select("key", "text_hash", "n_bytes", "packed", "places").mapInArrow(second, "bucket int, blob binary")
+    # Both joins with the texts are left joins of all their columns, so they share one exchange.
+    windows = packed.join(of_doc(ranked.filter(go_on)), ["key", "text_hash"], "left").mapInArrow(second, "bucket int, blob binary")
     covered = ranked.filter(~go_on).unionByName(_ranked(windows, buckets))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,5 +446,5 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()), batch.column("row")], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "row"])
 
     whole = packed.join(of_doc(covered), ["key", "text_hash"], "left")
-    return whole.select("doc_id", "n_bytes", "packed", "places", "row").mapInArrow(finish, _fields("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add(carried))
+    return whole.mapInArrow(finish, _fields("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add(carried))
 
