@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.queries import tokenizer_file
 from prosemill.llm.runtime import checkpoint_root, table
-from prosemill.llm.secrets import findings, redact, scan_versions
+from prosemill.llm.secrets import blob_findings, redact, scan_versions
 from prosemill.llm.simhash import simhash_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import fit_ngrams, ngram_score
@@ -42,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near copies the document with the least id. Rows of one id are one document; rows without an id stay."""
     groups = simhash_groups(docs)
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti").select(*_columns(docs))
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*_columns(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with [SECRET] in place of every secret."""
-    paths, ledger = scan_versions(docs)
-    found = findings(paths, ledger).filter(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
+    found = blob_findings(scan_versions(docs)[1])
     blob = F.sha2(F.coalesce("text", F.lit("")), 256)
     rows = docs.select(F.struct(*_columns(docs)).alias("row"), F.col("text"), blob.alias("own"))
     marked = rows.join(found, F.col("own") == F.col("blob"), "left")
