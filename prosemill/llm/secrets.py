@@ -127,8 +127,8 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     return paths, fresh if ledger is None else ledger.select(fresh.columns).unionByName(fresh)
 
 
-def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, blob, found): the spans of all current rules for every path, as an array of (start, order, kind, end, base), sorted."""
+def blob_findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, found) of the blobs with spans of current rules: an array of (start, order, kind, end, base), sorted."""
     order = {r.kind: i for i, r in enumerate(rules)}
     current = reduce(or_, [(F.col("rule") == r.kind) & (F.col("rule_version") == r.version) for r in rules])
 
@@ -137,7 +137,16 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
 
     number, base = keyed(order), keyed({r.kind: r.base for r in rules})
     hits = ledger.filter(current & (F.size("spans") > 0)).select("blob", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), number.alias("order"), F.col("rule").alias("kind"), s["end"].alias("end"), base.alias("base"))).alias("part"))
-    per_blob = hits.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("found")).withColumnRenamed("blob", "found_blob")
+    return cut(hits.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("found")))
+
+
+def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(doc_id, blob, found) of every path, with an empty array where nothing was found.
+
+    What was found is written first, so a blob of very many paths can be dealt
+    over many tasks in the join.
+    """
+    per_blob = blob_findings(ledger, rules).withColumnRenamed("blob", "found_blob")
     none = F.array().cast("array<struct<start: bigint, order: int, kind: string, `end`: bigint, base: boolean>>")
     return paths.join(per_blob, F.col("blob") == F.col("found_blob"), "left").select("doc_id", "blob", F.coalesce("found", none).alias("found"))
 
