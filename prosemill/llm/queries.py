@@ -113,5 +113,53 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_harmonic_packing, op3_piece_viterbi, op4_arc_to_warc, op5_minhash_fingerprint, op6_secret_scan, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_suffix_dedup, op10_rule_quality)}
 
 
+_ARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) AS BIGINT) + 1, 1)), '') AS payload_digest FROM p),
+m AS (SELECT payload_digest AS digest, max(page_id) AS first_id FROM d GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d JOIN m ON d.payload_digest = m.digest"""
+
+_LINKS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+number AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, CAST(coalesce(number.n, 0) AS BIGINT) AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON v.vec_id = low.x LEFT JOIN number ON v.vec_id = number.x"""
+
+
+def _spans_sql(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """Rows (doc_id, start, ord, kind, stop): matches and the texts between them alternate, so starts are sums of lengths."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start, {order} AS ord, '{kind}' AS kind, length(m[i]) AS size, length(c[i]) AS checked
+    FROM (SELECT doc_id, m, g, c, unnest(range(1, len(m) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{quoted}') AS m, string_split_regex(t, '{quoted}') AS g, regexp_extract_all(t, '{quoted}', {group}) AS c
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) d) e) f
+    WHERE length(c[i]) >= {least}"""
+
+
+_BASE = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+)
+_PEM = (*_BASE, ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1))
+
+
+def _scan_sql() -> str:
+    rows = " UNION ALL ".join(_spans_sql(kind, k, *rest) for k, (kind, *rest) in enumerate(_PEM))
+    text = "string_agg(kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(start + size AS VARCHAR), ',' ORDER BY start, ord)"
+    base = "string_agg(kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(start + size AS VARCHAR), ',' ORDER BY start, ord) FILTER (ord < 3)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind, *_ in _BASE)
+    kept = ", ".join(f"CAST(coalesce(n_{kind}, 0) AS BIGINT) AS n_{kind}" for kind, *_ in _BASE)
+    return f"""WITH s AS ({rows}), a AS (SELECT doc_id AS of, {counts}, {base} AS base, {text} AS spans FROM s GROUP BY doc_id)
+    SELECT doc_id, {kept}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN a ON doc_id = a.of"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_arc_to_warc": _ARC_SQL, "op6_secret_scan": _scan_sql(), "op7_embedding_near_dedup": _LINKS_SQL}

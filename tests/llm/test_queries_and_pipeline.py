@@ -91,3 +91,16 @@ def test_the_whole_pipeline(spark, sf_dir):
         expected = encode(after[doc]).tobytes() + bytes(4)
         assert hashlib.sha1(ids).digest() == hashlib.sha1(expected).digest()
     assert set(pieces["doc_id"]) == set(after.index)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, sf_dir, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    columns = COLUMNS[name.split("_")[0]]
+    expected = con.execute(f"SELECT {columns.replace(' ', ', ')} FROM ({queries.oracle_sql()[name]}) q").fetchall()
+    got = [tuple(r) for r in queries.queries()[name](spark, sf_dir).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
