@@ -8,7 +8,7 @@ the others go on to their next passing draw.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,17 @@ class BuildConfig:
     short_seed: int = 555_555
 
 
+def configured(config: BuildConfig, *settings: str) -> BuildConfig:
+    """config with KEY=VALUE settings; values take the type of the field's default."""
+    changes = {}
+    for setting in settings:
+        key, _, value = setting.partition("=")
+        if not hasattr(config, key):
+            raise ValueError(f"no setting is named {key}")
+        changes[key] = type(getattr(config, key))(value)
+    return replace(config, **changes)
+
+
 def prompt(leaf: Column, parent: Column) -> Column:
     alone = F.format_string("Write a story in English. Genre: %s.\n\n", leaf)
     nested = F.format_string("Write a story in English. Genre: %s. Subgenre: %s.\n\n", parent, leaf)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,24 @@ def still_missing(corpus: DataFrame, votes: DataFrame) -> DataFrame:
     return corpus.join(valid(votes).select("k").distinct(), "k", "left_anti")
 
 
+def classifier_input(prose: Column, text: Column, most: int = 8_000) -> Column:
+    """The first characters of the prose, or of the text where the prose is missing or empty."""
+    return F.substring(F.coalesce(F.nullif(prose, F.lit("")), text, F.lit("")), 1, most)
+
+
+def subword_counts(corpus: DataFrame, count: Callable[[list[str]], list[int]], batch: int = 512) -> DataFrame:
+    """(k, n) of every row's surface, by a tokenizer that counts a list of texts at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = frame["text"].tolist()
+            numbers = [n for at in range(0, len(texts), batch) for n in count(texts[at : at + batch])]
+            yield pd.DataFrame({"k": frame["k"], "n": numbers})
+
+    surface = F.coalesce("prose", "text", F.lit("")) if "prose" in corpus.columns else F.coalesce("text", F.lit(""))
+    return corpus.select("k", surface.alias("text")).mapInPandas(run, "k string, n long")
+
+
 def retokenise(corpus: DataFrame, counts: DataFrame) -> DataFrame:
     """n_tok from a table of subword counts (k, n); the old value moves to n_word."""
     joined = corpus.drop("n_word").join(counts.select("k", F.col("n").alias("_n")), "k", "left")

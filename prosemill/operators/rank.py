@@ -31,6 +31,19 @@ def judge_probability(tokens: DataFrame, key: str = "sentence") -> DataFrame:
     return mass.select(key, F.when(F.col("G") + F.col("S") > 1e-9, F.col("G") / (F.col("G") + F.col("S"))).alias("p"))
 
 
+def paragraph_scores(paragraphs: DataFrame, probabilities: DataFrame, key: str = "k") -> DataFrame:
+    """(key, score): mean judge probability over a paragraph's eligible sentences, or that of its whole text where none is.
+
+    probabilities: (sentence, p). A paragraph without any known probability has a null score.
+    """
+    from prosemill.functions.text import sentences
+    from prosemill.operators.acceptance import eligible
+
+    asked = F.array_distinct(eligible(sentences(F.col("text"))))
+    parts = paragraphs.select(key, F.explode(F.when(F.size(asked) > 0, asked).otherwise(F.array("text"))).alias("sentence"))
+    return parts.join(probabilities.select("sentence", "p"), "sentence", "left").groupBy(key).agg(F.avg("p").alias("score"))
+
+
 def paired_wins(pairs: DataFrame, scores: DataFrame) -> DataFrame:
     """One row (n, win_rate, median_margin) of pairs (kf, kg) whose second should score higher; pairs without both scores are left out."""
     f, g = (scores.select(F.col("k").alias(k), F.col("s").alias(s)) for k, s in (("kf", "sf"), ("kg", "sg")))
@@ -111,6 +124,26 @@ def probe(rows: DataFrame, key: str, vector: str, label: str, head: str = "logis
     return out.select("fold", "auc")
 
 
+def contrast(rows: DataFrame, source: str, positive: str, negative: str, length: str | None = None, slack: int = 10) -> DataFrame:
+    """Rows of two sources with y (1 for the positive one); with a length column only lengths that both have, by bins of slack."""
+    pair = rows.filter(F.col(source).isin(positive, negative)).withColumn("y", (F.col(source) == positive).cast("int"))
+    if length is None:
+        return pair
+    binned = pair.withColumn("_bin", F.floor(F.col(length) / slack))
+    both = binned.groupBy("_bin").agg(F.count_distinct("y").alias("n")).filter("n = 2").select("_bin")
+    return binned.join(both, "_bin", "left_semi").drop("_bin")
+
+
+def gold_auc(train: DataFrame, gold: DataFrame, vector: str, label: str) -> DataFrame:
+    """One row (auc) of the logistic head, fitted on train, over held-out gold rows."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+
+    model = LogisticRegression(regParam=0.01, maxIter=100).fit(_features(train, vector).select("features", F.col(label).cast("double").alias("label")))
+    scored = model.transform(_features(gold, vector)).withColumn("_p", vector_to_array("probability")[1])
+    return auc(scored, label, "_p")
+
+
 def distil(rows: DataFrame, key: str, vector: str, target: str, head: str = "ridge", seed: int = 7) -> DataFrame:
     """One row (rho, mae) on the 30 % held out by hash, of a regressor of a score; head: ridge or trees."""
     from pyspark.ml.regression import GBTRegressor, LinearRegression

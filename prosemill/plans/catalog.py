@@ -634,6 +634,41 @@ def distil_probe(spark, sf_dir):
     return rank.distil(rows, "vec_id", "embedding", "s")
 
 
+@query
+def contrast_probe(spark, sf_dir):
+    """Two classes against each other, and the control of one class's halves."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("label") < 3, "a").when(F.col("label") < 6, "b").otherwise("c").alias("source"))
+    against = rank.contrast(rows, "source", "a", "b")
+    halves = rank.contrast(rows.filter("source = 'a'").withColumn("source", F.when(F.col("vec_id") % 2 == 0, "x").otherwise("y")), "source", "x", "y")
+    parts = [rank.probe(part, "vec_id", "embedding", "y", "logistic", 2).withColumn("set", F.lit(name)) for name, part in (("classes", against), ("halves", halves))]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def gold_auc(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", (F.col("label") < 5).cast("int").alias("y"))
+    return rank.gold_auc(rows.filter("vec_id % 4 != 0"), rows.filter("vec_id % 4 = 0"), "embedding", "y")
+
+
+@query
+def paragraph_scores(spark, sf_dir):
+    docs = _docs(spark, sf_dir).withColumnRenamed("doc_id", "k")
+    known = docs.select(F.explode(T.sentences(F.col("text"))).alias("sentence")).distinct().select("sentence", (F.pmod(F.length("sentence"), F.lit(10)) / 10.0).alias("p"))
+    return rank.paragraph_scores(docs, known).select("k", F.bround("score", 6).alias("score"))
+
+
+@query
+def classifier_input(spark, sf_dir):
+    prose = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.concat(F.lit("prose "), "text"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(votes.classifier_input(prose, F.col("text"), 500)).alias("input_md5"))
+
+
+@query
+def subword_counts(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select(F.format_string("%d", "doc_id").alias("k"), "text")
+    return votes.subword_counts(rows, lambda texts: [len(t.split()) for t in texts])
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 

@@ -242,5 +242,7 @@ ORACLE = {
         FROM (SELECT CASE WHEN k % 9 <> 0 THEN s END AS score FROM {_SCORES} a) t""",
     "l2_normalize": f"SELECT vec_id, {_round('u[1]', 6)} AS u0, {_round('list_sum(u)', 6)} AS u_sum FROM {_UNIT} t",
     "embedding_label_mean": f"SELECT label, count(*) AS n, {_round('avg(u[1])', 6)} AS u0_mean FROM {_UNIT} t GROUP BY label",
+    "classifier_input": f"SELECT doc_id, md5(substr(CASE WHEN doc_id % 3 = 1 THEN 'prose ' || text ELSE text END, 1, 500)) AS input_md5 FROM {_D} d",
+    "subword_counts": f"SELECT CAST(doc_id AS VARCHAR) AS k, CAST(CASE WHEN {_norm('text')} = '' THEN 0 ELSE len(string_split({_norm('text')}, ' ')) END AS BIGINT) AS n FROM {_D} d",
     "stream_dedup": f"SELECT DISTINCT {_key('text')} AS k FROM {_D} d",
 }

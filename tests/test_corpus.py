@@ -111,3 +111,15 @@ def test_gate_merge_and_its_rules(spark):
     for bad in ((result.union(result), gone), (result, gone.union(spark.createDataFrame([("a", "why")], gone.schema))), (result, gone.limit(0))):
         with pytest.raises(merge.CoverageError):
             merge.merge_gates(rows, *bad)
+
+
+def test_settings_and_subwords(spark):
+    config = corpus.configured(corpus.BuildConfig(), "attempts=40", "max_words=240")
+    assert (config.attempts, config.max_words, config.base_seed) == (40, 240, 911_000_000)
+    with pytest.raises(ValueError):
+        corpus.configured(config, "attempt=1")
+    rows = spark.createDataFrame([("a", "one two", None), ("b", "x", "one two three"), ("c", None, None)], "k string, text string, prose string")
+    counts = labels.subword_counts(rows, lambda texts: [len(t.split()) for t in texts], 2)
+    assert {r["k"]: r["n"] for r in counts.collect()} == {"a": 2, "b": 3, "c": 0}
+    shown = rows.select(labels.classifier_input(F.col("prose"), F.col("text"), 4).alias("x"))
+    assert [r["x"] for r in shown.collect()] == ["one ", "one ", ""]

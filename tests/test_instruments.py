@@ -122,3 +122,13 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
     spark.createDataFrame([(3, "a  b"), (4, "d")], "doc_id long, text string").write.mode("append").json(source)
     ingest.append_stream(rows(), target, state).awaitTermination()
     assert sorted(r["text"] for r in spark.read.parquet(target).collect()) == ["a b", "c", "d"]
+
+
+def test_contrast_sets_and_paragraph_scores(spark):
+    rows = spark.createDataFrame([("a", 5), ("b", 7), ("a", 25), ("c", 5)], "source string, n int")
+    assert rank.contrast(rows, "source", "a", "b").count() == 3
+    assert {(r["source"], r["y"]) for r in rank.contrast(rows, "source", "a", "b", "n").collect()} == {("a", 1), ("b", 0)}
+    long = "One two three four five six seven eight nine."
+    texts = spark.createDataFrame([("p", f"{long} Short one."), ("q", "Short one."), ("r", "unknown")], "k string, text string")
+    known = spark.createDataFrame([(long, 0.5), ("Short one.", 1.0)], "sentence string, p double")
+    assert {r["k"]: r["score"] for r in rank.paragraph_scores(texts, known).collect()} == {"p": 0.5, "q": 1.0, "r": None}
