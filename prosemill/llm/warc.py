@@ -29,8 +29,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm.runtime import cut
-
 #: Field lists of the version blocks (fixed by the ARC format).
 FIELDS = {
     1: ("URL", "IP-address", "Archive-date", "Content-type", "Archive-length"),
@@ -182,9 +180,9 @@ def with_revisits(records: DataFrame, order: str, least_bytes: int = 0) -> DataF
     order: column of records; the largest value keeps its payload, of equal
     ones the largest record id, and null counts as the smallest. Only
     responses are merged. The digest join moves compressed records; one
-    digest's rows may be dealt over many tasks.
+    digest's rows may be dealt over many tasks. records is evaluated twice,
+    for the digests and for the join, so its ids must not depend on chance.
     """
-    records = cut(records)
     merged = F.col("warc_type") == "response"
     first = records.filter(merged & (F.col("payload_bytes") >= least_bytes)).groupBy("payload_digest").agg(F.max(F.struct(F.col(order).alias("o"), "record_id", "target_uri", "warc_date")).alias("first"))
     first = first.select(F.col("payload_digest").alias("first_digest"), F.col("first.record_id").alias("first_id"), F.col("first.target_uri").alias("first_uri"), F.col("first.warc_date").alias("first_date"))
