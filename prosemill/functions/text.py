@@ -7,6 +7,8 @@ case over all letters and ``(?U)`` gives word boundaries over all letters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +62,24 @@ def without_quotes(text: Column) -> Column:
     return F.regexp_replace(text, QUOTED, " ")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it stands there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ngrams(words: Column, n: int, drop_last: int = 0) -> Column:
     """All n-grams of an array of words, as strings; drop_last leaves out so many at the end."""
-    last = F.size(words) - n - drop_last
-    grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, F.lit(n)), " "))
-    return F.when(last >= 0, grams).otherwise(F.array().cast("array<string>"))
+
+    def of(w: Column) -> Column:
+        last = F.size(w) - n - drop_last
+        grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))
+        return F.when(last >= 0, grams).otherwise(F.array().cast("array<string>"))
+
+    return let(words, of)
 
 
 def repeats(items: Column) -> Column:
-    return F.size(F.array_distinct(items)) < F.size(items)
+    return let(items, lambda x: F.size(F.array_distinct(x)) < F.size(x))
 
 
 def upper_median(values: Column) -> Column:
