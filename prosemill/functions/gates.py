@@ -10,10 +10,6 @@ from prosemill.functions import text as T
 from prosemill.functions.vocab import FUNCTION_WORDS, STOP_WORDS, TYPOGRAPHIC
 
 
-def _words(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def _starts(text: Column, pattern: str, flags: str = "") -> Column:
     return text.rlike(P.java(rf"\A(?:{pattern})", flags))
 
@@ -32,10 +28,9 @@ def function_share(text: Column) -> Column:
 
 def sentence_stems(text: Column) -> Column:
     """Distinct stems of each sentence of five words or more: the first four letters of its content words."""
-    stop = _words(STOP_WORDS)
-    kept = F.filter(T.sentences(text), lambda s: F.size(T.tokens(s)) >= 5)
-    stems = F.transform(kept, lambda s: F.array_distinct(F.transform(F.filter(T.tokens(s), lambda w: (F.length(w) >= 3) & ~F.array_contains(stop, w)), lambda w: F.left(w, F.lit(4)))))
-    return stems
+    spoken = F.filter(F.transform(T.sentences(text), T.tokens), lambda words: F.size(words) >= 5)
+    content = F.transform(spoken, lambda words: F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*STOP_WORDS)))
+    return F.transform(content, lambda words: F.array_distinct(F.transform(words, lambda w: F.left(w, F.lit(4)))))
 
 
 def cohesion(stems: Column) -> Column:
@@ -91,7 +86,7 @@ def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = No
     raw = text if raw_col is None else F.coalesce(F.col(raw_col), F.lit(""))
     step = T.materialised(rows, "_t", text=text, raw=raw, words=T.tokens(text), stems=sentence_stems(text), foreign=foreign_letters(text), share=function_share(text))
     words = F.col("_t.words")
-    step = T.materialised(step, "_g", g8=T.ngrams(words, 8), g6=T.ngrams(words, 6), cohesion=cohesion(F.col("_t.stems")))
+    step = T.materialised(step, "_g", g8=T.gram_hashes(words, 8), g6=T.gram_hashes(words, 6), cohesion=cohesion(F.col("_t.stems")))
     n, t, r = F.size(words), F.col("_t.text"), F.col("_t.raw")
     g8, g6 = F.col("_g.g8"), F.col("_g.g6")
     band = (n >= 40) & (n <= max_words)

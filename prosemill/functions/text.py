@@ -78,6 +78,16 @@ def ngrams(words: Column, n: int, drop_last: int = 0) -> Column:
     return let(words, of)
 
 
+def gram_hashes(words: Column, n: int, drop_last: int = 0) -> Column:
+    """All n-grams of an array of words, as 64-bit hashes: for comparisons within one text, where they do not collide in practice."""
+
+    def of(w: Column) -> Column:
+        last = F.size(w) - n - drop_last
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, of)
+
+
 def repeats(items: Column) -> Column:
     return let(items, lambda x: F.size(F.array_distinct(x)) < F.size(x))
 

@@ -23,7 +23,7 @@ def refusal(text: Column, kind: Column, least: int = 40, by_tokens: bool = False
     """Why a generated paragraph is refused, first reason only: short, loop, format, lowtics, digits; null if it is not."""
     words = T.tokens(text)
     length = F.size(words) if by_tokens else F.when(T.normalise(text) == "", 0).otherwise(F.size(F.split(T.normalise(text), " ")))
-    reason = F.when(length < least, "short").when(T.repeats(T.ngrams(words, 8, drop_last=1)), "loop").when(text.rlike(P.java(P.FORMAT, "iu")), "format")
+    reason = F.when(length < least, "short").when(T.repeats(T.gram_hashes(words, 8, drop_last=1)), "loop").when(text.rlike(P.java(P.FORMAT, "iu")), "format")
     reason = reason.when((kind == "cliche") & (phrase_count(text, "cliche") < 2), "lowtics")
     return reason.when(text.rlike(r"\p{Nd}"), "digits") if no_digits else reason
 

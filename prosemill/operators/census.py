@@ -19,8 +19,10 @@ FAMILIES = {"cliche": CLICHE, "uncanny": UNCANNY}
 
 
 def phrase_count(text: Column, family: str) -> Column:
-    """Non-overlapping matches of all phrases of a family."""
-    return reduce(add, [F.regexp_count(text, F.lit(java(p, "iu"))) for p in FAMILIES[family]]).cast("long")
+    """Non-overlapping matches of all phrases of a family. Texts without any are left after one search."""
+    any_of = text.rlike(java("|".join(FAMILIES[family]), "iu"))
+    total = reduce(add, [F.regexp_count(text, F.lit(java(p, "iu"))) for p in FAMILIES[family]])
+    return F.when(any_of, total).otherwise(0).cast("long")
 
 
 def phrase_census(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame:
@@ -34,8 +36,8 @@ def phrase_census(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame
 
 def distinct_share(words: Column, n: int) -> Column:
     """Share of distinct n-grams of a document; 1 where it has none."""
-    grams = T.ngrams(words, n)
-    return F.coalesce(F.try_divide(F.size(F.array_distinct(grams)).cast("double"), F.size(grams).cast("double")), F.lit(1.0))
+    share = T.let(T.gram_hashes(words, n), lambda g: F.try_divide(F.size(F.array_distinct(g)).cast("double"), F.size(g).cast("double")))
+    return F.coalesce(share, F.lit(1.0))
 
 
 def diversity(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame:

@@ -40,12 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *columns, F.coalesce("text", F.lit("")).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", *columns, F.coalesce("text", F.lit("")).alias("text"))
+    return records.spread(docs)
 
 
 def _tokens(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     docs = T.materialised(_docs(spark, sf_dir, *columns), "w", words=T.tokens(F.col("text")))
-    return T.materialised(docs, "g", g8=T.ngrams(F.col("w.words"), 8), g6=T.ngrams(F.col("w.words"), 6)).select("*", "w.words", "g.g8", "g.g6")
+    return T.materialised(docs, "g", g8=T.gram_hashes(F.col("w.words"), 8), g6=T.gram_hashes(F.col("w.words"), 6)).select("*", "w.words", "g.g8", "g.g6")
 
 
 def _count(c: Column, name: str) -> Column:

@@ -24,6 +24,16 @@ def read_lines(spark: SparkSession, paths: str | list[str], schema: str) -> Data
     return rows.select("*", F.col("_metadata.file_name").alias("source")).filter("_torn is null").drop("_torn")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt over all cores if they are read in fewer tasks than there are cores.
+
+    A small file is one task whatever is computed on it. Larger inputs have
+    more tasks than cores and are left as they are, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_array(spark: SparkSession, path: str, schema: T.DataType) -> DataFrame:
     """Elements of one JSON document that is an array, in order: (pos, value)."""
     whole = spark.read.text(path, wholetext=True)
