@@ -1,0 +1,200 @@
+"""Groups of near copies: sets of shingles whose exact Jaccard similarity reaches a threshold.
+
+Equal sets are merged first. Candidates share one of 32 bands of four MinHash
+values; two sets at similarity s share none with probability (1 - s**4)**32,
+at 0.8 about 5e-8. Candidates that agree in too few of all 128 values to reach
+the threshold (missed with probability 1e-12) are dismissed, and every link is
+verified on the whole sets.
+
+A bucket need not test all its pairs to be done: its members are first tested
+against one of them, links are closed to groups, and buckets within one group
+are finished. In the others all pairs across groups are tested in the end.
+"""
+
+from __future__ import annotations
+
+import math
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType
+
+from prosemill.llm.components import connected_components
+from prosemill.llm.runtime import checkpoint_root, forget, release
+
+BANDS, ROWS = 32, 4
+_PART, _BYTES = 512, 1 << 22
+_RANDOM = np.random.default_rng(20170702)
+_TIMES = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: a checkpoint would carry size estimates on, which joins multiply every round."""
+    path = f"{checkpoint_root(df.sparkSession)}/nearcopies-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _deleted(*tables: DataFrame) -> None:
+    """Remove the files of tables that are not read any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text; a text of fewer words is one shingle, a blank one none."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(tokens)
+    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    width = min(words, len(tokens))
+    n = len(tokens) - width + 1
+    ends = (begins + lengths)[width - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[i:j]) for i, j in zip(begins[:n].tolist(), ends, strict=True)), np.uint64, n))
+
+
+def minima(marks: np.ndarray) -> np.ndarray:
+    """The MinHash values of a set that is not empty."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(marks), _PART):
+        low = np.minimum(low, (marks[at : at + _PART, None] * _TIMES + _PLUS).min(0))
+    return low
+
+
+def bands(low: np.ndarray) -> np.ndarray:
+    """A bucket for each band of MinHash values."""
+    bucket = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in low.reshape(BANDS, ROWS).T:
+        bucket = (bucket ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        bucket ^= bucket >> np.uint64(29)
+    return bucket.view(np.int64)
+
+
+_SCHEMA = "doc_id long, key long, size long, bands array<long>, sign binary, marks array<long>"
+
+
+def _marked(words: int):
+    """Rows of _SCHEMA; an empty set has no buckets. sign: the middle byte of each MinHash value."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("size", pa.int64()), ("bands", longs), ("sign", pa.binary()), ("marks", longs)])
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            rows, held = [], 0
+            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+                marks = shingles(text.as_py(), words)
+                key = int(np.uint64(xxhash.xxh64_intdigest(marks.tobytes())).astype(np.int64))
+                low = minima(marks) if len(marks) else None
+                sign = b"" if low is None else (low >> np.uint64(32)).astype(np.uint8).tobytes()
+                rows.append((doc.as_py(), key, len(marks), none if low is None else bands(low), sign, marks.view(np.int64)))
+                held += marks.nbytes
+                if held >= _BYTES:
+                    yield packed(rows)
+                    rows, held = [], 0
+            if rows:
+                yield packed(rows)
+        release()
+
+    return run
+
+
+@pandas_udf(IntegerType())
+def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The number of equal MinHash values."""
+    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, BANDS * ROWS) for s in (a, b))
+    return pd.Series((x == y).sum(1, dtype=np.int32))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, marked: DataFrame, least: float) -> DataFrame:
+    """(a, b, alike) of every pair of keys, by the exact similarity of their sets."""
+    sign_a, sign_b = (sets.select(F.col("key").alias(end), F.col("sign").alias(f"sign_{end}")) for end in "ab")
+    agree = pairs.join(sign_a, "a").join(sign_b, "b").select("a", "b", _agree("sign_a", "sign_b").alias("agree"))
+    screened = _stored(agree)
+    likely = F.col("agree") >= _screen(least)
+    named = screened.filter(likely).select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    whole = marked.join(named, "key", "left_semi").select("key", "marks").dropDuplicates(["key"])
+    of_a, of_b = (whole.select(F.col("key").alias(end), F.col("marks").alias(f"marks_{end}")) for end in "ab")
+    both = screened.filter(likely).select("a", "b").join(of_b, "b").join(of_a, "a")
+    common = F.size(F.array_intersect("marks_a", "marks_b"))
+    union = F.size("marks_a") + F.size("marks_b") - common
+    far = screened.filter(~likely).select("a", "b", F.lit(False).alias("alike"))
+    return both.select("a", "b", (common >= least * union - 1e-9).alias("alike")).unionByName(far)
+
+
+def _screen(least: float) -> int:
+    """So many of the MinHash values that a pair at the threshold has fewer with probability below 1e-12 (by Chernoff's bound)."""
+    n, share = BANDS * ROWS, least
+    while share > 0.01:
+        other = 1 - share
+        gap = share * math.log(share / least) + (other * math.log(other / (1 - least)) if other > 0 and least < 1 else 0)
+        if n * gap > math.log(1e12):
+            return int(n * share)
+        share -= 0.01
+    return 0
+
+
+def near_copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, rounds: int = 2) -> DataFrame:
+    """(doc_id, component_id) of every row; component_id is the least id reachable by links of similarity >= least.
+
+    Null and blank texts have the empty set and are copies of each other.
+    Repeated ids and texts keep their rows. A row without an id belongs to the
+    group of its text; a group without any id has a null component. Other
+    columns of docs are not read. rounds only moves work: so many rounds test
+    a bucket against one of its members before its open pairs are tested.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    marked = _stored(rows.mapInArrow(_marked(words), _SCHEMA))
+    sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sign").alias("sign")))
+    posts = sets.select(F.explode("bands").alias("bucket"), "key", "size")
+    shared = posts.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    place = _stored(posts.join(shared, "bucket").withColumn("part", F.col("key")))
+    tried: DataFrame | None = None
+    for number in range(rounds + 1):
+        order = F.xxhash64("key", F.lit(number))
+        bucket = place.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min_by(F.struct("key", "size", "part"), order).alias("other"))
+        before, place = place, _stored(place.join(bucket.filter("low != high").select("bucket", "other"), "bucket"))
+        _deleted(before)
+        forget(docs.sparkSession)
+        if number == rounds:
+            other = place.select("bucket", F.struct("key", "size", "part").alias("other"))
+            met = place.drop("other").join(other, "bucket").filter("part < other.part")
+        else:
+            met = place.filter("part != other.part")
+        fit = met.filter(F.least("size", "other.size") >= least * F.greatest("size", "other.size") - 1e-9)
+        pairs = fit.select(F.least("key", "other.key").alias("a"), F.greatest("key", "other.key").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        checked = _stored(_verified(_stored(pairs), sets, marked, least))
+        forget(docs.sparkSession)
+        tried = checked if tried is None else tried.union(checked)
+        groups = connected_components(tried.filter("alike"))
+        if number < rounds:
+            met_in = place
+            place = place.join(groups, place["key"] == groups["node"], "left").select("bucket", "key", "size", F.coalesce("component", "key").alias("part"))
+            place = _stored(place)
+            _deleted(met_in)
+    grouped = sets.join(groups, sets["key"] == groups["node"], "left").select("key", F.coalesce("component", "key").alias("class"), "first_id")
+    of_class = grouped.groupBy("class").agg(F.min("first_id").alias("component_id"))
+    classes = grouped.join(of_class, "class").select("key", "component_id")
+    result = _stored(marked.select("doc_id", "key").join(classes, "key", "left").select("doc_id", "component_id"))
+    _deleted(marked, sets, place)
+    forget(docs.sparkSession)
+    return result

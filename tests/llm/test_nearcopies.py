@@ -1,0 +1,78 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+from prosemill.llm.nearcopies import near_copy_groups, shingles
+
+
+def brute_groups(rows, least=0.8):
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or common >= least * (len(sets[i]) + len(sets[j]) - common):
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    groups = {}
+    for i, (doc, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(doc)
+    return {doc: min(g) for g in groups.values() for doc in g}
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"new{rng.getrandbits(40)}"
+    return words
+
+
+def family(seed):
+    """Copies of few texts with growing edits, a hot family and chains: pairs lie on both sides of 0.8."""
+    rng, texts = random.Random(seed), []
+    for n in (12, 40, 150, 600):
+        for _ in range(5):
+            base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            texts += [base] + [edited(rng, base, rng.randint(1, max(1, n // 25))) for _ in range(6)]
+    hot = [f"h{i}" for i in range(200)]
+    texts += [edited(rng, hot, rng.randint(1, 5)) for _ in range(60)]
+    chain = [f"c{i}" for i in range(120)]
+    for _ in range(20):
+        texts.append(chain)
+        chain = edited(rng, chain, 2)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(9000, None), (9001, " "), (9002, "One"), (9003, "one")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_groups_equal_brute_force(spark, rounds):
+    rows = family(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_copy_groups(docs, rounds=rounds).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_the_stage_drops_every_copy_at_the_threshold(spark):
+    rows = family(4)
+    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(brute_groups(rows).values()))
+
+
+def test_rows_without_id_and_empty_tables(spark):
+    rows = [(7, "a b c d e f"), (None, "A b c d e f"), (2, "a b c d e f"), (None, "quite another text"), (7, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["component_id"]) for r in near_copy_groups(docs).collect()]
+    assert sorted(got, key=str) == sorted([(7, 2), (None, 2), (2, 2), (None, None), (7, 2)], key=str)
+    assert near_copy_groups(docs.limit(0)).count() == 0
+    assert len(shingles("a b c")) == 1 and not len(shingles(None))
