@@ -22,7 +22,7 @@ from prosemill.functions.strip import stripped
 from prosemill.functions.vocab import ENERGIES, TAGS, WORLDS
 from prosemill.operators import acceptance, audit, census, corpus, merge, rank, sampling
 from prosemill.operators import labels as votes
-from prosemill.plans.oracle import ORACLE
+from prosemill.plans.oracle import FRONTS, ORACLE, SPEECH, WRAPS
 from prosemill.sources import records
 from prosemill.streaming import ingest
 
@@ -185,40 +185,41 @@ def screenplay_gate(spark, sf_dir):
 @query
 def meta_gate(spark, sf_dir):
     """Half the documents with a line of speech about the story before them."""
-    led = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("The story follows a man named Arlo. "), F.col("text"))).otherwise(F.col("text"))
+    led = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(SPEECH), F.col("text"))).otherwise(F.col("text"))
     norm = T.normalise(led)
     return _docs(spark, sf_dir).select("doc_id", G.about_story(norm).alias("about_story"), G.lead_speech(norm).alias("lead_speech"))
 
 
-def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir, "source").withColumn("norm", T.normalise(F.col("text")))
-    return G.with_gates(rows, "norm", "text")
+def _fronted(spark: SparkSession, sf_dir: str, fronts: tuple[str, ...]) -> DataFrame:
+    """Documents behind wrappers, headings or speech of kinds that depend on the id."""
+    front = F.get(F.array(*[F.lit(f) for f in fronts]), F.pmod("doc_id", F.lit(len(fronts))).cast("int"))
+    return _docs(spark, sf_dir, "source").withColumn("text", F.concat(front, F.col("text")))
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.judge(_fronted(spark, sf_dir, FRONTS), corpus.BuildConfig(max_words=240), with_stop=False)
 
 
 @query
 def verdicts(spark, sf_dir):
-    hard = F.filter("hard", lambda g: g != "meta")
-    return _gated(spark, sf_dir).select("doc_id", F.array_join(hard, ",").alias("gates"), F.array_join("soft", ",").alias("review"), F.when(F.size(hard) > 0, "failed").otherwise("pass").alias("verdict"))
+    return _judged(spark, sf_dir).select("doc_id", F.array_join("gates", ",").alias("gates"), F.array_join("review", ",").alias("review"), F.md5("prose").alias("prose_md5"), "verdict")
 
 
 @query
 def failure_census(spark, sf_dir):
-    rejects = _gated(spark, sf_dir).withColumn("gates", F.filter("hard", lambda g: g != "meta")).filter(F.size("gates") > 0).withColumn("stop", F.lit("stop"))
-    return corpus.failure_census(rejects)
+    return corpus.failure_census(_judged(spark, sf_dir).filter("verdict = 'failed'").withColumn("stop", F.lit("stop")))
 
 
 # --- strip, repair and build ---------------------------------------------------------
 
 
 def _wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents behind wrappers of kinds that depend on the id."""
-    lead = F.when(F.col("doc_id") % 4 == 0, "**The Long Road**\nBy A. Writer\n\n").when(F.col("doc_id") % 4 == 1, "Title: The Long Road\nGenre: Drama\n\n").when(F.col("doc_id") % 4 == 2, "Chapter 1: The Road\n").otherwise("")
-    return _docs(spark, sf_dir, "source").withColumn("text", F.concat(lead, F.col("text")))
+    return _fronted(spark, sf_dir, WRAPS)
 
 
 @query
 def style_strip(spark, sf_dir):
-    rows = _wrapped(spark, sf_dir).withColumn("s", stripped(F.col("text")))
+    rows = _fronted(spark, sf_dir, FRONTS).withColumn("s", stripped(F.col("text")))
     return rows.select("doc_id", F.md5("s.prose").alias("prose_md5"), F.col("s.cuts").cast("long").alias("cuts"), F.col("s.echo_cuts").cast("long").alias("echo_cuts"))
 
 
@@ -487,8 +488,7 @@ def conversation_join(spark, sf_dir):
 
 @query
 def usable_tally(spark, sf_dir):
-    rows = _gated(spark, sf_dir).withColumn("verdict", F.when(F.size(F.filter("hard", lambda g: g != "meta")) > 0, "failed").otherwise("pass"))
-    return audit.tally(rows.filter(F.col("verdict").isin("pass", "style")), "source")
+    return audit.tally(_judged(spark, sf_dir).filter(F.col("verdict").isin("pass", "style")), "source")
 
 
 # --- samples -------------------------------------------------------------------------------

@@ -1,16 +1,26 @@
 """SQL equivalents of the queries, for DuckDB over the same tables.
 
-Patterns are written for RE2; where the engine's pattern looks around (meta
-speech, the wrapper strip) there is no SQL.
+DuckDB's patterns (RE2) cannot look around. The one speech pattern that does is
+put as two tests here, and the strip is stated by its outcome: the queries put
+known wrappers before documents, so what the strip must leave is the tidied
+document. A document that holds anything else to cut makes the rows differ.
 """
 
 from __future__ import annotations
 
+from prosemill.functions import patterns as P
 from prosemill.functions.vocab import CLICHE, ENERGIES, FUNCTION_WORDS, STOP_WORDS, TAGS, UNCANNY, WORLDS
 
+#: What queries put before documents, by id modulo the number of entries.
+WRAPS = ("**The Long Road**\nBy A. Writer\n\n", "Title: The Long Road\nGenre: Drama\n\n", "Chapter 1: The Road\n", "")
+SPEECH = "The story follows a man named Arlo. "
+#: Besides the wraps: headings for every round of the strip, then speech that they shield from it, and an echo.
+FRONTS = (*WRAPS, "# Line\n" * 5 + SPEECH, "A light story in English.\n\n")
+#: Cuts of the strip for each front, and those of echo shape.
+CUTS, ECHOES = (1, 2, 1, 0, 5, 1), (0, 0, 0, 0, 0, 1)
+
 _WS = r"[\t-\r\x1c-\x1f \x{85}\p{Z}]"
 _TERMINAL = """[.!?…]["'')\\]]?\\z"""
-_NUMBERS = "one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve"
 
 
 def _q(text: str) -> str:
@@ -58,52 +68,135 @@ _WIDE = "(f > greatest(8.0, length(text) * 0.01))"
 _STEMS = f"list_transform(list_filter({_sentences('text')}, lambda s: len({_words('s')}) >= 5), lambda s: list_distinct(list_transform(list_filter({_words('s')}, lambda x: length(x) >= 3 AND NOT list_contains({_list(STOP_WORDS)}, x)), lambda x: x[1:4])))"
 _S = f"(SELECT doc_id, {_STEMS} AS s FROM {_D} d)"
 _COHESION = "(CASE WHEN len(s) >= 3 THEN len(list_filter(range(1, len(s)), lambda i: list_has_any(s[i], s[i + 1])))::DOUBLE / (len(s) - 1) ELSE 0.0 END)"
-_FORMAT = r"(?i)Given the context|Possible answers|Answer:|Question:|\bStep \d|Note:|Here (is|are) "
-_DEFINE = r"(?i)\b(?:is|should be) a unique type of\b|\b(?:is|should be) a narrative in which\b|\b(?:is|should be) a type of (?:storytelling|story|fiction|writing)\b"
-_TEMPLATE = r"\b(?:Setting|Characters?|Date|Genre|Plot Summary|Plot|Themes?|Objective|Synopsis)\s*:\s*\S"
-_TEMPLATE_HEAD = rf"^\s*(?i:Chapter|Part|Scene)\s+(?:\d+|(?i:{_NUMBERS}))\s*(?::|[-–—]|[A-Z][a-z])|^\s*\*{{0,2}}(?i:Chapter|Part|Scene|Episode|Act)\s*:\s*\S"
-_SPEAKER = r"(?m)^\*{0,2}[A-Z][A-Za-z' ]{0,25}:\*{0,2}\s*(?:\(|\"|$)"
+_FORMAT, _DEFINE = f"(?i){P.FORMAT}", f"(?i){P.DEFINE}"
+_TEMPLATE, _TEMPLATE_HEAD, _SPEAKER = P.TEMPLATE_LABEL, P.TEMPLATE_HEAD, P.SPEAKER
 
 
 def _outline(t: str, raw: str) -> str:
     return (
-        f"({_count(r'(?:^|\s)(?:VI{0,3}|IV|V|I{1,3})\.\s', t)} >= 2"
-        f" OR regexp_matches({t}, {_q(r'^\s*(?:I{1,3}|IV|VI{0,3})\.\s*(?:Introduction|INTRODUCTION|Background|Overview)')})"
-        f" OR regexp_matches({t}, {_q(r'(?:^|\s)[A-E]\.\s+(?:Set up|Give an?|Describe|Explain|Introduce|Create a|Write a|Establish)')})"
-        f" OR regexp_matches({t}, {_q(r'(?i)A\.\s*\*{0,2}(?:Title|Plot|Character|Setting)')})"
-        f" OR {_count(r'(?:^|\n)\s*[A-Z]\.\s', raw)} >= 2 OR {_count(r'(?:^|\n)\s*\d{1,2}\.\s', raw)} >= 2)"
+        f"({_count(P.ROMAN_HEAD, t)} >= 2 OR regexp_matches({t}, {_q(P.OUTLINE_INTRO)}) OR regexp_matches({t}, {_q(P.INSTRUCTION_BULLET)})"
+        f" OR regexp_matches({t}, {_q('(?i)' + P.SHEET_HEAD)}) OR {_count(P.LETTER_BULLET, raw)} >= 2 OR {_count(P.NUMBER_BULLET, raw)} >= 2)"
     )
 
 
-_GATED = f"""(
-  SELECT a.doc_id, a.source,
+_AHEAD = r"(?!\s+been)"
+_LOOKING = next(m for m in P.META if _AHEAD in m)
+_PLAIN_META = "|".join(m for m in P.META if m is not _LOOKING)
+
+
+def _opens(t: str, pattern: str) -> str:
+    return f"regexp_matches({t}, {_q(rf'(?i)^\s*(?:{pattern})')})"
+
+
+def _about_story(t: str) -> str:
+    """Opens with speech about a story that does not narrate. The sentence ends at the first end mark, which no opening phrase holds."""
+    spoken = f"({_opens(t, _PLAIN_META)} OR ({_opens(t, _LOOKING.replace(_AHEAD, ''))} AND NOT {_opens(t, _LOOKING[: _LOOKING.index(_AHEAD)] + r'\s+been')}))"
+    hit = f"coalesce(nullif(regexp_extract({t}, {_q(r'^[^.!?]*[.!?]\s*')}), ''), regexp_extract({t}, {_q(rf'(?i)^\s*(?:{_PLAIN_META})')}))"
+    bare = f"regexp_replace(regexp_replace({hit}, {_q('(?i)' + P.RELATIVE_CLAUSE)}, ' ', 'g'), {_q('(?i)' + P.DESCRIBING_COPULA)}, ' ', 'g')"
+    inner = f"regexp_extract({hit}, {_q(rf'(?i)^\s*{P.ECHO}')}, 1)"
+    telling = f"(regexp_matches({inner}, {_q('(?i)' + P.FINITE_VERB)}) OR regexp_matches({bare}, {_q('(?i)' + P.PASSIVE_TELLING)}))"
+    narrates = f"(NOT {_opens(inner, P.SPECIFYING)} AND {telling})"
+    return f"({spoken} AND NOT ({_opens(hit, P.ECHO)} AND (len(string_split({_norm(hit)}, ' ')) > 12 OR {narrates})))"
+
+
+def _lead_speech(t: str) -> str:
+    return _opens(t, P.LEAD_SPEECH)
+
+
+def _tidy(t: str) -> str:
+    free = f"replace(regexp_replace({t}, '\\*(?:{_WS}*\\*){{2,}}|-{{3,}}|_{{3,}}', ' ', 'g'), '*', '')"
+    return f"array_to_string(list_filter(list_transform(string_split_regex({free}, '\\n{_WS}*\\n'), lambda p: {_norm('p')}), lambda p: p <> ''), chr(10) || chr(10))"
+
+
+def _fronted(fronts) -> str:
+    """(doc_id, source, raw, prose, text, cuts, echoes): documents behind the fronts, and what the strip makes of them; text is what is judged."""
+    n = len(fronts)
+
+    def of(values) -> str:
+        return f"([{', '.join(map(str, values))}])[doc_id % {n} + 1]"
+
+    # A blank document leaves an empty prose if a heading line was cut, and none after other wrappers.
+    prose = f"CASE WHEN doc_id % {n} = 3 THEN NULL WHEN doc_id % {n} <> 4 AND {_norm('t')} = '' THEN CASE WHEN doc_id % {n} = 2 THEN '' END ELSE {_tidy(f'(CASE WHEN doc_id % {n} = 4 THEN {_q(SPEECH)} ELSE {_q("")} END || t)')} END"
+    raws = "([" + ", ".join(f"replace({_q(f.replace(chr(10), chr(1)))}, chr(1), chr(10))" for f in fronts) + f"])[doc_id % {n} + 1] || t"
+    return f"""(SELECT doc_id, source, raw, prose, cuts, echoes, {_norm('coalesce(prose, raw)')} AS text FROM (
+      SELECT doc_id, source, {raws} AS raw, {prose} AS prose, {of(CUTS)} AS cuts, {of(ECHOES)} AS echoes FROM (SELECT doc_id, source, text AS t FROM {_D} d) d0) d1)"""
+
+
+def _gated(rows: str, most: int = 240) -> str:
+    """(doc_id, source, raw, text, prose, cuts, echoes, hard, soft) of rows (the same, without the gates)."""
+    return f"""(
+  SELECT a.doc_id, a.source, a.raw, a.text, a.prose, a.cuts, a.echoes,
     list_filter([
-      CASE WHEN NOT (len(w) BETWEEN 40 AND 240) THEN 'len' END,
+      CASE WHEN NOT (len(w) BETWEEN 40 AND {most}) THEN 'len' END,
       CASE WHEN {_LOOP} THEN 'loop' END,
       CASE WHEN regexp_matches(a.text, {_q(_FORMAT)}) THEN 'format' END,
+      CASE WHEN about THEN 'meta' END,
       CASE WHEN regexp_matches(a.text, {_q(_DEFINE)}) THEN 'define' END,
       CASE WHEN regexp_matches(a.text, {_q(_TEMPLATE)}) OR regexp_matches(a.text, {_q(_TEMPLATE_HEAD)}) THEN 'template' END,
       CASE WHEN {_outline('a.text', 'a.raw')} THEN 'outline' END,
       CASE WHEN NOT (NOT {_WIDE} AND (f > 0 OR coalesce(share, 0.0) >= 0.15)) THEN 'english' END,
+      CASE WHEN {_lead_speech('a.text')} AND NOT about THEN 'meta' END,
       CASE WHEN cohesion < 0.10 THEN 'incoherent' END,
       CASE WHEN {_count(_SPEAKER, 'a.raw')} >= 2 THEN 'screenplay' END], lambda x: x IS NOT NULL) AS hard,
     list_filter([
-      CASE WHEN len(w) BETWEEN 40 AND 240 AND (len(w) < 55 OR len(w) > 225) THEN 'len-edge' END,
+      CASE WHEN len(w) BETWEEN 40 AND {most} AND (len(w) < 55 OR len(w) > {most - 15}) THEN 'len-edge' END,
       CASE WHEN {_LOOPISH} THEN 'loop-ish' END,
       CASE WHEN len(w) >= 8 AND {_ECHO} THEN 'echo' END,
       CASE WHEN NOT {_WIDE} AND f > 0 THEN 'diacritics' END,
       CASE WHEN NOT {_WIDE} AND f = 0 AND share >= 0.15 AND share < 0.22 THEN 'english-low' END,
       CASE WHEN cohesion >= 0.10 AND cohesion < 0.15 THEN 'coherence-low' END], lambda x: x IS NOT NULL) AS soft
   FROM (
-    SELECT n.doc_id, n.source, n.raw, n.text, n.w, {_grams('n.w', 8)} AS g8, {_grams('n.w', 8, 1)} AS g8b, {_grams('n.w', 6)} AS g6, n.f, n.share, {_COHESION} AS cohesion
+    SELECT n.doc_id, n.source, n.raw, n.text, n.prose, n.cuts, n.echoes, n.w, {_grams('n.w', 8)} AS g8, {_grams('n.w', 8, 1)} AS g8b, {_grams('n.w', 6)} AS g6, n.f, n.share, {_COHESION} AS cohesion, {_about_story('n.text')} AS about
     FROM (
-      SELECT doc_id, source, raw, text, {_words('text')} AS w, {_FOREIGN} AS f, {_SHARE} AS share, {_STEMS} AS s
-      FROM (SELECT doc_id, source, raw, text, regexp_extract_all(lower(text), '[a-z'']+') AS ew FROM (SELECT doc_id, source, text AS raw, {_norm('text')} AS text FROM {_D} d) d1) d2
+      SELECT doc_id, source, raw, text, prose, cuts, echoes, {_words('text')} AS w, {_FOREIGN} AS f, {_SHARE} AS share, {_STEMS} AS s
+      FROM (SELECT *, regexp_extract_all(lower(text), '[a-z'']+') AS ew FROM {rows} d1) d2
     ) n
   ) a
 )"""
 
 
+def _judged(rows: str, most: int, stop: str | None = None) -> str:
+    """(doc_id, source, raw, text, prose, k, n_tok, ends, stop, gates, review, verdict) of fronted rows; stop: SQL of how a draw ended."""
+    ends = f"regexp_matches(text, '{_TERMINAL}')"
+    hard = "hard"
+    if stop:
+        hard = f"CASE WHEN {stop} <> 'stop' THEN list_append(hard, 'no-stop') WHEN len(hard) = 0 AND NOT {ends} THEN ['no-end'] ELSE hard END"
+    extra = "[CASE WHEN cuts >= 2 THEN 'style-heavy' END, CASE WHEN regexp_matches(prose, '^\\p{Ll}') THEN 'lc-start' END, CASE WHEN echoes > 0 THEN 'echo-lead' END]"
+    review = f"list_concat(soft, list_filter({extra}, lambda x: x IS NOT NULL))"
+    shown = f"CASE WHEN {'len(h) = 0 AND ' if stop else ''}len({review}) > 0 THEN {review} END"
+    return f"""(SELECT doc_id, source, raw, text, CASE WHEN len(h) = 0 THEN prose END AS prose, {_key('raw')} AS k, CAST(len({_words(_norm('raw'))}) AS BIGINT) AS n_tok, {ends} AS ends, {stop or 'NULL'} AS stop,
+      CASE WHEN len(h) > 0 THEN h END AS gates, {shown} AS review, CASE WHEN len(h) > 0 THEN 'failed' WHEN prose IS NOT NULL THEN 'style' ELSE 'pass' END AS verdict
+      FROM (SELECT *, {hard} AS h FROM {_gated(rows, most)} g) g1)"""
+
+
+_FRONTED = _judged(_fronted(FRONTS), 240)
+_ENDED = "CASE WHEN doc_id % 11 = 0 THEN 'length' ELSE 'stop' END"
+
+
+def _walk(name: str, options: str, shipped: str) -> str:
+    """CTE name(idx, pick, used): leaves in order each take their first passing draw whose key nobody before them has."""
+    return f"""{name}(idx, pick, used) AS (
+      SELECT CAST(-1 AS BIGINT) AS idx, CAST(NULL AS STRUCT(att BIGINT, k VARCHAR)) AS pick, {shipped} AS used
+      UNION ALL
+      SELECT idx, pick, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick.k) END FROM (
+        SELECT v.idx + 1 AS idx, v.used AS used, list_filter(o.opts, lambda x: NOT list_contains(v.used, x.k))[1] AS pick
+        FROM {name} v LEFT JOIN {options} o ON o.idx = v.idx + 1 WHERE v.idx < (SELECT max(idx) FROM draws)) n)"""
+
+
+def _options(rows: str) -> str:
+    return f"SELECT idx, list({{'att': att, 'k': k}} ORDER BY att) AS opts FROM {rows} d WHERE verdict IN ('pass', 'style') GROUP BY idx"
+
+
+_BUILT = f"""WITH RECURSIVE draws AS MATERIALIZED (SELECT CAST(doc_id // 5 AS BIGINT) AS idx, CAST(doc_id % 5 AS BIGINT) AS att, * FROM {_judged(_fronted(WRAPS), 700, _ENDED)} j),
+  tried AS (SELECT * FROM draws WHERE att < 4), options AS MATERIALIZED ({_options('tried')}), {_walk('walk', 'options', 'CAST([] AS VARCHAR[])')},
+  chosen AS (SELECT t.idx, coalesce(w.pick.att, max(t.att)) AS last, w.pick IS NOT NULL AS ships FROM tried t JOIN walk w ON t.idx = w.idx GROUP BY t.idx, w.pick),
+  corpus AS (SELECT t.idx, 'leaf ' || CAST(t.idx AS VARCHAR) AS genre, t.att, t.att + 1 AS draws, t.k, CASE WHEN c.ships THEN t.verdict ELSE 'exhausted' END AS verdict, t.n_tok, t.ends, t.prose, t.raw
+    FROM tried t JOIN chosen c ON t.idx = c.idx AND t.att = c.last)"""
+_PATCHED = f"""{_BUILT}, late AS (SELECT * FROM draws WHERE att = 4 AND idx IN (SELECT idx FROM corpus WHERE verdict = 'exhausted')), later AS MATERIALIZED ({_options('late')}),
+  {_walk('again', 'later', "(SELECT coalesce(list(k), CAST([] AS VARCHAR[])) FROM corpus WHERE verdict IN ('pass', 'style'))")}"""
+_HEADING = P.HEADING_LINE.replace("(?=[^\\n]{101,})", "[^\\n]{101,}")
+
+
 def _case(value: str, options) -> str:
     return f"({_list(options)})[CAST({value} AS BIGINT) + 1]"
 
@@ -176,8 +269,21 @@ ORACLE = {
     "template_gate": f"SELECT doc_id, regexp_matches(text, {_q(_TEMPLATE)}) OR regexp_matches(text, {_q(_TEMPLATE_HEAD)}) AS template FROM {_D} d",
     "outline_gate": f"SELECT doc_id, {_outline(_norm('text'), 'text')} AS outline FROM {_D} d",
     "screenplay_gate": f"SELECT doc_id, {_count(_SPEAKER, 'text')} >= 2 AS screenplay FROM {_D} d",
-    "verdicts": f"SELECT doc_id, array_to_string(hard, ',') AS gates, array_to_string(soft, ',') AS review, CASE WHEN len(hard) > 0 THEN 'failed' ELSE 'pass' END AS verdict FROM {_GATED} g",
-    "failure_census": f"SELECT 'stop' AS stop, hard[1] AS gate, count(*) AS count FROM {_GATED} g WHERE len(hard) > 0 GROUP BY hard[1] ORDER BY count DESC, gate LIMIT 6",
+    "meta_gate": f"SELECT doc_id, {_about_story('t')} AS about_story, {_lead_speech('t')} AS lead_speech FROM (SELECT doc_id, {_norm(f'CASE WHEN doc_id % 2 = 0 THEN {_q(SPEECH)} || text ELSE text END')} AS t FROM {_D} d) n",
+    "verdicts": f"SELECT doc_id, array_to_string(gates, ',') AS gates, array_to_string(review, ',') AS review, md5(prose) AS prose_md5, verdict FROM {_FRONTED} j",
+    "failure_census": f"SELECT 'stop' AS stop, gates[1] AS gate, count(*) AS count FROM {_FRONTED} j WHERE verdict = 'failed' GROUP BY gates[1] ORDER BY count DESC, gate LIMIT 6",
+    "style_strip": f"SELECT doc_id, md5(prose) AS prose_md5, CAST(cuts AS BIGINT) AS cuts, CAST(echoes AS BIGINT) AS echo_cuts FROM {_fronted(FRONTS)} f",
+    "restrip": f"SELECT doc_id, verdict, array_to_string(gates, ',') AS gates, array_to_string(review, ',') AS review, verdict <> 'pass' AS changed FROM {_judged(_fronted(WRAPS), 700)} j",
+    "build_corpus": f"{_BUILT} SELECT idx, genre, att, draws, k, verdict, n_tok, ends FROM corpus",
+    "build_rejects": f"""{_BUILT} SELECT t.idx, t.att + 1 AS att, t.k, CASE WHEN t.verdict = 'failed' THEN 'failed' ELSE 'dupe' END AS verdict, array_to_string(t.gates, ',') AS gates
+        FROM tried t JOIN chosen c ON t.idx = c.idx WHERE t.att < c.last OR (t.att = c.last AND NOT c.ships)""",
+    "patch_dead_leaves": f"{_PATCHED} SELECT d.idx, 'leaf ' || CAST(d.idx AS VARCHAR) AS genre, d.att AS draws, d.verdict, d.k FROM late d JOIN again a ON d.idx = a.idx WHERE a.pick IS NOT NULL",
+    "corpus_yields": f"""{_BUILT} SELECT count(*) AS leaves, count(*) FILTER (verdict <> 'exhausted') AS shipped, avg(draws) AS draws_a_leaf, avg(draws) FILTER (verdict <> 'exhausted') AS draws_a_ship FROM corpus""",
+    "audit_corpus": f"""{_BUILT}, seen AS (SELECT *, coalesce(prose, raw) AS surface, {_norm('coalesce(prose, raw)')} = '' AS empty FROM corpus)
+        SELECT count(*) AS n_rows, count(*) FILTER (verdict IN ('pass', 'style')) AS n_usable, count(*) FILTER (NOT ends) AS n_not_ended, count(*) FILTER ((prose IS NOT NULL) <> (verdict = 'style')) AS n_style_mismatch,
+        count(*) FILTER (empty) AS n_empty, CAST(0 AS BIGINT) AS n_legacy, count(*) FILTER (NOT empty AND regexp_matches(surface, {_q(_HEADING)}) AND verdict <> 'failed') AS n_residue,
+        count(*) FILTER (NOT empty AND regexp_matches(surface, {_q(_HEADING)}) AND verdict = 'failed') AS n_residue_failed, count(*) FILTER (NOT empty AND NOT (n_tok BETWEEN 40 AND 700)) AS n_out_of_band,
+        count(*) FILTER (NOT empty) - count(DISTINCT k) FILTER (NOT empty) AS n_repeated_keys FROM seen""",
     "prompts_and_seeds": """SELECT doc_id, CASE WHEN leaf = source THEN 'Write a story in English. Genre: ' || leaf || '.' || chr(10) || chr(10)
         ELSE 'Write a story in English. Genre: ' || source || '. Subgenre: ' || leaf || '.' || chr(10) || chr(10) END AS prompt,
         911000000 + doc_id * 10 + doc_id % 60 AS seed FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN source ELSE lang END AS leaf FROM documents) d""",
@@ -224,7 +330,7 @@ ORACLE = {
     "percentiles_by_source": "SELECT source, count(*) AS n, quantile_cont(n_chars, 0.5) AS median, quantile_cont(n_chars, 0.9) AS p90 FROM documents GROUP BY source",
     "upper_median_by_source": "SELECT source, (list_sort(list(n_chars)))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS median FROM documents GROUP BY source",
     "conversation_join": "SELECT conv_id, md5(string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id",
-    "usable_tally": f"SELECT source, count(*) AS n FROM {_GATED} g WHERE len(hard) = 0 GROUP BY source",
+    "usable_tally": f"SELECT source, count(*) AS n FROM {_FRONTED} j WHERE verdict IN ('pass', 'style') GROUP BY source",
     "even_sample": """SELECT i, doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p, count(*) OVER () AS total FROM documents) d
         JOIN (SELECT unnest(range(50)) AS i) r ON d.p = CAST(round_even(r.i * ((d.total - 1)::DOUBLE / 49), 0) AS BIGINT)""",
     "shard_modulo": "SELECT doc_id FROM documents WHERE doc_id % 4 = 1",
