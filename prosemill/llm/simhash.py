@@ -1,53 +1,73 @@
 """SimHash near-duplicate detection by multi-index hashing.
 
-A fingerprint is cut into three segments. Two fingerprints at distance 4 or
-less agree in one segment but for one bit at most, so each fingerprint probes
-the segment tables with its own keys and with every key one bit away. (A pair
-that differs in one bit of a segment is found from the side where the bit is
-0, so only those flips are sent.) Matches are checked on all 64 bits.
+A fingerprint is cut into segments. Each fingerprint is stored in the table of
+every segment under its own key there, and looks up every key within a small
+Hamming ball (radius 1) of its own. A pair that differs in one bit of a segment
+is found from the side where the bit is 0, so only those flips are sent.
+
+``simhash_groups`` links fingerprints of 64 bits at distance 4 or less. They
+agree in one of three segments but for one bit at most, so no link is lost;
+every match is checked on all 64 bits.
+
+``similar_groups`` links texts whose sets of shingles have a Jaccard similarity
+of 0.8, say, or more. At 0.8 a bit of a SimHash differs with probability 0.15,
+so 64 bits are too few to tell: it uses as many segments as find such a pair
+with the probability asked for, checks matches on their whole wide
+fingerprints, and links on the exact similarity of the sets.
 
 Equal fingerprints are merged first. A bucket of more than ``block`` distinct
 fingerprints is dealt over several tasks, each holding a block of it against
-all its probes, and every task passes on a spanning forest of the links it
-verified, never all pairs of a group.
+all its probes, and no task passes on all pairs of a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import uuid
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from prosemill.llm.components import connected_components
-from prosemill.llm.runtime import cut
+from prosemill.llm.runtime import checkpoint_root, cut, release
 
-#: (first bit, width) of the segments of a fingerprint.
-SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: (word, first bit, width) of the segments of a fingerprint of 64 bits.
+SEGMENTS = ((0, 0, 22), (0, 22, 21), (0, 43, 21))
 _PAIRS = 1 << 20
 _SHINGLES = 1 << 16
+#: A wide fingerprint takes its bit vectors from a table of so many rows, each with a sign.
+_ROWS = 1024
 
 
-def simhash64(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """SimHash of a whole text over shingles of so many words, as an unsigned integer."""
+def _hashes(text: str | None, words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, repeats included, in bounded parts; a text of fewer words is one shingle."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return
     joined = b" ".join(tokens)
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
     begins = np.cumsum(lengths + 1) - lengths - 1
     width = min(words, len(tokens))
     n = len(tokens) - width + 1
-    starts, ends = begins[:n].tolist(), (begins + lengths)[width - 1 :].tolist()
-    ones, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    starts, ends, digest = begins[:n].tolist(), (begins + lengths)[width - 1 :].tolist(), xxhash.xxh64_intdigest
     for at in range(0, n, _SHINGLES):
         part = zip(starts[at : at + _SHINGLES], ends[at : at + _SHINGLES], strict=True)
-        hashes = np.array([digest(joined[i:j], seed) for i, j in part], dtype="<u8")
+        yield np.array([digest(joined[i:j], seed) for i, j in part], dtype="<u8")
+
+
+def simhash64(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """SimHash of a whole text over shingles of so many words, as an unsigned integer."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in _hashes(text, words, seed):
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
@@ -61,69 +81,30 @@ def fingerprint(text: Column, words: int = 4, seed: int = 42) -> Column:
     return of(text)
 
 
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (bucket, fp, stored) of each fingerprint: its own three, then its flips."""
-    for frame in batches:
-        fp = frame["fp"].to_numpy().astype(np.int64)
-        bits = fp.view(np.uint64)
-        for s, (low, width) in enumerate(SEGMENTS):
-            key = (bits >> np.uint64(low)) & np.uint64((1 << width) - 1)
-            base = np.int64(s) << np.int64(32)
-            own = key.astype(np.int64) | base
-            yield pd.DataFrame({"bucket": own, "fp": fp, "stored": True})
-            for b in range(width):
-                off = (key >> np.uint64(b)) & np.uint64(1) == 0
-                yield pd.DataFrame({"bucket": own[off] | np.int64(1 << b), "fp": fp[off], "stored": False})
-
-
-class _Forest:
-    """Union-find over the links of one chunk; keeps the links that joined two trees."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-
-    def _root(self, x: int) -> int:
-        up = self.up
-        while (y := up.setdefault(x, x)) != x:
-            up[x] = up.setdefault(y, y)
-            x = up[x]
-        return x
-
-    def add(self, x: int, y: int) -> bool:
-        x, y = self._root(x), self._root(y)
-        if x == y:
-            return False
-        self.up[max(x, y)] = min(x, y)
-        return True
-
-
-def _forest(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    tree = _Forest()
-    kept = [(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if tree.add(x, y)]
-    return pd.DataFrame(kept, columns=["a", "b"], dtype=np.int64)
+# --- probes and matches ---------------------------------------------------------------
 
 
-def _verify(bits: int):
-    """Sorted rows (bucket, part, stored first) to a spanning forest of the links among them."""
+def _matches(bits: int, take: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]):
+    """Sorted rows (bucket, part, stored first) to what take(bucket, left, right) makes of the matches at distance <= bits."""
 
     def against(stored: pd.DataFrame, probes: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Every probe against all stored fingerprints of its bucket and part."""
         s_key = stored["key"].to_numpy()
-        s_fp, p_fp = stored["fp"].to_numpy(), probes["fp"].to_numpy()
+        s_fp, p_fp, p_bucket = stored["fp"].to_numpy(), probes["fp"].to_numpy(), probes["bucket"].to_numpy()
         first = np.searchsorted(s_key, probes["key"].to_numpy(), "left")
         count = np.searchsorted(s_key, probes["key"].to_numpy(), "right") - first
         done = 0
         while done < len(p_fp):
             total = np.cumsum(count[done:])
-            take = max(1, int(np.searchsorted(total, _PAIRS, "right")))
-            own, n = first[done : done + take], count[done : done + take]
-            left = np.repeat(p_fp[done : done + take], n)
+            n_rows = max(1, int(np.searchsorted(total, _PAIRS, "right")))
+            own, n = first[done : done + n_rows], count[done : done + n_rows]
+            left = np.repeat(p_fp[done : done + n_rows], n)
             spot = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(own, n)
             right = s_fp[spot]
             near = (np.bitwise_count((left ^ right).view(np.uint64)) <= bits) & (left != right)
             if near.any():
-                yield _forest(left[near], right[near])
-            done += take
+                yield take(np.repeat(p_bucket[done : done + n_rows], n)[near], left[near], right[near])
+            done += n_rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, at = pd.DataFrame({"key": np.array([], np.int64), "fp": np.array([], np.int64)}), None
@@ -135,9 +116,9 @@ def _verify(bits: int):
             change[1:] = (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])
             keys = np.cumsum(change)
             carried = held.assign(key=1) if at == (bucket[0], part[0]) else held.iloc[:0]
-            fresh = pd.DataFrame({"key": keys, "fp": frame["fp"].to_numpy()})
+            fresh = pd.DataFrame({"key": keys, "fp": frame["fp"].to_numpy(), "bucket": bucket})
             own = frame["stored"].to_numpy()
-            stored = pd.concat([carried, fresh[own]])
+            stored = pd.concat([carried, fresh[own][["key", "fp"]]])
             yield from against(stored, fresh)
             # The last group can go on in the next batch; its rows there meet what is stored of it here.
             held, at = stored[stored["key"] == keys[-1]], (bucket[-1], part[-1])
@@ -145,6 +126,57 @@ def _verify(bits: int):
     return run
 
 
+class _Forest:
+    """Union-find over the links of one chunk; keeps the links that joined two trees."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def _root(self, x: int) -> int:
+        up = self.up
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up.setdefault(y, y)
+            x = up[x]
+        return x
+
+    def add(self, x: int, y: int) -> bool:
+        x, y = self._root(x), self._root(y)
+        if x == y:
+            return False
+        self.up[max(x, y)] = min(x, y)
+        return True
+
+
+def _forest(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """A spanning forest of links."""
+    tree = _Forest()
+    kept = [(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if tree.add(x, y)]
+    return pd.DataFrame(kept, columns=["a", "b"], dtype=np.int64)
+
+
+def _members(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """The fingerprints that have a match, by bucket."""
+    return pd.DataFrame({"bucket": np.concatenate([bucket, bucket]), "fp": np.concatenate([a, b])}).drop_duplicates()
+
+
+def _dealt(fps: DataFrame, segments: tuple[tuple[int, int, int], ...], block: int) -> DataFrame:
+    """Rows (bucket, part, fp, stored) sorted in their tasks: every fingerprint stored under its keys and sought under their flips of a 0.
+
+    fps: fp, the first word, and words, an array of all of them. A bucket's
+    number says its segment.
+    """
+    keys = [F.struct(F.shiftrightunsigned(F.get("words", F.lit(word)), low).bitwiseAND((1 << width) - 1).bitwiseOR(s << 40).alias("own"), F.lit(width).alias("width")) for s, (word, low, width) in enumerate(segments)]
+    own = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.own", "k.width")
+    flips = "transform(filter(sequence(0, width - 1), b -> (own & shiftleft(1L, b)) = 0), b -> struct(own | shiftleft(1L, b) AS bucket, false AS stored))"
+    rows = own.select("fp", F.expr(f"explode(concat(array(struct(own AS bucket, true AS stored)), {flips}))").alias("p")).select("p.bucket", "fp", "p.stored")
+    hot = own.groupBy(F.col("own").alias("bucket")).count().filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts"))
+    dealt = rows.join(cut(hot), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    stored_at = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    spread = dealt.select("bucket", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), stored_at.alias("at"))
+    spread = spread.select("bucket", "part", "fp", (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
+    return spread.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
+
+
 def near_links(fps: DataFrame, bits: int = 4, block: int = 4096) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of fp at distance <= bits (4 at most).
 
@@ -152,15 +184,16 @@ def near_links(fps: DataFrame, bits: int = 4, block: int = 4096) -> DataFrame:
     """
     if not 0 <= bits <= 4:
         raise ValueError("three segments with balls of radius 1 find distances up to 4")
-    rows = fps.select("fp").mapInPandas(_probe, "bucket long, fp long, stored boolean")
-    load = fps.select(F.explode(F.array(*[F.shiftrightunsigned("fp", low).bitwiseAND((1 << width) - 1).bitwiseOR(s << 32) for s, (low, width) in enumerate(SEGMENTS)])).alias("bucket"))
-    hot = load.groupBy("bucket").count().filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts"))
-    dealt = rows.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    stored_at = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    spread = dealt.select("bucket", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), (F.col("stored")).alias("own"), stored_at.alias("at"))
-    spread = spread.select("bucket", "part", "fp", (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
-    ordered = spread.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
-    return ordered.mapInPandas(_verify(bits), "a long, b long")
+    return _dealt(fps.select("fp", F.array("fp").alias("words")), SEGMENTS, block).mapInPandas(_matches(bits, _forest), "a long, b long")
+
+
+def _node(least: Column, mark: Column) -> Column:
+    """What stands for rows of one mark among links: their least id, and behind all of those with ids the marks without any."""
+    return F.struct(least.isNull().alias("no_id"), F.coalesce(least, F.lit(0)).cast("long").alias("id"), mark.alias("mark"))
+
+
+def _least_id(node: Column) -> Column:
+    return F.when(~node["no_id"], node["id"])
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = 4, seed: int = 42) -> DataFrame:
@@ -172,9 +205,190 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table gives none. Other columns of docs are not read.
     """
     marked = cut(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), words, seed).alias("fp")))
-    least = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    linked = connected_components(near_links(least, bits))
-    grouped = least.join(linked, least["fp"] == linked["node"], "left").select("fp", F.coalesce("component", "fp").alias("class"), "first_id")
-    of_class = grouped.groupBy("class").agg(F.min("first_id").alias("component_id"))
-    classes = grouped.join(of_class, "class").select(F.col("fp").alias("of"), "component_id")
-    return marked.join(classes, marked["fp"] == classes["of"], "left").select("doc_id", "fp", "component_id")
+    least = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")).select("fp", _node(F.col("first_id"), F.col("fp")).alias("own")))
+    links = near_links(least, bits)
+    of_a, of_b = (least.select(F.col("fp").alias(end), F.col("own").alias(f"own_{end}")) for end in "ab")
+    linked = connected_components(links.join(of_a, "a").join(of_b, "b").select("own_a", "own_b"), "own_a", "own_b")
+    grouped = least.join(linked, least["own"] == linked["node"], "left").select(F.col("fp").alias("of"), _least_id(F.coalesce("component", "own")).alias("component_id"))
+    return marked.join(grouped, marked["fp"] == grouped["of"], "left").select("doc_id", "fp", "component_id")
+
+
+# --- similarity of sets -----------------------------------------------------------------
+
+
+def differing(similarity: float) -> float:
+    """The probability that a bit of the SimHash differs between sets of equal size at a Jaccard similarity."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def wide_segments(n: int, similarity: float, missed: float) -> tuple[tuple[int, int, int], ...]:
+    """Segments for n fingerprints, such that a pair at the similarity is missed in all of them with probability ``missed``.
+
+    A segment has about log2(n) bits, so that as many fingerprints as there are
+    put a bounded number of strangers on a key, at every size.
+    """
+    width, p = min(32, max(12, math.ceil(math.log2(max(n, 2))))), differing(similarity)
+    hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    number = max(1, math.ceil(math.log(missed) / math.log1p(-hit))) if hit < 1 else 1
+    a_word = 64 // width
+    return tuple((s // a_word, s % a_word * width, width) for s in range(number))
+
+
+@lru_cache(maxsize=2)
+def _table(bits: int) -> np.ndarray:
+    return np.random.default_rng(64).choice(np.array([-1, 1], np.float32), (_ROWS, bits))
+
+
+def _longs(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([*rows, np.zeros(0, np.uint64)]).view(np.int64))
+
+
+def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; a blank text has none."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, words, seed)]))
+
+
+def _sketch(words: int, n_words: int):
+    """Rows (doc_id, handle, key, size, fp, words) of texts: the hash and size of the set of shingles and its wide SimHash.
+
+    The bit vector of a shingle is a row of a fixed random table or its
+    complement, as its hash says; a bit of the SimHash is 1 if it is set in over
+    half of them. So signed counts of rows, times the table, give all bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(64 * n_words)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                sizes, keys, counts = [], [], np.zeros((batch.num_rows, _ROWS), np.float32)
+                for i, text in enumerate(batch.column(2)):
+                    marks = shingle_set(text.as_py(), words)
+                    counts[i] = np.bincount((marks % np.uint64(_ROWS)).astype(np.int64), np.where(marks >> np.uint64(63), 1.0, -1.0), _ROWS)
+                    sizes.append(len(marks))
+                    keys.append(xxhash.xxh64_intdigest(marks.tobytes()))
+                bits = np.packbits(counts @ table > 0, axis=1, bitorder="little").view("<u8")
+                columns = [batch.column(0), batch.column(1), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits[:, 0].view(np.int64)), _longs(list(bits))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "handle", "key", "size", "fp", "words"])
+        release()
+
+    return run
+
+
+def _sets(words: int):
+    """(key, marks) of rows (key, text): their shingles, in batches of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sets, held = [], [], 0
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys.append(key)
+                sets.append(shingle_set(text.as_py(), words))
+                held += sets[-1].nbytes
+                if held > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(sets)], ["key", "marks"])
+                    keys, sets, held = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(sets)], ["key", "marks"])
+        release()
+
+    return run
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: a checkpoint would carry size estimates on, which joins multiply every round."""
+    path = f"{checkpoint_root(df.sparkSession)}/similar-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _deleted(*tables: DataFrame) -> None:
+    """Remove the files of tables that are not read any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _reach(probability: float, n: int, z: float) -> int:
+    """So many of n bits differ at most, but for chance beyond z standard deviations."""
+    return math.ceil(n * probability + z * math.sqrt(n * probability * (1 - probability)))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float, far: int) -> DataFrame:
+    """(a, b, alike) of pairs of keys: the complete distance of their fingerprints first, then the similarity of the sets."""
+    of_a, of_b = (nodes.select(F.col("key").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("words", "marks")]) for end in "ab")
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    distance = F.aggregate(F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    common = F.size(F.array_intersect("marks_a", "marks_b"))
+    union = F.size("marks_a") + F.size("marks_b") - common
+    return both.select("a", "b", F.when(distance <= far, common >= similarity * union - 1e-9).otherwise(False).alias("alike"))
+
+
+def _closed(place: DataFrame, nodes: DataFrame, similarity: float, far: int, rounds: int) -> DataFrame:
+    """(node, component) of the keys in place (bucket, key, size, part) that are alike; sets of too different sizes cannot be."""
+    tried: DataFrame | None = None
+    groups = None
+    for number in range(rounds + 1):
+        order = F.xxhash64("key", F.lit(number))
+        bucket = place.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min_by(F.struct("key", "size", "part"), order).alias("other"))
+        before, place = place, _stored(place.join(cut(bucket.filter("low != high").select("bucket", "other")), "bucket"))
+        _deleted(before)
+        if number == rounds:
+            met = place.drop("other").join(place.select("bucket", F.struct("key", "size", "part").alias("other")), "bucket").filter("part < other.part")
+        else:
+            met = place.filter("part != other.part")
+        fit = met.filter(F.least("size", "other.size") >= similarity * F.greatest("size", "other.size") - 1e-9)
+        pairs = fit.select(F.least("key", "other.key").alias("a"), F.greatest("key", "other.key").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        checked = _stored(_verified(_stored(pairs), nodes, similarity, far))
+        tried = checked if tried is None else tried.union(checked)
+        groups = cut(connected_components(tried.filter("alike")))
+        if number < rounds:
+            before, place = place, _stored(place.join(groups, place["key"] == groups["node"], "left").select("bucket", "key", "size", F.coalesce("component", "key").alias("part")))
+            _deleted(before)
+    _deleted(place)
+    return groups
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, rounds: int = 2, block: int = 4096) -> DataFrame:
+    """(doc_id, component_id) of every row; component_id is the least id reachable by links of Jaccard similarity >= similarity.
+
+    Links hold exactly: every one is verified on the whole sets of shingles
+    (of distinct lower-case words, ``words`` long). A pair right at the
+    similarity is not found with probability ``missed``, and 0.3 % for the check
+    of the first word; the chance falls fast above it, and a group holds
+    together by any of its links.
+
+    Of the matches of a bucket not all pairs are verified: its members are
+    first held against one of them, links are closed to groups, and what stays
+    apart after so many ``rounds`` is compared in full.
+
+    Null and blank texts have the empty set and are copies of each other.
+    Repeated ids and texts keep their rows. A row without an id belongs to the
+    group of its text; a group without any id has a null component. An empty
+    table gives no rows. Other columns of docs are not read.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("handle"), F.col(text_col).alias("text"))
+    segments, p = wide_segments(rows.count(), similarity, missed), differing(similarity)
+    n_words = segments[-1][0] + 1
+    marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, handle long, key long, size long, fp long, words array<long>"))
+    sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("handle").alias("handle"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))
+    wide = sets.filter("size > 0")
+    found = _dealt(wide.select("fp", "words"), segments, block).mapInPandas(_matches(_reach(p, 64, 3.0), _members), "bucket long, fp long")
+    # Different sets that share the first word meet in a bucket of their own.
+    alone = wide.groupBy("fp").count().filter("count > 1").select(F.bitwise_not(F.shiftrightunsigned("fp", 1)).alias("bucket"), "fp")
+    place = _stored(wide.join(found.unionByName(alone).distinct(), "fp").select("bucket", "key", "size", F.col("key").alias("part")))
+    named = wide.join(place.select("key").distinct(), "key", "left_semi").select("key", "handle", "words")
+    marks = named.select("key", "handle").join(rows, "handle").select("key", "text").mapInArrow(_sets(words), "key long, marks array<long>").dropDuplicates(["key"])
+    nodes = _stored(named.select("key", "words").join(marks, "key"))
+    groups = _closed(place, nodes, similarity, _reach(p, 64 * n_words, 4.0), rounds)
+    own = sets.select("key", _node(F.col("first_id"), F.col("key")).alias("own"))
+    of_a, of_b = (own.select(F.col("key").alias(end), F.col("own").alias(f"own_{end}")) for end in ("node", "component"))
+    linked = connected_components(groups.join(of_a, "node").join(of_b, "component").select("own_node", "own_component"), "own_node", "own_component")
+    grouped = own.join(linked, own["own"] == linked["node"], "left").select("key", _least_id(F.coalesce("component", "own")).alias("component_id"))
+    result = _stored(marked.select("doc_id", "key").join(grouped, "key", "left").select("doc_id", "component_id"))
+    _deleted(marked, sets, nodes)
+    return result

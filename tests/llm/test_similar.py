@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from prosemill.llm.nearcopies import near_copy_groups, shingles
+from prosemill.llm.simhash import differing, shingle_set, similar_groups, wide_segments
 
 
 def brute_groups(rows, least=0.8):
@@ -55,11 +55,12 @@ def family(seed):
     return rows
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_groups_equal_brute_force(spark, rounds):
+@pytest.mark.parametrize(("rounds", "block"), [(0, 4096), (2, 7)])
+def test_groups_equal_brute_force(spark, rounds, block):
+    """With hardly any pair missed, groups are those of all pairs."""
     rows = family(3)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["component_id"] for r in near_copy_groups(docs, rounds=rounds).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in similar_groups(docs, rounds=rounds, missed=1e-6, block=block).collect()}
     assert got == brute_groups(rows)
 
 
@@ -72,7 +73,23 @@ def test_the_stage_drops_every_copy_at_the_threshold(spark):
 def test_rows_without_id_and_empty_tables(spark):
     rows = [(7, "a b c d e f"), (None, "A b c d e f"), (2, "a b c d e f"), (None, "quite another text"), (7, "a b c d e f")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(r["doc_id"], r["component_id"]) for r in near_copy_groups(docs).collect()]
+    got = [(r["doc_id"], r["component_id"]) for r in similar_groups(docs).collect()]
     assert sorted(got, key=str) == sorted([(7, 2), (None, 2), (2, 2), (None, None), (7, 2)], key=str)
-    assert near_copy_groups(docs.limit(0)).count() == 0
-    assert len(shingles("a b c")) == 1 and not len(shingles(None))
+    assert similar_groups(docs.limit(0)).count() == 0
+    assert len(shingle_set("a b c", 5)) == 1 and not len(shingle_set(None, 5))
+
+
+def test_segments_find_pairs_at_the_similarity():
+    """The share of pairs at 0.8 that no segment finds, of simulated fingerprints, is the one asked for."""
+    rng = __import__("numpy").random.default_rng(5)
+    for n in (1000, 1 << 20):
+        segments = wide_segments(n, 0.8, 0.01)
+        found = sum((rng.random((4000, width)) < differing(0.8)).sum(1) <= 1 for _, _, width in segments)
+        assert 0.003 < (found == 0).mean() < 0.02
+        assert all(low + width <= 64 for _, low, width in segments)
+
+
+def test_an_id_of_two_texts_joins_nothing(spark):
+    rows = [(7, "one two three four five six"), (7, "quite other words stand here now"), (9, "quite other words stand here now")]
+    got = [tuple(r) for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(7, 7), (7, 7), (9, 7)]
