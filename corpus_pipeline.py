@@ -13,11 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm.nearcopies import near_copy_groups
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.queries import tokenizer_file
 from prosemill.llm.runtime import checkpoint_root, table
 from prosemill.llm.secrets import blob_findings, redact, scan_versions
+from prosemill.llm.simhash import similar_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import fit_ngrams, ngram_score
 
@@ -40,7 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (Jaccard 0.8 or more on five-word shingles) the document with the least id. Rows of one id are one document; rows without an id stay."""
-    groups = near_copy_groups(docs)
+    groups = similar_groups(docs)
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*_columns(docs))
 
@@ -68,7 +68,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("suffix_dedup", cut_repeats),
     ("secret_scan", redact_secrets),
     ("packing", pack),
