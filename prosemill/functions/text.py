@@ -92,9 +92,9 @@ def repeats(items: Column) -> Column:
     return let(items, lambda x: F.size(F.array_distinct(x)) < F.size(x))
 
 
-def upper_median(values: Column) -> Column:
-    """Aggregate: the element at n // 2 of the sorted values."""
-    return F.element_at(F.sort_array(F.collect_list(values)), (F.floor(F.count(values) / 2) + 1).cast("int"))
+def upper_median(column: str) -> Column:
+    """Aggregate: the element at n // 2 of the sorted values of a numeric column. It counts by value, so whole numbers combine before the shuffle."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 
 def surface(prose: Column, text: Column) -> Column:

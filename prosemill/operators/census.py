@@ -31,7 +31,7 @@ def phrase_census(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame
     bare = T.without_quotes(text)
     rows = docs.select(F.col(by), F.greatest(F.size(T.tokens(text)).cast("long"), F.lit(1).cast("long")).alias("w"), *[phrase_count(bare, f).alias(f) for f in FAMILIES])
     rates = [F.bround(1000 * F.sum(f) / F.sum("w"), 2).alias(f"{f}_per_1kw") for f in FAMILIES]
-    return rows.groupBy(by).agg(F.count("*").alias("docs"), F.sum("w").alias("words_total"), F.bround(F.avg("w"), 0).cast("long").alias("words_mean"), T.upper_median(F.col("w")).alias("words_median"), *rates, F.count_if(reduce(add, map(F.col, FAMILIES)) == 0).alias("docs_with_zero"))
+    return rows.groupBy(by).agg(F.count("*").alias("docs"), F.sum("w").alias("words_total"), F.bround(F.avg("w"), 0).cast("long").alias("words_mean"), T.upper_median("w").cast("long").alias("words_median"), *rates, F.count_if(reduce(add, map(F.col, FAMILIES)) == 0).alias("docs_with_zero"))
 
 
 def distinct_share(words: Column, n: int) -> Column:
@@ -52,9 +52,14 @@ def _own_grams(docs: DataFrame, n: int, text_col: str, *keep: str) -> DataFrame:
 
 
 def repeated_ngrams(docs: DataFrame, n: int = 8, text_col: str = "text") -> DataFrame:
-    """n-grams by document, distinct ones, and the repeated percentage; each document counts an n-gram once."""
-    grams = _own_grams(docs, n, text_col)
-    counted = grams.groupBy("g").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n_distinct"))
+    """n-grams by document, distinct ones, and the repeated percentage; each document counts an n-gram once.
+
+    Across documents n-grams are counted by 128 bits of hash, not as texts.
+    """
+    rows = T.materialised(docs, "_w", words=T.tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    marks = F.transform(F.array_distinct(T.ngrams(F.col("_w.words"), n)), lambda g: F.struct(F.xxhash64(g).alias("a"), F.xxhash64(F.lit(1), g).alias("b")))
+    grams = rows.select(F.explode(marks).alias("g")).select("g.a", "g.b")
+    counted = grams.groupBy("a", "b").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n_distinct"))
     return counted.select("total", "n_distinct", F.bround(F.try_divide(100.0 * (F.col("total") - F.col("n_distinct")), F.col("total")), 2).alias("repeated_pct"))
 
 
@@ -67,7 +72,8 @@ def compressed_bits(docs: DataFrame, by: str, order: str, text_col: str = "text"
     """zlib bits per character of each corpus, documents in order with a space between.
 
     Compression has one state for a corpus, so each is one stream in one task,
-    read in sorted batches and never held.
+    read in sorted batches and never held; more machines do not shorten it. The
+    number asked for is that of the whole stream, which blocks would change.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,11 +12,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from prosemill.functions import text as T
 from prosemill.functions.gates import verdict, with_gates
 from prosemill.functions.strip import stripped
+from prosemill.sources.shared import cut
 
 
 @dataclass(frozen=True)
@@ -52,10 +52,20 @@ def seed(idx: Column, att: Column, config: BuildConfig = BuildConfig()) -> Colum
     return F.lit(config.base_seed).cast("long") + idx * 10 + att
 
 
+def _is_short(text: Column, config: BuildConfig) -> Column:
+    return F.size(T.tokens(F.coalesce(text, F.lit("")))) < config.short_words
+
+
+def retry_requests(leaves: DataFrame, draws: DataFrame, config: BuildConfig = BuildConfig()) -> DataFrame:
+    """(idx, att, prompt, seed) of the second draws to ask for: those of first draws with too few words, by a seed of their own."""
+    short = draws.filter(_is_short(F.col("text"), config)).join(leaves, "idx")
+    return short.select("idx", "att", prompt(F.col("n"), F.col("p")).alias("prompt"), (seed(F.col("idx"), F.col("att"), config) + config.short_seed).alias("seed"))
+
+
 def replace_short(draws: DataFrame, seconds: DataFrame, config: BuildConfig = BuildConfig()) -> DataFrame:
     """draws with the second draw (same idx and att, its own seed) wherever the first has too few words."""
     other = seconds.select("idx", "att", F.col("text").alias("_text"), F.col("stop").alias("_stop"))
-    short = (F.size(T.tokens(F.col("text"))) < config.short_words) & F.col("_text").isNotNull()
+    short = _is_short(F.col("text"), config) & F.col("_text").isNotNull()
     joined = draws.join(other, ["idx", "att"], "left")
     return joined.select("idx", "att", F.when(short, F.col("_text")).otherwise(F.col("text")).alias("text"), F.when(short, F.col("_stop")).otherwise(F.col("stop")).alias("stop"))
 
@@ -105,33 +115,63 @@ def attempts(leaves: DataFrame, draws: DataFrame, config: BuildConfig = BuildCon
 
 
 def first_wins(rows: DataFrame, key: str = "k", order: str = "idx") -> DataFrame:
-    """rows whose key an earlier row has get the verdict dupe."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return rows.withColumn("verdict", F.when(rank > 1, "dupe").otherwise(F.col("verdict")))
+    """rows whose key a row of smaller order has get the verdict dupe; null keys are one key.
 
+    The least order of each key is combined before the shuffle and written, so
+    the rows of a very common key can be dealt over many tasks in the join.
+    """
+    owner = cut(rows.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first")))
+    joined = rows.join(owner, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn("verdict", F.when(F.col(order) > F.col("_first"), "dupe").otherwise(F.col("verdict"))).drop("_key", "_first")
 
-def build(leaves: DataFrame, draws: DataFrame, seen: DataFrame | None = None, config: BuildConfig = BuildConfig()) -> tuple[DataFrame, DataFrame]:
+
+def _settle(good: DataFrame, lost: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """(picked, lost): each leaf's first passing draw whose key no leaf of lower index holds; lost are the (idx, k) given up on the way."""
+    while True:
+        left = good if lost is None else good.join(lost, ["idx", "k"], "left_anti")
+        picked = cut(left.groupBy("idx").agg(F.min_by(F.struct("att", "k"), "att").alias("p")).select("idx", "p.att", "p.k"))
+        owner = picked.groupBy("k").agg(F.min("idx").alias("owner"))
+        losing = cut(picked.join(owner, "k").filter("idx != owner").select("idx", "k"))
+        if losing.isEmpty():
+            return picked, lost
+        lost = losing if lost is None else cut(lost.unionByName(losing))
+
+
+def build(leaves: DataFrame, draws: DataFrame, seen: DataFrame | None = None, config: BuildConfig = BuildConfig(), wave: int = 4) -> tuple[DataFrame, DataFrame]:
     """(corpus, rejects). corpus has one row a leaf: shipped, or its last draw as exhausted.
 
     seen: keys (k) that earlier runs shipped. draws counts the draws up to the
     row; in rejects att counts from 1. Leaves that lose their text to a lower
-    index try again until nothing changes, so the result is a fixed point.
+    index try again until nothing changes, so the result is a fixed point, and
+    the same whatever the waves are.
+
+    Draws are judged in waves, for the leaves that have none to ship yet: the
+    next ``wave`` attempts of each, and twice as many in every wave to come.
+    Each wave is written, so no wave is judged again.
     """
-    judged = attempts(leaves, draws, config).persist()
-    good = judged.filter(F.col("verdict").isin("pass", "style")).select("idx", "att", "k")
-    if seen is not None:
-        good = good.join(seen.select("k").distinct(), "k", "left_anti")
-    lost = None
+    last = config.first_attempt + config.attempts
+    judged: DataFrame | None = None
+    state, picked, lost = leaves.select("idx", F.lit(config.first_attempt).alias("upto")), None, None
     while True:
-        left = good if lost is None else good.join(lost, ["idx", "k"], "left_anti")
-        picked = left.groupBy("idx").agg(F.min_by(F.struct("att", "k"), "att").alias("p")).select("idx", "p.att", "p.k").persist()
-        owner = picked.groupBy("k").agg(F.min("idx").alias("owner"))
-        losing = picked.join(owner, "k").filter("idx != owner").select("idx", "k").persist()
-        if losing.isEmpty():
+        waiting = state if picked is None else state.join(picked.select("idx"), "idx", "left_anti")
+        todo = cut(waiting.join(draws.select("idx", "att"), "idx").filter(F.col("att").between(F.col("upto"), last - 1)).select("idx", "upto").distinct())
+        if todo.isEmpty():
             break
-        lost = losing if lost is None else lost.unionByName(losing)
-    last = judged.groupBy("idx").agg(F.max("att").alias("att")).join(picked.select("idx"), "idx", "left_anti")
-    chosen = picked.select("idx", "att", F.lit(True).alias("_ships")).unionByName(last.select("idx", "att", F.lit(False).alias("_ships")))
+        until = F.least(F.col("upto") + wave, F.lit(last))
+        asked = draws.join(todo, "idx").filter((F.col("att") >= F.col("upto")) & (F.col("att") < until)).drop("upto")
+        fresh = cut(attempts(leaves, asked, config))
+        judged = fresh if judged is None else judged.unionByName(fresh)
+        state = cut(state.join(todo.select("idx", until.alias("_next")), "idx", "left").select("idx", F.coalesce("_next", "upto").alias("upto")))
+        good = judged.filter(F.col("verdict").isin("pass", "style")).select("idx", "att", "k")
+        if seen is not None:
+            good = good.join(seen.select("k").distinct(), "k", "left_anti")
+        picked, lost = _settle(good, lost)
+        wave *= 2
+    if judged is None:
+        judged = cut(attempts(leaves, draws.limit(0), config))
+        picked = judged.select("idx", "att", "k")
+    exhausted = judged.groupBy("idx").agg(F.max("att").alias("att")).join(picked.select("idx"), "idx", "left_anti")
+    chosen = cut(picked.select("idx", "att", F.lit(True).alias("_ships")).unionByName(exhausted.select("idx", "att", F.lit(False).alias("_ships"))))
     draws_used = F.col("att") - config.first_attempt + 1
     corpus = judged.join(chosen, ["idx", "att"]).withColumn("draws", draws_used).withColumn("verdict", F.when(F.col("_ships"), F.col("verdict")).otherwise("exhausted")).drop("_ships")
     until = chosen.select("idx", F.col("att").alias("_last"), "_ships")

@@ -8,7 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prosemill.functions.labels import parse_reply
+from prosemill.functions.text import normalise
 from prosemill.functions.vocab import ENERGIES, TAGS, WORLDS
+from prosemill.sources.shared import cut
 
 
 def valid(votes: DataFrame) -> DataFrame:
@@ -51,6 +54,34 @@ def still_missing(corpus: DataFrame, votes: DataFrame) -> DataFrame:
     return corpus.join(valid(votes).select("k").distinct(), "k", "left_anti")
 
 
+def sweep(corpus: DataFrame, ask: Callable[[DataFrame, int], DataFrame], most: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(votes, missing) after asking again, at most so many times, for the rows without a valid vote.
+
+    ask(rows, number) returns votes (k, world, energy, ...) for rows; invalid
+    ones are dropped, and so are those of keys that have one. votes have the
+    number of their sweep.
+    """
+    missing, votes = corpus, None
+    for number in range(1, most + 1):
+        answered = cut(valid(ask(missing, number)).withColumn("sweep", F.lit(number)))
+        votes = answered if votes is None else votes.unionByName(answered)
+        missing = cut(still_missing(missing, answered))
+        if missing.isEmpty():
+            break
+    return votes, missing
+
+
+def outcomes(corpus: DataFrame, replies: DataFrame, most: int = 8_000) -> DataFrame:
+    """(k, world, energy, tags, raw, ok) of every row: its parsed reply (k, raw), or what stands for a blank story or a lost reply."""
+    story = classifier_input(F.col("prose"), F.col("text"), most)
+    joined = corpus.select("k", (normalise(story) == "").alias("_blank")).join(replies.select("k", F.col("raw").alias("_raw")), "k", "left")
+    parsed = joined.select("*", parse_reply(F.coalesce("_raw", F.lit(""))).alias("_p"))
+    none = F.array().cast("array<string>")
+    world = F.when(F.col("_blank"), "?").when(F.col("_raw").isNull(), "<err no reply>").otherwise(F.col("_p.world"))
+    asked = ~F.col("_blank")
+    return parsed.select("k", world.alias("world"), F.when(asked, F.col("_p.energy")).otherwise("?").alias("energy"), F.when(asked, F.col("_p.tags")).otherwise(none).alias("tags"), F.when(asked, F.coalesce("_raw", F.lit(""))).otherwise("<empty>").alias("raw"), (asked & F.col("_p.ok")).alias("ok"))
+
+
 def classifier_input(prose: Column, text: Column, most: int = 8_000) -> Column:
     """The first characters of the prose, or of the text where the prose is missing or empty."""
     return F.substring(F.coalesce(F.nullif(prose, F.lit("")), text, F.lit("")), 1, most)
@@ -69,6 +100,20 @@ def subword_counts(corpus: DataFrame, count: Callable[[list[str]], list[int]], b
     return corpus.select("k", surface.alias("text")).mapInPandas(run, "k string, n long")
 
 
+def tokenizer_counter(path: str) -> Callable[[list[str]], list[int]]:
+    """A counter for subword_counts by a file of the tokenizers library, special tokens not added. The file is read once a worker."""
+    held: list = []
+
+    def count(texts: list[str]) -> list[int]:
+        if not held:
+            from tokenizers import Tokenizer
+
+            held.append(Tokenizer.from_file(path))
+        return [len(e.ids) for e in held[0].encode_batch(texts, add_special_tokens=False)]
+
+    return count
+
+
 def retokenise(corpus: DataFrame, counts: DataFrame) -> DataFrame:
     """n_tok from a table of subword counts (k, n); the old value moves to n_word."""
     joined = corpus.drop("n_word").join(counts.select("k", F.col("n").alias("_n")), "k", "left")

@@ -47,6 +47,13 @@ def merge_gates(corpus: DataFrame, results: DataFrame, rejects: DataFrame) -> Da
     return joined.drop("_has", *[f"_{c}" for c in GATE_COLUMNS])
 
 
+def dry_run(corpus: DataFrame, results: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row of what merge_gates would find, without merging: the counts of coverage, repeated result keys, and a map of decisions."""
+    repeated = duplicate_keys(results).agg(F.count("*").alias("n_repeated"))
+    decisions = results.groupBy("gate_decision").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gate_decision", "n")))).alias("decisions"))
+    return coverage(corpus, results, rejects).crossJoin(repeated).crossJoin(decisions)
+
+
 def content_changes(before: DataFrame, after: DataFrame, ignore: tuple[str, ...] = GATE_COLUMNS) -> DataFrame:
     """Keys whose content (all but the ignored columns) differs."""
     columns = sorted(set(before.columns) - set(ignore))

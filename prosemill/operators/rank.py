@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.operators.sampling import running_total
 
+#: A value above this one lets the teacher pass (fixed value).
 GO = 0.85
 
 
@@ -20,8 +25,9 @@ def auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     return wins.select(F.try_divide(F.col("w"), (F.col("p") * F.col("n")).cast("double")).alias("auc"))
 
 
-def decision(value: Column) -> Column:
-    return F.when(value > GO, "GO").otherwise("WEAK")
+def decision(value: Column, otherwise: str = "WEAK") -> Column:
+    """GO above the limit; else WEAK for an AUC, or STOP for a win rate of matched pairs."""
+    return F.when(value > GO, "GO").otherwise(otherwise)
 
 
 def judge_probability(tokens: DataFrame, key: str = "sentence") -> DataFrame:
@@ -45,27 +51,50 @@ def paragraph_scores(paragraphs: DataFrame, probabilities: DataFrame, key: str =
 
 
 def paired_wins(pairs: DataFrame, scores: DataFrame) -> DataFrame:
-    """One row (n, win_rate, median_margin) of pairs (kf, kg) whose second should score higher; pairs without both scores are left out."""
+    """One row (n, win_rate, median_margin, decision) of pairs (kf, kg) whose second should score higher; pairs without both scores are left out.
+
+    Margins are counted by value; the median (the element at n // 2) is found by running totals over ranges of them.
+    """
     f, g = (scores.select(F.col("k").alias(k), F.col("s").alias(s)) for k, s in (("kf", "sf"), ("kg", "sg")))
-    margin = pairs.join(f, "kf").join(g, "kg").select((F.col("sg") - F.col("sf")).alias("d"))
-    upper = F.get(F.sort_array(F.collect_list("d")), F.floor(F.count("d") / 2).cast("int"))
-    return margin.agg(F.count("*").alias("n"), F.avg((F.col("d") > 0).cast("double")).alias("win_rate"), upper.alias("median_margin"))
+    margin = pairs.join(f, "kf").join(g, "kg").select((F.col("sg") - F.col("sf")).alias("d")).filter("d is not null")
+    counted = running_total(margin.groupBy("d").agg(F.count("*").alias("c")), "d", F.col("c"), "before")
+    totals = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), (F.sum(F.when(F.col("d") > 0, F.col("c")).otherwise(0)) / F.sum("c")).alias("win_rate"))
+    half = F.floor(F.col("n") / 2)
+    middle = counted.crossJoin(F.broadcast(totals)).filter((F.col("before") <= half) & (half < F.col("before") + F.col("c"))).select(F.col("d").alias("median_margin"))
+    return totals.join(middle, F.lit(True), "left").select("n", "win_rate", "median_margin", decision(F.col("win_rate"), "STOP").alias("decision"))
 
 
 def flag_rate(rows: DataFrame, score: str = "score", threshold: float = 0.12) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.count_if(F.col(score).isNull()).alias("n_missing"), F.avg((F.col(score) >= threshold).cast("double")).alias("flag_rate"), F.avg(score).alias("mean_score"))
 
 
+#: Cumulative probabilities of a Poisson number of mean 1 (fixed values).
+_POISSON = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676)
+
+
 def bootstrap_interval(rows: DataFrame, score: str, key: str, rounds: int = 2000, seed: int = 7) -> DataFrame:
-    """One row (low, high): 95 % interval of the mean, by Poisson weights from hashes of key and round.
+    """One row (low, high): 95 % interval of the mean of all scores that are not null, by Poisson weights from hashes of key and round.
 
-    Each row adds to every round's sums where it stands; the rounds are few, so no pairs of rows are made.
+    A task adds up the weighted sums of every round over its own rows, so
+    what is shuffled is a row a round and task.
     """
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("round")), F.lit(1 << 30)) / float(1 << 30)
-    cuts = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676)
-    weight = sum((F.when(u >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    drawn = rows.filter(F.col(score).isNotNull()).select(key, score, F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
-    means = drawn.groupBy("round").agg(F.try_divide(F.sum(F.col(score) * weight), F.sum(weight)).alias("m"))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = np.arange(1, rounds + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        total, weight = np.zeros(rounds), np.zeros(rounds)
+        for batch in batches:
+            values, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            for at in range(0, len(values), 512):
+                x = marks[at : at + 512, None] ^ salt
+                x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+                times = np.searchsorted(_POISSON, (x >> np.uint64(11)) * 2.0**-53, "right")
+                total += values[at : at + 512] @ times
+                weight += times.sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(rounds)), pa.array(total), pa.array(weight)], ["round", "total", "weight"])
+
+    ready = rows.filter(F.col(score).isNotNull()).select(F.col(score).cast("double"), F.xxhash64(F.lit(seed), F.col(key)))
+    means = ready.mapInArrow(sums, "round long, total double, weight double").groupBy("round").agg(F.try_divide(F.sum("total"), F.sum("weight")).alias("m"))
     return means.agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
 
 

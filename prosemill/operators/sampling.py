@@ -54,8 +54,20 @@ def shard(rows: DataFrame, key: str, number: int, of: int) -> DataFrame:
 
 
 def folds(rows: DataFrame, key: str, label: str, k: int = 5, seed: int = 7) -> DataFrame:
-    """rows with ``fold``, spread evenly within each label by a hash of the key."""
-    return rows.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col(key)), F.lit(k)).cast("int"))
+    """rows with ``fold``: of each label, the rows go round the folds in the order of a hash of the key.
+
+    So the folds' sizes differ by one at most within a label. Labels are
+    classes, of which there are few; their counts are read first.
+    """
+    counts = sorted(rows.groupBy(label).count().collect(), key=lambda r: str(r[label]))
+    number, start, before = F.lit(0), F.lit(0), 0
+    for i, row in enumerate(counts):
+        own = F.col(label).eqNullSafe(F.lit(row[label]))
+        number, start = F.when(own, F.lit(i)).otherwise(number), F.when(own, F.lit(before)).otherwise(start)
+        before += row["count"]
+    order = F.shiftleft(number.cast("long"), 48) + F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 16)
+    placed = with_position(rows.withColumn("_order", order).withColumn("_start", start), "_order", "_place")
+    return placed.withColumn("fold", F.pmod(F.col("_place") - F.col("_start"), F.lit(k)).cast("int")).drop("_order", "_start", "_place")
 
 
 def pick_one(items: Column, seed: int, key: Column) -> Column:

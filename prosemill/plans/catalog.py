@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,9 @@ from prosemill.functions.strip import stripped
 from prosemill.functions.vocab import ENERGIES, TAGS, WORLDS
 from prosemill.operators import acceptance, audit, census, corpus, merge, rank, sampling
 from prosemill.operators import labels as votes
-from prosemill.plans.oracle import FRONTS, ORACLE, SPEECH, WRAPS
+from prosemill.plans.oracle import FRONTS, ORACLE, REPLY_JOINS, REPLY_MARKS, REPLY_SLOTS, SPEECH, WRAPS
 from prosemill.sources import records
+from prosemill.sources.shared import checkpoint_root
 from prosemill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,6 +285,12 @@ def short_draw_replacement(spark, sf_dir):
     return corpus.replace_short(docs, second).select("idx", F.md5("text").alias("text_md5"), "stop")
 
 
+@query
+def short_draw_requests(spark, sf_dir):
+    leaves, draws = _draws(spark, sf_dir)
+    return corpus.retry_requests(leaves, draws)
+
+
 @query
 def first_wins_dedup(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", T.content_key(F.col("text")).alias("k"), F.lit("pass").alias("verdict"))
@@ -329,7 +337,7 @@ def labelled_inner_sorted(spark, sf_dir):
 @query
 def coverage_check(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return merge.coverage(docs, labels.filter("quality = 1"), labels.filter("quality = 0"), "doc_id")
+    return merge.coverage(docs, labels.filter("quality = 1"), labels.filter("quality = 0 or toxic = 1"), "doc_id")
 
 
 @query
@@ -341,6 +349,15 @@ def gate_merge(spark, sf_dir):
     return merged.select("k", "gate_decision", "gate_score", F.array_join("gate_fails", ",").alias("gate_fails"))
 
 
+@query
+def gate_merge_dry_run(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"))
+    results = labels.filter("quality = 1").select(F.col("doc_id").alias("k"), F.lit("PASS").alias("gate_decision"))
+    out = merge.dry_run(rows, results, labels.filter("quality = 0 or toxic = 1").select(F.col("doc_id").alias("k")))
+    return out.select("n_keys", "n_covered", "n_uncovered", "n_both", "n_repeated", F.element_at("decisions", F.lit("PASS")).alias("n_pass"))
+
+
 @query
 def duplicate_texts(spark, sf_dir):
     return merge.duplicate_keys(_docs(spark, sf_dir).select(T.content_key(F.col("text")).alias("k")))
@@ -363,7 +380,7 @@ def source_union(spark, sf_dir):
 @query
 def content_fingerprints(spark, sf_dir):
     before = _docs(spark, sf_dir, "lang").withColumnRenamed("doc_id", "k")
-    after = before.withColumn("lang", F.when(F.col("k") % 10 == 0, "xx").otherwise(F.col("lang")))
+    after = before.withColumn("lang", F.when(F.col("k") % 10 == 0, "en").otherwise(F.col("lang"))).withColumn("text", F.regexp_replace("text", "^a", "A")).filter("k % 17 != 3")
     return merge.content_changes(before, after)
 
 
@@ -418,11 +435,50 @@ def sweep_missing(spark, sf_dir):
     return votes.still_missing(rows, _votes(spark, sf_dir))
 
 
+def _replies() -> Column:
+    """A reply for each id: think blocks, marks around values, other separators, and slots that are left out."""
+    d = F.col("doc_id")
+
+    def of(values, shift: int = 0) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(d + shift, F.lit(len(values))).cast("int"))
+
+    slots = [F.concat(of(names), of(REPLY_JOINS, i), of(REPLY_MARKS, i), of(values), of(REPLY_MARKS, i)) for i, (names, values) in enumerate(REPLY_SLOTS)]
+    head = F.when(d % 5 == 0, "<think>WORLD: Contemporary\n</think>").otherwise("")
+    return F.concat(head, F.when(d % 13 != 0, slots[0]).otherwise("no slot"), F.lit("\n"), slots[1], F.lit("\n"), slots[2])
+
+
+@query
+def label_outcomes(spark, sf_dir):
+    """Replies joined to stories: some stories are blank, and some replies are lost."""
+    docs = _docs(spark, sf_dir)
+    rows = docs.select(F.col("doc_id").alias("k"), F.when(F.col("doc_id") % 6 == 0, " \n").otherwise(F.col("text")).alias("text"), F.when(F.col("doc_id") % 6 == 0, "").alias("prose"))
+    replies = docs.filter("doc_id % 11 != 0").select(F.col("doc_id").alias("k"), _replies().alias("raw"))
+    return votes.outcomes(rows, replies).select("k", "world", "energy", F.array_join("tags", ",").alias("tags"), F.md5("raw").alias("raw_md5"), "ok")
+
+
+@query
+def sweep_loop(spark, sf_dir):
+    """Sweeps over the labelled documents, of which some get a valid vote in a later sweep only and some never."""
+    rows = table(spark, sf_dir, "labels").select(F.format_string("%d", "doc_id").alias("k"))
+
+    def ask(missing: DataFrame, number: int) -> DataFrame:
+        good = F.pmod(F.col("k").cast("long"), F.lit(7)) < number
+        return missing.select("k", F.when(good, next(iter(WORLDS))).otherwise("?").alias("world"), F.lit(next(iter(ENERGIES))).alias("energy"))
+
+    answered, missing = votes.sweep(rows, ask)
+    return answered.select("k", "sweep").unionByName(missing.select("k", F.lit(0).alias("sweep")))
+
+
+@query
+def votes_merged(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.format_string("%d", "doc_id").alias("k"), F.lit("old").alias("world"))
+    return votes.merge_votes(rows, _votes(spark, sf_dir)).select("k", "world", "energy", F.array_join("tags", ",").alias("tags"))
+
+
 @query
 def label_parse(spark, sf_dir):
-    kinds = F.array(*[F.lit(x) for x in ("WORLD: Fantasy & Supernatural\nENERGY: External\nTAGS: Horror, romance", "<think>hm</think>world - a **sci-fi** world\nenergy - love.\ntags - quest; noir; quest", "WORLD: none\nENERGY: external danger\nTAGS: n/a", "no slots at all")])
-    reply = F.get(kinds, F.pmod("doc_id", F.lit(4)).cast("int"))
-    rows = T.materialised(_docs(spark, sf_dir), "p", r=L.parse_reply(reply)).select("doc_id", "p.r")
+    """Replies with every keyword and label of each slot, in the forms that models give."""
+    rows = T.materialised(_docs(spark, sf_dir), "p", r=L.parse_reply(_replies())).select("doc_id", "p.r")
     return rows.select("doc_id", "r.world", "r.energy", F.array_join("r.tags", ",").alias("tags"), "r.ok")
 
 
@@ -478,7 +534,7 @@ def percentiles_by_source(spark, sf_dir):
 
 @query
 def upper_median_by_source(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(T.upper_median(F.col("n_chars")).alias("median"))
+    return table(spark, sf_dir, "documents").groupBy("source").agg(T.upper_median("n_chars").cast("long").alias("median"))
 
 
 @query
@@ -511,7 +567,8 @@ def hash_shuffle_slice(spark, sf_dir):
 
 @query
 def stratified_folds(spark, sf_dir):
-    return sampling.folds(table(spark, sf_dir, "labels"), "doc_id", "quality")
+    """Rows of each label in each of five folds."""
+    return audit.tally(sampling.folds(table(spark, sf_dir, "labels"), "doc_id", "quality"), "quality", "fold")
 
 
 @query
@@ -554,6 +611,13 @@ def positive_verification(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", acceptance.refusal(T.first_words(F.col("text"), acceptance.PARAGRAPH_WORDS), kind).alias("refusal"))
 
 
+@query
+def positive_verification_whole(spark, sf_dir):
+    """The stricter form: whole texts, their length in tokens, no digits."""
+    kind = F.when(F.col("doc_id") % 2 == 0, "cliche").otherwise("babble")
+    return _docs(spark, sf_dir).select("doc_id", acceptance.refusal(F.col("text"), kind, by_tokens=True, no_digits=True).alias("refusal"))
+
+
 @query
 def rewrite_acceptance(spark, sf_dir):
     changed = F.regexp_replace("text", r"\bof the\b|\bthe\b", "a")
@@ -595,7 +659,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paired_wins(spark, sf_dir):
     pairs = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("kf"), (F.col("doc_id") + 1).alias("kg"))
     out = rank.paired_wins(pairs, _scores(spark, sf_dir))
-    return out.select("n", F.bround("win_rate", 6).alias("win_rate"), F.bround("median_margin", 6).alias("median_margin"))
+    return out.select("n", F.bround("win_rate", 6).alias("win_rate"), F.bround("median_margin", 6).alias("median_margin"), "decision")
 
 
 @query
@@ -607,8 +671,7 @@ def flag_rate(spark, sf_dir):
 
 @query
 def bootstrap_ci(spark, sf_dir):
-    rows = sampling.even_sample(_scores(spark, sf_dir), "k", 300)
-    return rank.bootstrap_interval(rows, "s", "k")
+    return rank.bootstrap_interval(_scores(spark, sf_dir), "s", "k")
 
 
 @query
@@ -637,12 +700,18 @@ def distil_probe(spark, sf_dir):
 
 @query
 def contrast_probe(spark, sf_dir):
-    """Two classes against each other, and the control of one class's halves."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("label") < 3, "a").when(F.col("label") < 6, "b").otherwise("c").alias("source"))
-    against = rank.contrast(rows, "source", "a", "b")
-    halves = rank.contrast(rows.filter("source = 'a'").withColumn("source", F.when(F.col("vec_id") % 2 == 0, "x").otherwise("y")), "source", "x", "y")
-    parts = [rank.probe(part, "vec_id", "embedding", "y", "logistic", 2).withColumn("set", F.lit(name)) for name, part in (("classes", against), ("halves", halves))]
-    return parts[0].unionByName(parts[1])
+    """Two classes against each other, the same by lengths that both have, and the control of one class's halves."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("label") < 3, "a").when(F.col("label") < 6, "b").otherwise("c").alias("source"), (F.col("vec_id") % 97).alias("n"))
+    halves = rows.filter("source = 'a'").withColumn("source", F.when(F.col("vec_id") % 2 == 0, "x").otherwise("y"))
+    sets = {"classes": rank.contrast(rows, "source", "a", "b"), "lengths": rank.contrast(rows, "source", "a", "b", "n"), "halves": rank.contrast(halves, "source", "x", "y")}
+    return reduce(DataFrame.unionByName, [rank.probe(part, "vec_id", "embedding", "y", "logistic", 2).withColumn("set", F.lit(name)) for name, part in sets.items()])
+
+
+@query
+def probe_heads(spark, sf_dir):
+    """The network and the trees on the task of logreg_probe."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", (F.col("label") < 5).cast("int").alias("y"))
+    return reduce(DataFrame.unionByName, [rank.probe(rows, "vec_id", "embedding", "y", head, 2).withColumn("head", F.lit(head)) for head in ("network", "trees")])
 
 
 @query
@@ -661,7 +730,7 @@ def paragraph_scores(spark, sf_dir):
 @query
 def classifier_input(spark, sf_dir):
     prose = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.concat(F.lit("prose "), "text"))
-    return _docs(spark, sf_dir).select("doc_id", F.md5(votes.classifier_input(prose, F.col("text"), 500)).alias("input_md5"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(votes.classifier_input(prose, F.col("text"))).alias("input_md5"))
 
 
 @query
@@ -676,7 +745,7 @@ def subword_counts(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     """Documents through the append log: the first row of each key, in the shared folder."""
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/prosemill-streams").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
     table(spark, sf_dir, "documents").select("doc_id", "text").write.json(f"{root}/in")
     rows = ingest.first_of_key(ingest.stream_lines(spark, f"{root}/in", table(spark, sf_dir, "documents").select("doc_id", "text").schema))
     ingest.append_stream(rows.select("k"), f"{root}/out", f"{root}/state").awaitTermination()

@@ -9,7 +9,7 @@ document. A document that holds anything else to cut makes the rows differ.
 from __future__ import annotations
 
 from prosemill.functions import patterns as P
-from prosemill.functions.vocab import CLICHE, ENERGIES, FUNCTION_WORDS, STOP_WORDS, TAGS, UNCANNY, WORLDS
+from prosemill.functions.vocab import CLICHE, ENERGIES, FUNCTION_WORDS, NONE_WORDS, STOP_WORDS, TAGS, UNCANNY, WORLDS
 
 #: What queries put before documents, by id modulo the number of entries.
 WRAPS = ("**The Long Road**\nBy A. Writer\n\n", "Title: The Long Road\nGenre: Drama\n\n", "Chapter 1: The Road\n", "")
@@ -22,6 +22,49 @@ CUTS, ECHOES = (1, 2, 1, 0, 5, 1), (0, 0, 0, 0, 0, 1)
 _WS = r"[\t-\r\x1c-\x1f \x{85}\p{Z}]"
 _TERMINAL = """[.!?…]["'')\\]]?\\z"""
 
+#: Replies of queries: separators, marks around values, and for each slot its names and values.
+REPLY_JOINS, REPLY_MARKS = (": ", " - ", ":", ":  "), ("", "**", '"', "'", "* ")
+REPLY_SLOTS = (
+    (("WORLD", "world", "World"), [*WORLDS, *(f"a kind of {w} tale" for words in WORLDS.values() for w in words), "none", "N/A", "quite another"]),
+    (("ENERGY", "energy"), [*ENERGIES, *(f"{w}, for the most part" for words in ENERGIES.values() for w in words), "-", "?"]),
+    (("TAGS", "tags"), [*(f"{a}, {b}; {a}" for a, b in zip(TAGS, [*TAGS][1:] + [*TAGS][:1], strict=True)), *(f"some {w}" for words in TAGS.values() for w in words), "none", "n/a, null"]),
+)
+
+
+def _label_of(value: str, table) -> str | None:
+    """What a slot's value stands for, told by plain search: a label, the longest keyword's label, none, or nothing."""
+    low = value.lower().strip()
+    if low in NONE_WORDS or not low:
+        return "none"
+    named = [label for label in table if label.lower() == low]
+    held = sorted(((-len(w), i, label) for i, (label, w) in enumerate((label, w) for label, words in table.items() for w in words) if w in low))
+    return named[0] if named else held[0][2] if held else None
+
+
+def _parsed_sql() -> str:
+    """(doc_id, world, energy, tags, ok) of the replies."""
+    worlds, energies = ([_label_of(v, t) or "?" for v in slot[1]] for slot, t in zip(REPLY_SLOTS, (WORLDS, ENERGIES), strict=False))
+    tags = [",".join(dict.fromkeys(t for part in v.replace(";", ",").split(",") if (t := _label_of(part, TAGS)) not in (None, "none"))) for v in REPLY_SLOTS[2][1]]
+
+    def of(values) -> str:
+        return f"({_list(values)})[doc_id % {len(values)} + 1]"
+
+    # Without a slot of its own, what follows "no slot" on later lines names no world either; and what is thought does not count.
+    world = f"CASE WHEN doc_id % 13 = 0 THEN '?' ELSE {of(worlds)} END"
+    good = f"({world} IN ({', '.join(map(_q, WORLDS))}) AND {of(energies)} IN ({', '.join(map(_q, ENERGIES))}))"
+    return f"(SELECT doc_id, {world} AS world, {of(energies)} AS energy, {of(tags)} AS tags, {good} AS ok FROM documents)"
+
+
+def _raw_sql() -> str:
+    """The replies themselves."""
+
+    def of(values, shift: int = 0) -> str:
+        return f"({_list(values)})[(doc_id + {shift}) % {len(values)} + 1]"
+
+    slots = [f"{of(names)} || {of(REPLY_JOINS, i)} || {of(REPLY_MARKS, i)} || {of(values)} || {of(REPLY_MARKS, i)}" for i, (names, values) in enumerate(REPLY_SLOTS)]
+    head = "CASE WHEN doc_id % 5 = 0 THEN '<think>WORLD: Contemporary' || chr(10) || '</think>' ELSE '' END"
+    return f"{head} || CASE WHEN doc_id % 13 <> 0 THEN {slots[0]} ELSE 'no slot' END || chr(10) || {slots[1]} || chr(10) || {slots[2]}"
+
 
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -243,6 +286,17 @@ def _mass(first: str, second: str) -> str:
     return f"(exp(-((doc_id * {first}) % 97 + 1) / 10.0) + exp(-((doc_id * {second}) % 97 + 1) / 10.0))"
 
 
+_LINES = f"(SELECT doc_id, s, i FROM (SELECT doc_id, unnest(x) AS s, unnest(range(len(x))) AS i FROM (SELECT doc_id, {_sentences('text')} AS x FROM {_D} d) e) u WHERE len({_words('s')}) >= 5)"
+
+
+def _refusal(text: str, length: str, digits: bool) -> str:
+    reasons = [(f"{length} < 40", "short"), (_LOOP, "loop"), (f"regexp_matches(t, {_q(_FORMAT)})", "format"), (f"doc_id % 2 = 0 AND {' + '.join(_count(p, 't', '(?i)') for p in CLICHE)} < 2", "lowtics")]
+    if digits:
+        reasons.append(("regexp_matches(t, '\\p{Nd}')", "digits"))
+    cases = " ".join(f"WHEN {c} THEN '{r}'" for c, r in reasons)
+    return f"SELECT doc_id, CASE {cases} END AS refusal FROM (SELECT doc_id, t, w, {_grams('w', 8, 1)} AS g8b FROM (SELECT doc_id, t, {_words('t')} AS w FROM (SELECT doc_id, {text} AS t FROM {_D} d) a) b) c"
+
+
 _UNIT = "(SELECT vec_id, label, list_transform(e, lambda x: CASE WHEN n > 0 THEN x / n ELSE 0.0 END) AS u FROM (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) a) b)"
 
 ORACLE = {
@@ -288,6 +342,8 @@ ORACLE = {
         ELSE 'Write a story in English. Genre: ' || source || '. Subgenre: ' || leaf || '.' || chr(10) || chr(10) END AS prompt,
         911000000 + doc_id * 10 + doc_id % 60 AS seed FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN source ELSE lang END AS leaf FROM documents) d""",
     "short_draw_replacement": f"SELECT doc_id AS idx, md5(CASE WHEN len(w) < 30 THEN 'again ' || text ELSE text END) AS text_md5, CASE WHEN len(w) < 30 THEN 'length' ELSE 'stop' END AS stop FROM {_W} t",
+    "short_draw_requests": f"""SELECT doc_id // 5 AS idx, doc_id % 5 AS att, 'Write a story in English. Genre: parent ' || CAST(doc_id // 50 AS VARCHAR) || '. Subgenre: leaf ' || CAST(doc_id // 5 AS VARCHAR) || '.' || chr(10) || chr(10) AS prompt,
+        911000000 + doc_id // 5 * 10 + doc_id % 5 + 555555 AS seed FROM {_fronted(WRAPS)} f WHERE len({_words('raw')}) < 30""",
     "first_wins_dedup": f"SELECT doc_id, k, CASE WHEN row_number() OVER (PARTITION BY k ORDER BY doc_id) > 1 THEN 'dupe' ELSE 'pass' END AS verdict FROM (SELECT doc_id, {_key('text')} AS k FROM {_D} d) t",
     "dupe_surplus": f"SELECT count(*) - count(DISTINCT {_key('text')}) AS surplus FROM {_D} d",
     "running_ships": "SELECT doc_id, CAST(coalesce(sum(quality) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS shipped_before FROM labels",
@@ -295,14 +351,16 @@ ORACLE = {
     "labelled_semi": "SELECT doc_id, lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "labelled_left": "SELECT d.doc_id, lang, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "labelled_inner_sorted": "SELECT d.doc_id, n_chars, quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id ORDER BY d.doc_id",
-    "coverage_check": """SELECT count(*) AS n_keys, count(*) FILTER (q IS NOT NULL) AS n_covered, count(*) FILTER (q IS NULL) AS n_uncovered, CAST(0 AS BIGINT) AS n_both,
+    "coverage_check": """SELECT count(*) AS n_keys, count(*) FILTER (q IS NOT NULL) AS n_covered, count(*) FILTER (q IS NULL) AS n_uncovered, count(*) FILTER (q = 1 AND x = 1) AS n_both,
         CAST(round_even(100.0 * count(*) FILTER (q IS NOT NULL)::DOUBLE / count(*)::DOUBLE, 2) AS DOUBLE) AS covered_pct
-        FROM (SELECT d.doc_id, l.quality AS q FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) t""",
+        FROM (SELECT d.doc_id, l.quality AS q, l.toxic AS x FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) t""",
+    "gate_merge_dry_run": """SELECT count(*) AS n_keys, count(*) FILTER (q IS NOT NULL) AS n_covered, count(*) FILTER (q IS NULL) AS n_uncovered, count(*) FILTER (q = 1 AND x = 1) AS n_both, CAST(0 AS BIGINT) AS n_repeated, count(*) FILTER (q = 1) AS n_pass
+        FROM (SELECT d.doc_id, l.quality AS q, l.toxic AS x FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) t""",
     "gate_merge": "SELECT doc_id AS k, CASE WHEN quality = 1 THEN 'PASS' ELSE 'old' END AS gate_decision, CASE WHEN quality = 1 THEN 1.0::DOUBLE END AS gate_score, CASE WHEN quality = 1 THEN 'a' END AS gate_fails FROM labels",
     "duplicate_texts": f"SELECT {_key('text')} AS k, count(*) AS count FROM {_D} d GROUP BY {_key('text')} HAVING count(*) > 1",
     "overlay_latest": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 - quality ELSE quality END AS quality FROM labels",
     "source_union": "SELECT src, count(*) AS n FROM (SELECT 'documents' AS src FROM documents UNION ALL SELECT 'benchmark' AS src FROM benchmark) t GROUP BY src",
-    "content_fingerprints": "SELECT doc_id AS k FROM documents WHERE doc_id % 10 = 0",
+    "content_fingerprints": f"SELECT doc_id AS k FROM {_D} d WHERE doc_id % 17 = 3 OR (doc_id % 10 = 0 AND lang IS DISTINCT FROM 'en') OR text[1] = 'a'",
     "taxonomy_leaves": """SELECT n, arg_min(p, own * 1000000000 + pos) AS p FROM (
         SELECT source AS n, source AS p, 0 AS own, min(doc_id) AS pos FROM documents GROUP BY source
         UNION ALL SELECT 'lang ' || d.lang AS n, d.source AS p, 0 AS own, m.pos AS pos FROM (SELECT DISTINCT source, lang FROM documents) d JOIN (SELECT source, min(doc_id) AS pos FROM documents GROUP BY source) m ON d.source = m.source) t
@@ -313,8 +371,14 @@ ORACLE = {
         FROM (SELECT k, flatten(list(list_distinct(tags))) AS all_tags FROM {_VALID} v GROUP BY k) g""",
     "vote_confidence": f"SELECT confidence, count(*) AS n FROM {_vote('energy')} e GROUP BY confidence",
     "sweep_missing": f"SELECT CAST(doc_id AS VARCHAR) AS k FROM labels l WHERE NOT EXISTS (SELECT 1 FROM {_VALID} v WHERE v.k = CAST(l.doc_id AS VARCHAR))",
-    "label_parse": """SELECT doc_id, (['Fantasy & Supernatural', 'Science Fiction', 'none', '?'])[doc_id % 4 + 1] AS world, (['External', 'Relational', 'External', '?'])[doc_id % 4 + 1] AS energy,
-        (['Horror,Romance', 'Action & Adventure,Mystery & Crime', '', ''])[doc_id % 4 + 1] AS tags, doc_id % 4 < 2 AS ok FROM documents""",
+    "label_parse": f"SELECT doc_id, world, energy, tags, ok FROM {_parsed_sql()} p",
+    "label_outcomes": f"""SELECT p.doc_id AS k, CASE WHEN p.doc_id % 6 = 0 THEN '?' WHEN p.doc_id % 11 = 0 THEN '<err no reply>' ELSE world END AS world,
+        CASE WHEN p.doc_id % 6 = 0 OR p.doc_id % 11 = 0 THEN '?' ELSE energy END AS energy, CASE WHEN p.doc_id % 6 = 0 OR p.doc_id % 11 = 0 THEN '' ELSE tags END AS tags,
+        md5(CASE WHEN p.doc_id % 6 = 0 THEN '<empty>' WHEN p.doc_id % 11 = 0 THEN '' ELSE {_raw_sql()} END) AS raw_md5, ok AND p.doc_id % 6 <> 0 AND p.doc_id % 11 <> 0 AS ok FROM {_parsed_sql()} p""",
+    "sweep_loop": "SELECT CAST(doc_id AS VARCHAR) AS k, CASE WHEN doc_id % 7 < 5 THEN doc_id % 7 + 1 ELSE 0 END AS sweep FROM labels",
+    "votes_merged": f"""SELECT CAST(d.doc_id AS VARCHAR) AS k, v.world, v.energy, v.tags FROM documents d LEFT JOIN (
+        SELECT w.k, w.value AS world, e.value AS energy, array_to_string(list_filter({_list(TAGS)}, lambda t: len(list_filter(g.all_tags, lambda x: x = t)) >= 2), ',') AS tags
+        FROM {_vote('world')} w JOIN {_vote('energy')} e ON w.k = e.k JOIN (SELECT k, flatten(list(list_distinct(tags))) AS all_tags FROM {_VALID} x GROUP BY k) g ON g.k = w.k) v ON v.k = CAST(d.doc_id AS VARCHAR)""",
     "retokenise": f"SELECT t.doc_id AS k, CASE WHEN l.doc_id IS NOT NULL THEN l.doc_id * 3 ELSE CAST(len(w) AS BIGINT) END AS n_tok, CAST(len(w) AS BIGINT) AS n_word FROM {_W} t LEFT JOIN labels l ON t.doc_id = l.doc_id",
     "tic_census": f"""SELECT lang, count(*) AS docs, CAST(sum(n) AS BIGINT) AS words_total, CAST(round_even(avg(n), 0) AS BIGINT) AS words_mean,
         CAST((list_sort(list(n)))[CAST(floor(count(n) / 2) AS BIGINT) + 1] AS BIGINT) AS words_median,
@@ -334,6 +398,23 @@ ORACLE = {
     "even_sample": """SELECT i, doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p, count(*) OVER () AS total FROM documents) d
         JOIN (SELECT unnest(range(50)) AS i) r ON d.p = CAST(round_even(r.i * ((d.total - 1)::DOUBLE / 49), 0) AS BIGINT)""",
     "shard_modulo": "SELECT doc_id FROM documents WHERE doc_id % 4 = 1",
+    "stratified_folds": "SELECT quality, CAST(fold AS INTEGER) AS fold, n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END AS n FROM (SELECT quality, count(*) AS n FROM labels GROUP BY quality) t CROSS JOIN range(5) r(fold)",
+    "paragraph_chunks": f"SELECT doc_id, CAST(p AS BIGINT) AS paragraph, md5(string_agg(s, ' ' ORDER BY i)) AS text_md5 FROM (SELECT doc_id, s, i, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1) // 5 AS p FROM {_LINES} l) t GROUP BY doc_id, p HAVING count(*) = 5",
+    "held_out_openings": f"""SELECT doc_id, count(*) AS n_kept FROM {_LINES} l WHERE array_to_string(({_words('s')})[1:8], ' ') NOT IN (
+        SELECT array_to_string(({_words('g')})[1:8], ' ') FROM (SELECT unnest({_sentences('text')}) AS g FROM benchmark) b) GROUP BY doc_id""",
+    "paragraph_scores": f"""WITH parts AS (SELECT doc_id, {_sentences('text')} AS all_s, text FROM {_D} d),
+        asked AS (SELECT doc_id, unnest(CASE WHEN len(e) > 0 THEN e ELSE [text] END) AS s FROM (SELECT doc_id, text, list_distinct(list_filter(all_s, lambda x: len({_words('x')}) BETWEEN 8 AND 40)) AS e FROM parts) p),
+        known AS (SELECT DISTINCT unnest(all_s) AS s FROM parts)
+        SELECT a.doc_id AS k, {_round('avg(CASE WHEN k.s IS NOT NULL THEN (length(a.s) % 10) / 10.0 END)', 6)} AS score FROM asked a LEFT JOIN known k ON a.s = k.s GROUP BY a.doc_id""",
+    "positive_verification": _refusal(f"array_to_string((string_split({_norm('text')}, ' '))[1:110], ' ')", f"(CASE WHEN {_norm('t')} = '' THEN 0 ELSE len(string_split({_norm('t')}, ' ')) END)", False),
+    "positive_verification_whole": _refusal("text", "len(w)", True),
+    "rewrite_acceptance": f"""SELECT doc_id, (b <> '' AND b <> a AND NOT regexp_matches(b, '(?m)^#|\\*\\*|^Paragraph|^Rewritten') AND NOT contains(b, '______') AND NOT regexp_matches(b, '\\p{{Nd}}')
+        AND len(wb)::DOUBLE / greatest(len(wa), 1) BETWEEN 0.6 AND 1.5 AND abs(len({_sentences('a')}) - len({_sentences('b')})) <= 1
+        AND len(list_intersect(list_distinct(wa), list_distinct(wb)))::DOUBLE / greatest(len(list_distinct(list_concat(wa, wb))), 1) BETWEEN 0.15 AND 0.9) AS accepted
+        FROM (SELECT doc_id, a, b, {_words('a')} AS wa, {_words('b')} AS wb FROM (SELECT doc_id, text AS a, regexp_replace(text, '\\bof the\\b|\\bthe\\b', 'a', 'g') AS b FROM {_D} d) c) t""",
+    "job_grid": """WITH g AS (SELECT text, row_number() OVER (ORDER BY item_id) - 1 AS g, count(*) OVER () AS n FROM benchmark),
+        jobs AS (SELECT o.o * 10 + r.r AS i, o.opener, r.r AS repeat FROM (VALUES (0, 'The town had'), (1, 'By then the village')) o(o, opener) CROSS JOIN range(10) r(r))
+        SELECT j.i, j.opener, j.repeat, md5(a.text) AS first_md5, md5(b.text) AS second_md5 FROM jobs j JOIN g a ON j.i % a.n = a.g JOIN g b ON (j.i + 1) % b.n = b.g""",
     "auc_ranksum": """SELECT CAST(round_even(a, 9) AS DOUBLE) AS auc, CASE WHEN a > 0.85 THEN 'GO' ELSE 'WEAK' END AS decision FROM (
         SELECT avg(CASE WHEN x.n_chars > y.n_chars THEN 1.0 WHEN x.n_chars = y.n_chars THEN 0.5 ELSE 0.0 END) AS a
         FROM (SELECT n_chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1) x
@@ -342,13 +423,14 @@ ORACLE = {
         SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb
         FROM (SELECT n_chars AS a, strlen(text) AS b FROM documents WHERE text IS NOT NULL) t) r""",
     "judge_reduce": f"SELECT doc_id, {_round(f'{_mass("3", "5")} / ({_mass("3", "5")} + {_mass("7", "11")})', 6)} AS p FROM documents",
-    "paired_wins": f"""SELECT count(*) AS n, {_round('avg(CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END)', 6)} AS win_rate, {_round('(list_sort(list(d)))[CAST(floor(count(*) / 2) AS BIGINT) + 1]', 6)} AS median_margin
+    "paired_wins": f"""SELECT count(*) AS n, {_round('avg(CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END)', 6)} AS win_rate, {_round('(list_sort(list(d)))[CAST(floor(count(*) / 2) AS BIGINT) + 1]', 6)} AS median_margin,
+        CASE WHEN avg(CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END) > 0.85 THEN 'GO' ELSE 'STOP' END AS decision
         FROM (SELECT g.s - f.s AS d FROM {_SCORES} f JOIN {_SCORES} g ON g.k = f.k + 1 WHERE f.k % 2 = 0) t""",
     "flag_rate": f"""SELECT count(*) AS n, count(*) FILTER (score IS NULL) AS n_missing, {_round('avg(CASE WHEN score IS NULL THEN NULL WHEN score >= 0.12 THEN 1.0 ELSE 0.0 END)', 6)} AS flag_rate, {_round('avg(score)', 6)} AS mean_score
         FROM (SELECT CASE WHEN k % 9 <> 0 THEN s END AS score FROM {_SCORES} a) t""",
     "l2_normalize": f"SELECT vec_id, {_round('u[1]', 6)} AS u0, {_round('list_sum(u)', 6)} AS u_sum FROM {_UNIT} t",
     "embedding_label_mean": f"SELECT label, count(*) AS n, {_round('avg(u[1])', 6)} AS u0_mean FROM {_UNIT} t GROUP BY label",
-    "classifier_input": f"SELECT doc_id, md5(substr(CASE WHEN doc_id % 3 = 1 THEN 'prose ' || text ELSE text END, 1, 500)) AS input_md5 FROM {_D} d",
+    "classifier_input": f"SELECT doc_id, md5(substr(CASE WHEN doc_id % 3 = 1 THEN 'prose ' || text ELSE text END, 1, 8000)) AS input_md5 FROM {_D} d",
     "subword_counts": f"SELECT CAST(doc_id AS VARCHAR) AS k, CAST(CASE WHEN {_norm('text')} = '' THEN 0 ELSE len(string_split({_norm('text')}, ' ')) END AS BIGINT) AS n FROM {_D} d",
     "stream_dedup": f"SELECT DISTINCT {_key('text')} AS k FROM {_D} d",
 }

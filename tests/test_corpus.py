@@ -123,3 +123,68 @@ def test_settings_and_subwords(spark):
     assert {r["k"]: r["n"] for r in counts.collect()} == {"a": 2, "b": 3, "c": 0}
     shown = rows.select(labels.classifier_input(F.col("prose"), F.col("text"), 4).alias("x"))
     assert [r["x"] for r in shown.collect()] == ["one ", "one ", ""]
+
+
+def test_waves_do_not_change_a_build(spark):
+    """Leaves that lose their text late go on where they were, whatever the waves are."""
+    rng = random.Random(5)
+    leaves = table(spark, [(i, f"n{i}", f"n{i}") for i in range(8)], LEAVES)
+    words = ["grey", "blue", "red", "tall", "old"]
+    draws = [(i, a, GOOD.format(rng.choice(words)) if rng.random() < 0.6 else "short.", "stop") for i in range(8) for a in range(5)]
+    got = []
+    for wave in (2, 60):
+        rows, rejects = corpus.build(leaves, table(spark, draws, DRAWS), wave=wave)
+        got.append((sorted((r["idx"], r["att"], r["verdict"]) for r in rows.collect()), sorted((r["idx"], r["att"], r["verdict"]) for r in rejects.collect())))
+    assert got[0] == got[1]
+    held, expected = set(), {}
+    for i in range(8):  # leaves in order take their first passing text that nobody before them has
+        texts = [t for j, _, t, _ in sorted(draws) if j == i]
+        expected[i] = next((a for a, t in enumerate(texts) if t != "short." and t not in held), None)
+        held |= {texts[expected[i]]} if expected[i] is not None else set()
+    assert {i: a for i, a, v in got[0][0] if v != "exhausted"} == {i: a for i, a in expected.items() if a is not None}
+
+
+def test_second_draws_have_their_own_seed(spark):
+    leaves = table(spark, [(3, "a", "a"), (4, "b", "p")], LEAVES)
+    draws = table(spark, [(3, 0, "too short", "stop"), (4, 2, GOOD, "stop"), (4, 3, None, "stop")], DRAWS)
+    got = {(r["idx"], r["att"]): r["seed"] for r in corpus.retry_requests(leaves, draws).collect()}
+    assert got == {(3, 0): 911_000_030 + 555_555, (4, 3): 911_000_043 + 555_555}
+
+
+def test_sweeps_stop_when_nothing_is_missing(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    asked = []
+
+    def ask(missing, number):
+        asked.append(sorted(r["k"] for r in missing.collect()))
+        good = F.col("k") <= "abc"[number - 1]
+        return missing.select("k", F.when(good, W[0]).otherwise("?").alias("world"), F.lit("External").alias("energy"))
+
+    votes, missing = labels.sweep(rows, ask)
+    assert asked == [["a", "b", "c"], ["b", "c"], ["c"]] and missing.isEmpty()
+    assert {r["k"]: r["sweep"] for r in votes.collect()} == {"a": 1, "b": 2, "c": 3}
+    assert labels.sweep(rows, lambda m, n: m.select("k", F.lit("?").alias("world"), F.lit("?").alias("energy")), most=2)[1].count() == 3
+
+
+def test_outcomes_of_blank_stories_and_lost_replies(spark):
+    rows = spark.createDataFrame([("a", None, " \n"), ("b", "p", "t"), ("c", "", "t")], "k string, prose string, text string")
+    replies = spark.createDataFrame([("a", "WORLD: Contemporary\nENERGY: External"), ("b", "WORLD: Contemporary\nENERGY: External\nTAGS: Horror")], "k string, raw string")
+    got = {r["k"]: (r["world"], r["energy"], r["tags"], r["raw"], r["ok"]) for r in labels.outcomes(rows, replies).collect()}
+    assert got["a"] == ("?", "?", [], "<empty>", False) and got["c"] == ("<err no reply>", "?", [], "", False)
+    assert got["b"][:3] == ("Contemporary", "External", ["Horror"]) and got["b"][4]
+
+
+def test_merged_votes_and_the_dry_run(spark):
+    rows = spark.createDataFrame([("a", "old"), ("b", "old")], "k string, world string")
+    votes = spark.createDataFrame([("a", 1, W[1], "External", ["Horror"])], "k string, pass int, world string, energy string, tags array<string>")
+    assert {r["k"]: (r["world"], r["confidence"]) for r in labels.merge_votes(rows, votes).collect()} == {"a": (W[1], "unanimous"), "b": (None, None)}
+    results = spark.createDataFrame([("a", "PASS"), ("a", "FAIL")], "k string, gate_decision string")
+    found = merge.dry_run(rows, results, spark.createDataFrame([("a", "x")], "k string, reason string")).first()
+    assert (found["n_keys"], found["n_covered"], found["n_uncovered"], found["n_both"], found["n_repeated"]) == (2, 1, 1, 1, 1)
+    assert found["decisions"] == {"PASS": 1, "FAIL": 1}
+
+
+def test_pending_leaves(spark):
+    leaves = table(spark, [(i, f"n{i}", "p") for i in range(6)], LEAVES)
+    done = spark.createDataFrame([("n1",), ("n1",)], "n string")
+    assert [r["idx"] for r in corpus.pending(leaves, done, shard=1, shards=2).orderBy("idx").collect()] == [3, 5]

@@ -132,3 +132,76 @@ def test_contrast_sets_and_paragraph_scores(spark):
     texts = spark.createDataFrame([("p", f"{long} Short one."), ("q", "Short one."), ("r", "unknown")], "k string, text string")
     known = spark.createDataFrame([(long, 0.5), ("Short one.", 1.0)], "sentence string, p double")
     assert {r["k"]: r["score"] for r in rank.paragraph_scores(texts, known).collect()} == {"p": 0.5, "q": 1.0, "r": None}
+
+
+def test_folds_are_stratified(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 9 == 0 else "b" if i % 2 else None) for i in range(103)], "k long, y string").repartition(4)
+    counts = {}
+    for r in sampling.folds(rows, "k", "y", 5).collect():
+        counts.setdefault(r["y"], [0] * 5)[r["fold"]] += 1
+    assert all(max(c) - min(c) <= 1 for c in counts.values()) and sum(map(sum, counts.values())) == 103
+    few = sampling.folds(spark.createDataFrame([(i, 1) for i in range(10)], "k long, y int"), "k", "y", 5)
+    assert sorted(r["fold"] for r in few.collect()) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_bootstrap_weights_have_mean_and_variance_one(spark):
+    """The interval of a mean is close to that of the normal law, and does not depend on how rows are dealt."""
+    rng = random.Random(3)
+    values = [(i, rng.random()) for i in range(4000)] + [(9999, None)]
+    rows = spark.createDataFrame(values, "id long, s double")
+    low, high = rank.bootstrap_interval(rows.repartition(3), "s", "id", 1000).first()
+    known = [v for _, v in values if v is not None]
+    mean = sum(known) / len(known)
+    error = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 / len(known) ** 0.5
+    assert low == pytest.approx(mean - 1.96 * error, abs=0.15 * error) and high == pytest.approx(mean + 1.96 * error, abs=0.15 * error)
+    again = rank.bootstrap_interval(rows.repartition(7), "s", "id", 1000).first()
+    assert tuple(again) == pytest.approx((low, high))
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 8])
+def test_upper_medians(spark, n):
+    values = [(i * 7) % 5 for i in range(n)]
+    from prosemill.functions import text as T
+
+    got = spark.createDataFrame([(v,) for v in values], "v long").agg(T.upper_median("v").cast("long").alias("m")).first()["m"]
+    assert got == sorted(values)[n // 2]
+    scores = spark.createDataFrame([(f"f{i}", 0.0) for i in range(n)] + [(f"g{i}", v / 10) for i, v in enumerate(values)], "k string, s double")
+    pairs = spark.createDataFrame([(f"f{i}", f"g{i}") for i in range(n)], "kf string, kg string")
+    out = rank.paired_wins(pairs, scores).first()
+    assert out["n"] == n and out["median_margin"] == pytest.approx(sorted(values)[n // 2] / 10) and out["decision"] == ("GO" if sum(v > 0 for v in values) / n > 0.85 else "STOP")
+
+
+def test_no_pairs_have_no_median(spark):
+    none = rank.paired_wins(spark.createDataFrame([], "kf string, kg string"), spark.createDataFrame([("a", 1.0)], "k string, s double")).first()
+    assert none["n"] == 0 and none["median_margin"] is None
+
+
+def test_arrays_pools_and_writes(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.json").write_text('[{"n": "x"}, {"n": "y"}]')
+    element = T.StructType([T.StructField("n", T.StringType())])
+    assert [(r["pos"], r["value"]["n"]) for r in records.read_array(spark, str(tmp_path / "a.json"), element).orderBy("pos").collect()] == [(0, "x"), (1, "y")]
+    labels = spark.createDataFrame([("a", 0.5, "s"), ("b", 0.1, "s")], "k string, s double, src string")
+    texts, bench = spark.createDataFrame([("a", "text")], "k string, text string"), spark.createDataFrame([("a", True, None)], "k string, ok boolean, fail string")
+    pool, missing = acceptance.pool(labels, texts, bench)
+    assert [tuple(r) for r in pool.collect()] == [("a", "text", "s", 0.5, True, None)] and [r["k"] for r in missing.collect()] == ["b"]
+    rows = spark.createDataFrame([("z", 1, "a"), ("y", None, "b")], "extra string, n_tok int, k string")
+    assert records.canonical(rows).columns == ["k", "n_tok", "extra"]
+    records.split_write(rows, F.col("n_tok") > 0, str(tmp_path / "kept"), str(tmp_path / "gone"))
+    assert spark.read.json(str(tmp_path / "kept")).count() == spark.read.json(str(tmp_path / "gone")).count() == 1
+    shown = spark.createDataFrame([(None, ["a", "b"]), ("t", None)], "t string, p array<string>").select(records.document_text(F.col("t"), F.col("p")).alias("x"))
+    assert [r["x"] for r in shown.collect()] == ["a\n\nb", "t"]
+
+
+def test_subwords_by_a_real_tokenizer(spark):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from prosemill.operators.labels import subword_counts, tokenizer_counter
+
+    path = public.path("byte_bpe_50k.json")
+    texts = ["The quick brown fox.", "", "é漢字 " * 50]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, text string")
+    got = {r["k"]: r["n"] for r in subword_counts(rows, tokenizer_counter(path)).collect()}
+    assert got == {str(i): len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
