@@ -150,54 +150,67 @@ def fingerprint(text: Column) -> Column:
     return of(text)
 
 
-def _ranges(docs: DataFrame, number: int) -> tuple[list[int], dict[int, int | None]]:
-    """Cut points of the ids into about equal ranges, and the largest id of each range that has rows.
+class _Ranges:
+    """Ranges of the order (id descending, null last; then the text's hash), of about as many rows each.
 
-    Range r holds the ids between cut points in descending order; null ids come last.
+    An id that takes several of the cut points, or null, has ranges of its own by hash.
     """
-    at = [i / number for i in range(1, number)]
-    row = docs.agg(F.percentile_approx("doc_id", at, 100 * number)).first()
-    cuts = sorted({int(c) for c in row[0] or []}, reverse=True)
-    largest = docs.groupBy(_range_of(cuts).alias("r")).agg(F.max("doc_id").alias("top")).collect()
-    return cuts, {r["r"]: r["top"] for r in largest}
 
-
-def _numbers(ids: pd.Series, null: pd.Series, cuts: list[int]) -> np.ndarray:
-    number = len(cuts) - np.searchsorted(np.array(sorted(cuts), np.int64), ids.to_numpy(), "right")
-    return np.where(null, len(cuts), number)
-
-
-def _id_columns() -> tuple[Column, Column]:
-    """Ids with nulls filled, and where they were: a null would turn a batch of ids into floats."""
-    return F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull()
-
-
-def _range_of(cuts: list[int]) -> Column:
-    @pandas_udf("int")
-    def of(ids: pd.Series, null: pd.Series) -> pd.Series:
-        return pd.Series(_numbers(ids, null, cuts))
-
-    return of(*_id_columns())
+    def __init__(self, docs: DataFrame, number: int) -> None:
+        at = [i / number for i in range(1, number)]
+        row = docs.agg(F.percentile_approx("doc_id", at, 100 * number), F.count("*"), F.count("doc_id")).first()
+        found = [int(c) for c in row[0] or []]
+        self.cuts = np.array(sorted(set(found)), np.int64)
+        # ranges of an id that is a cut point, besides the one of the ids above it up to the next cut point
+        self.own = np.array([found.count(c) if found.count(c) > 1 else 0 for c in self.cuts.tolist()], np.int64)
+        self.null = max(1, round(number * (row[1] - row[2]) / max(1, row[1])))
+        sizes = np.append(self.own[::-1], 0) + 1
+        self.start = np.cumsum(sizes) - sizes
+        self.total = int(sizes.sum())
+
+    def of(self, ids: pd.Series, null: pd.Series, marks: pd.Series) -> np.ndarray:
+        """The number of each row's range."""
+        at = np.searchsorted(self.cuts, ids.to_numpy(), "right")
+        low, share = np.maximum(at - 1, 0), (marks.to_numpy().astype(np.float64) + 2.0**63) / 2.0**64
+        if len(self.cuts):
+            own = np.where((at > 0) & (self.cuts[low] == ids.to_numpy()), self.own[low], 0)
+        else:
+            own = np.zeros(len(at), np.int64)
+        inside = np.where(own > 0, 1 + np.minimum((share * own).astype(np.int64), own - 1), 0)
+        number = self.start[len(self.cuts) - at] + inside
+        return np.where(null, self.total + np.minimum((share * self.null).astype(np.int64), self.null - 1), number)
+
+
+def _order_columns() -> tuple[Column, Column, Column]:
+    """Ids with nulls filled, where they were (a null would turn a batch of ids into floats), and the texts' hashes."""
+    return F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull(), F.xxhash64("text")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) dealt by id ranges: part, ahead, doc_id, text, sorted by descending id.
+    """docs (doc_id, text) dealt by ranges of their order: part, ahead, doc_id, text, sorted.
 
     The rows of a range are followed by those at the head of the next one
     (ahead = 1), so that each row's follower is in its own partition. One
     shuffle of the texts, and no ordering in a single task.
     """
     number = 4 * partitions(docs.sparkSession)
-    cuts, top = _ranges(docs.select("doc_id"), number)
-    order = sorted(top)
+    ranges = _Ranges(docs.select("doc_id"), number)
+
+    @pandas_udf("int")
+    def range_of(ids: pd.Series, null: pd.Series, marks: pd.Series) -> pd.Series:
+        return pd.Series(ranges.of(ids, null, marks))
+
+    first = F.min(F.struct(F.bitwise_not(F.coalesce("doc_id", F.lit(0).cast("long"))).alias("id"), F.xxhash64("text").alias("mark"))).alias("head")
+    heads = {r["r"]: tuple(r["head"]) for r in docs.groupBy(range_of(*_order_columns()).alias("r")).agg(first).collect()}
+    order = sorted(heads)
     before = {r: order[i - 1] for i, r in enumerate(order)}
 
     @pandas_udf("array<int>")
-    def places(ids: pd.Series, null: pd.Series) -> pd.Series:
-        rows = zip(_numbers(ids, null, cuts).tolist(), ids.tolist(), null.tolist(), strict=True)
-        return pd.Series([[r, before[r]] if (None if none else i) == top[r] else [r] for r, i, none in rows], dtype=object)
+    def places(ids: pd.Series, null: pd.Series, marks: pd.Series) -> pd.Series:
+        rows = zip(ranges.of(ids, null, marks).tolist(), (~ids).tolist(), marks.tolist(), strict=True)
+        return pd.Series([[r, before[r]] if (i, mark) == heads[r] else [r] for r, i, mark in rows], dtype=object)
 
-    dealt = docs.select("doc_id", "text", F.posexplode(places(*_id_columns())).alias("ahead", "part"))
+    dealt = docs.select("doc_id", "text", F.posexplode(places(*_order_columns())).alias("ahead", "part"))
     return dealt.repartition(number, "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 
@@ -229,7 +242,7 @@ def compare_neighbours(docs: DataFrame, share: int = 3, id_col: str = "doc_id",
     1/share of the code points replaced by as many of the next document's
     first, or all of them. Null texts are empty. Rows of one id follow each
     other by a hash of the text; rows without an id come last. An empty table
-    gives no rows. Other columns are not read.
+    gives no rows. Other columns are not read, and may have any names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

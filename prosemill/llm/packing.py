@@ -1,14 +1,15 @@
 """Harmonic packing of tokenised documents into sequences of a fixed capacity.
 
-Class k holds pieces longer than capacity/(k+1) and at most capacity/k; a bin
-of class k takes exactly k pieces. Each task fills its own bins, so nothing is
-shuffled and a lost task is simply run again.
-
-With cut="reciprocal" a document is cut into whole sequences and then into
-halves, quarters and so on of the capacity, so a piece fills its class to the
-brim and no bin has padding. What is left open at the end of a task is split
-by the same halves, which leaves sequences at powers of two. With cut="long"
-only documents over the capacity are cut, and bins keep their padding.
+A document gives whole sequences and one remainder. Class k holds remainders
+longer than capacity/(k+1) and at most capacity/k; a bin of class k takes
+exactly k of them. Each task fills its own bins, so nothing is shuffled and a
+lost task is simply run again.
+
+What a full bin would pad is filled from the front of the documents that come
+next, and only there is a document cut short of a whole sequence: no piece is
+left smaller than ``least``, and gaps smaller than that stay padding. Bins that
+are open when a task ends are put together in the same way, in the order of
+their classes, and the task's last sequence is padded.
 """
 
 from __future__ import annotations
@@ -73,13 +74,18 @@ def byte_bpe(path: str) -> Callable[[str], np.ndarray]:
 
 
 class _Bins:
-    """The open bins of one task. Pieces are (doc_id, start, ids, doc_tokens)."""
+    """The open bins of one task. A piece is (doc_id, start, ids, doc_tokens)."""
 
-    def __init__(self, capacity: int, task: int) -> None:
-        self.capacity, self.base, self.made = capacity, task << 40, 0
+    def __init__(self, capacity: int, task: int, least: int | None) -> None:
+        self.capacity, self.base, self.made, self.least = capacity, task << 40, 0, least
         self.open: dict[int, list[tuple]] = {}
+        self.short: list[tuple] = []
         self.rows: list[tuple] = []
 
+    def _room(self) -> int:
+        """What the bin that waits to be filled up can still take; 0 where none waits."""
+        return self.capacity - sum(len(p[2]) for p in self.short) if self.short else 0
+
     def _close(self, pieces: list[tuple]) -> None:
         at = 0
         for doc, start, ids, total in pieces:
@@ -87,22 +93,63 @@ class _Bins:
             at += len(ids)
         self.made += 1
 
+    def _fill(self, piece: tuple) -> tuple | None:
+        """Puts the piece, or its front, into the waiting bin; returns what is left of it."""
+        doc, start, ids, total = piece
+        room, size = self._room(), len(ids)
+        if not room:
+            return piece
+        take = size if size <= room else min(room, size - self.least)
+        if take < min(self.least, size):
+            return piece
+        self.short.append((doc, start, ids[:take], total))
+        if self._room() < self.least:
+            self._close(self.short)
+            self.short = []
+        return (doc, start + take, ids[take:], total) if take < size else None
+
     def add(self, piece: tuple) -> None:
-        k = self.capacity // len(piece[2])
+        """A whole document."""
+        rest = self._fill(piece)
+        if rest is None:
+            return
+        doc, start, ids, total = rest
+        while len(ids) >= self.capacity:
+            self._close([(doc, start, ids[: self.capacity], total)])
+            start, ids = start + self.capacity, ids[self.capacity :]
+        if not len(ids):
+            return
+        k = self.capacity // len(ids)
         pieces = self.open.setdefault(k, [])
-        pieces.append(piece)
+        pieces.append((doc, start, ids, total))
         if len(pieces) == k:
-            self._close(self.open.pop(k))
-
-    def finish(self, halves: bool) -> None:
+            self._full(self.open.pop(k))
+
+    def _full(self, pieces: list[tuple]) -> None:
+        waiting, self.short = self.short, pieces
+        if self.least is None or self._room() < self.least:
+            self._close(pieces)
+            self.short = waiting
+        elif waiting:
+            self._close(waiting)
+
+    def finish(self) -> None:
+        """The bins that are still open, by class: the first that waits is filled from the others."""
         for k in sorted(self.open):
             pieces = self.open.pop(k)
-            while halves and pieces:
-                n = 1 << (len(pieces).bit_length() - 1)
-                self._close(pieces[:n])
-                pieces = pieces[n:]
-            if pieces:
+            if self.least is None:
                 self._close(pieces)
+                continue
+            for piece in pieces:
+                while (left := self._fill(piece)) is not None and self.short and len(left[2]) < len(piece[2]):
+                    piece = left
+                if left is not None:
+                    waiting, self.short = self.short, [left]
+                    if waiting:
+                        self._close(waiting)
+        if self.short:
+            self._close(self.short)
+            self.short = []
 
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
@@ -110,44 +157,30 @@ class _Bins:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "ids" else pa.int64()) for n, c in zip(NAMES, columns, strict=True)], NAMES)
 
 
-def piece_lengths(total: int, capacity: int, cut: str) -> list[int]:
-    whole, rest = divmod(total, capacity)
-    if cut == "long":
-        return [capacity] * whole + [rest] * (rest > 0)
-    parts, size = [capacity] * whole, capacity // 2
-    while rest:
-        if size <= rest:
-            parts.append(size)
-            rest -= size
-        size //= 2
-    return parts
-
-
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, cut: str = "reciprocal", end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, least: int | None = 16, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents and the place of each in its sequence.
 
     Returns doc_id, start (ids of the document before the piece), length,
     doc_tokens, sequence_id, offset in the sequence, and ids (little-endian
     unsigned 32-bit, as binary). A document's ids are those of its whole text
-    and then end_id, so null and empty texts give the one id end_id. Repeated
-    ids and null ids are packed like any other row; an empty table gives no
-    rows. cut="reciprocal" needs a capacity that is a power of two.
+    and then end_id, so null and empty texts give the one id end_id. With
+    least=None documents are cut at whole sequences only, and bins keep their
+    padding. Repeated ids and null ids are packed like any other row, other
+    columns are not read, and an empty table gives no rows.
     """
-    if cut not in ("reciprocal", "long") or capacity < 1 or cut == "reciprocal" and capacity & (capacity - 1):
-        raise ValueError("cut is reciprocal (capacity: a power of two) or long")
+    if capacity < 1 or least is not None and not 1 <= least <= max(1, capacity // 2):
+        raise ValueError("the capacity is at least 1, and the least piece at most half of it")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = byte_bpe(tokenizer_path), np.array([end_id], dtype="<u4")
-        bins = _Bins(capacity, TaskContext.get().partitionId())
+        bins = _Bins(capacity, TaskContext.get().partitionId(), least)
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, start = np.append(encode(text or ""), end), 0
-                for n in piece_lengths(len(ids), capacity, cut):
-                    bins.add((doc, start, ids[start : start + n], len(ids)))
-                    start += n
+                ids = np.append(encode(text or ""), end)
+                bins.add((doc, 0, ids, len(ids)))
                 if len(bins.rows) >= _ROWS:
                     yield bins.take()
-        bins.finish(cut == "reciprocal")
+        bins.finish()
         yield bins.take()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)

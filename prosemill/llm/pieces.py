@@ -2,11 +2,12 @@
 
 A text is cut before each run of word marks; no piece reaches over such a cut,
 so the best segmentation of a text is that of its units. Distinct units of one
-length advance together: at each end position the hashes of all substrings
-that end there probe the sorted keys of the pieces, and the maximum over their
-starts is stored as a back pointer. Of equal scores the longer last piece
-wins. Characters without a piece cost ten less than the lowest score and
-become byte pieces (or the unknown id).
+length advance together (long ones with others of about their length, each up
+to its own end): at each end position the hashes of all substrings that end
+there probe the sorted keys of the pieces, and the maximum over their starts is
+stored as a back pointer. Of equal scores the longer last piece wins.
+Characters without a piece cost ten less than the lowest score and become byte
+pieces (or the unknown id).
 
 The result is the segmentation of the highest total piece score, as the
 library gives for unigram models. A model of the BPE kind is segmented by its
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Units of a batch times their length; longer units are searched one by one; units kept in memory.
-_CELLS, _LONG, _KEPT = 1 << 18, 64, 1 << 19
+#: Units of a batch times their length; units up to this length only advance with equally long ones; end positions hashed at a time; units kept in memory.
+_CELLS, _EQUAL, _SPAN, _KEPT = 1 << 18, 64, 1 << 12, 1 << 18
 
 
 class Pieces:
@@ -73,45 +74,41 @@ class Pieces:
         return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
 
     def _batch(self, units: list[str]) -> None:
-        """Search units of one length together."""
-        n, length = len(units), len(units[0])
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, length).astype(np.uint64)
+        """Search units together, from the first character on; the shorter ones are padded and end before."""
+        n, sizes = len(units), [len(u) for u in units]
+        length = max(sizes)
+        codes = np.zeros((n, length), np.uint64)
+        for r, unit in enumerate(units):
+            codes[r, : sizes[r]] = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4")
         widest = min(self.widest, length)
-        rolling = np.zeros((widest, n, length), np.uint64)
-        for w in range(widest):
-            before = rolling[w - 1, :, : length - w] if w else np.zeros((n, length), np.uint64)
-            h = (before ^ codes[:, w:]) * _BASE
-            rolling[w, :, : length - w] = h ^ (h >> np.uint64(29))
-        best, from_, piece = np.full((n, length + 1), -np.inf), np.zeros((n, length + 1), np.int64), np.full((n, length + 1), -1)
+        best, from_, piece = np.full((n, length + 1), -np.inf), np.zeros((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
         best[:, 0] = 0
         row = np.arange(n)
-        for end in range(1, length + 1):
-            widths = np.arange(min(widest, end), 0, -1)
-            probe = rolling[widths - 1, :, end - widths]
-            at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-            hit = self.keys[at] == probe
-            value = np.where(hit, self.scores[at], -np.inf)
-            value[-1] = np.where(hit[-1], value[-1], self.missing)
-            total = value + best[:, end - widths].T
-            pick = np.argmax(total, axis=0)
-            best[:, end], from_[:, end] = total[pick, row], end - widths[pick]
-            piece[:, end] = np.where(hit[pick, row], self.ids[at[pick, row]], -1)
+        for low in range(0, length, _SPAN):
+            # rolling[w, :, i]: the hash of the w + 1 characters from first + i on
+            first, high = max(0, low - widest + 1), min(length, low + _SPAN)
+            part = codes[:, first:high]
+            rolling = np.zeros((widest, *part.shape), np.uint64)
+            for w in range(min(widest, part.shape[1])):
+                before = rolling[w - 1, :, : part.shape[1] - w] if w else np.zeros(part.shape, np.uint64)
+                h = (before ^ part[:, w:]) * _BASE
+                rolling[w, :, : part.shape[1] - w] = h ^ (h >> np.uint64(29))
+            for end in range(low + 1, high + 1):
+                widths = np.arange(min(widest, end), 0, -1)
+                probe = rolling[widths - 1, :, end - widths - first]
+                at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
+                hit = self.keys[at] == probe
+                value = np.where(hit, self.scores[at], -np.inf)
+                value[-1] = np.where(hit[-1], value[-1], self.missing)
+                total = value + best[:, end - widths].T
+                pick = np.argmax(total, axis=0)
+                best[:, end], from_[:, end] = total[pick, row], end - widths[pick]
+                piece[:, end] = np.where(hit[pick, row], self.ids[at[pick, row]], -1)
         for r, unit in enumerate(units):
-            self.known[unit] = self._walk(unit, from_[r].tolist(), piece[r].tolist())
-
-    def _single(self, unit: str) -> bytes:
-        """The same search for one long unit."""
-        n = len(unit)
-        best, from_, piece = [0.0] + [-np.inf] * n, [0] * (n + 1), [-1] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.widest), end):
-                part = unit[start:end]
-                score = self.score_of.get(part, self.missing if end - start == 1 else None)
-                if score is not None and best[start] + score > best[end]:
-                    best[end], from_[end], piece[end] = best[start] + score, start, self.id_of.get(part, -1)
-        return self._walk(unit, from_, piece)
-
-    def _walk(self, unit: str, from_: list[int], piece: list[int]) -> bytes:
+            self.known[unit] = self._walk(unit, from_[r], piece[r])
+
+    def _walk(self, unit: str, back: np.ndarray, found: np.ndarray) -> bytes:
+        from_, piece = back[: len(unit) + 1].tolist(), found[: len(unit) + 1].tolist()
         ids: list[int] = []
         end = len(unit)
         while end:
@@ -127,11 +124,9 @@ class Pieces:
             self.known.clear()
         by_length: dict[int, list[str]] = {}
         for unit in {u for us in units for u in us} - self.known.keys():
-            by_length.setdefault(len(unit), []).append(unit)
+            length = len(unit)
+            by_length.setdefault(length if length <= _EQUAL else -(-length // (1 << length.bit_length() - 3)) << length.bit_length() - 3, []).append(unit)
         for length, group in by_length.items():
-            if length > _LONG:
-                self.known |= {u: self._single(u) for u in group}
-                continue
             step = max(1, _CELLS // length)
             for at in range(0, len(group), step):
                 self._batch(group[at : at + step])
@@ -170,8 +165,9 @@ def _slices(texts: list[str | None], most: int = 1 << 20) -> Iterator[slice]:
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every whole text, ids as little-endian unsigned 32-bit integers.
 
-    Null and empty texts have no ids. Rows are neither dropped nor merged, an
-    empty table gives none, and other columns are not read.
+    Null and empty texts have no ids. Equal texts have equal ids, and rows that
+    repeat an id stay apart. Rows are neither dropped nor merged, an empty table
+    gives none, and other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +181,13 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, ids, text) of (doc_id, ids). A text that holds the word mark itself comes back with a space there."""
+    """(doc_id, ids, text) of (doc_id, ids).
+
+    A text that holds the word mark itself comes back with a space there. Null
+    and empty ids give the empty text. Rows are neither dropped nor merged,
+    repeated ones included, an empty table gives none, and other columns are
+    not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model_path)

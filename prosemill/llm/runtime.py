@@ -3,39 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import gc
-import tempfile
-import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosemill.sources.shared import checkpoint_root, cut
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a private one only where it is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not root:
-        root = context.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="prosemill-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once and cut its lineage, in the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
-
-
-def forget(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of what nothing refers to any more."""
-    gc.collect()
-    for _ in range(2):  # what the gateway drops, in a thread of its own, may hold the rest until a second round
-        time.sleep(0.5)
-        spark.sparkContext._jvm.System.gc()
+__all__ = ["checkpoint_root", "cut", "in_fold", "partitions", "release", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

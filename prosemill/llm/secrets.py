@@ -110,8 +110,11 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     """(paths, ledger): every row's (doc_id, blob), and the ledger with what this run scanned.
 
     A null text is the empty one. Rows may repeat an id or a text: each keeps
-    its own row among the paths, and each blob is scanned once a rule version.
-    ledger=None starts an empty one. Other columns are not read.
+    its own row among the paths, and each blob enters the ledger once a rule
+    version. One row of a blob is scanned, the one with the least id; rows that
+    repeat both this id and the text are scanned alike, and folded. ledger=None
+    starts an empty one, and an empty table adds nothing. Other columns are not
+    read.
     """
     rows = versions.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = rows.select("doc_id", "blob")
@@ -157,13 +160,17 @@ def written(found: Column) -> Column:
 
 
 def redact(text: Column, found: Column) -> Column:
-    """The text with each span replaced by [SECRET]; overlapping spans become one."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """The text with each span replaced by [SECRET]; overlapping spans become one. A null text stays null.
+
+    What stands between the spans is listed first and joined once.
+    """
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("at"), F.array().cast("array<struct<`from`: bigint, size: bigint>>").alias("gaps"))
 
     def step(s: Column, x: Column) -> Column:
-        fresh = x["start"] >= s["at"]
-        out = F.when(fresh, F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit("[SECRET]"))).otherwise(s["out"])
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
+        gap = F.struct(s["at"].alias("from"), (x["start"] - s["at"]).alias("size"))
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], F.array_append(s["gaps"], gap)).otherwise(s["gaps"]).alias("gaps"))
 
-    done = F.aggregate(found, start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    gaps = F.aggregate(found, start, step, lambda s: F.array_append(s["gaps"], F.struct(s["at"].alias("from"), F.length(text).cast("long").alias("size"))))
+    kept = F.transform(gaps, lambda g: F.substring(text, (g["from"] + 1).cast("int"), g["size"].cast("int")))
+    return F.when(F.size(found) > 0, F.array_join(kept, "[SECRET]")).otherwise(text)

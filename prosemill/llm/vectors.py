@@ -6,22 +6,25 @@ on a bounded sample, and sorted by their grid cells of width eps on the
 leading ones. The sorted sequence is cut into blocks with bounding boxes, and
 blocks into a tree of intervals. From the pair (root, root) down, a pair of
 intervals whose boxes lie further apart than eps is dropped; projections onto
-orthonormal axes never lengthen distances, so no link is lost. The pairs of
-blocks that are left are compared in full, in blocks of bounded size.
+orthonormal axes never lengthen distances, so no link is lost.
 
-Equal vectors are merged before. A pair of blocks gives a row for each vector
-that has links, with their number and a root of its links there, never the
-pairs themselves.
+Pairs of blocks that are left are compared by tiles, squares of consecutive
+blocks, so a block travels to as many tasks as there are tiles in a row. Within
+a pair of blocks two vectors are dropped on partial distances: the product of
+their leading coordinates plus the product of the lengths of the rest bounds
+their cosine from above. What remains is decided in double precision.
+
+Equal vectors are merged before. A tile gives a row for each vector that has
+links there, with their number and a root of its links, never the pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -30,13 +33,21 @@ from pyspark.sql.types import ArrayType, FloatType
 from prosemill.llm.components import connected_components
 from prosemill.llm.runtime import cut, partitions
 
-#: Vectors a block, children an interval, axes of the boxes, rows of the sample for the axes.
-BLOCK, FANOUT, AXES, SAMPLE = 4096, 16, 16, 4096
-_PAIRS_A_TASK = 8
+#: Vectors a block, children an interval, axes of the boxes and of partial distances, rows of the sample for the axes.
+BLOCK, FANOUT, AXES, PARTIAL, SAMPLE = 4096, 16, 16, 32, 4096
+#: At most so many blocks on a side of a tile.
+_TILE = 16
 #: Single precision finds candidates down to this much below the threshold; double precision decides.
 _SLACK = 1e-4
 
 
+def unit_vectors(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. Each is scaled by a power of two first, so that squares neither vanish nor overflow."""
+    _, power = np.frexp(np.abs(x).max(1, initial=0.0))
+    scaled = np.ldexp(x, -power[:, None])
+    return scaled / np.sqrt((scaled * scaled).sum(1))[:, None]
+
+
 def _linkable(v: Column) -> Column:
     """Not null or zero, and all components finite."""
     wide = F.transform(v, lambda x: x.cast("double"))
@@ -45,23 +56,22 @@ def _linkable(v: Column) -> Column:
 
 
 def _axes(units: DataFrame, size: int, sample: int) -> np.ndarray:
-    """Orthonormal axes as columns, by falling variance over a sample of the unit vectors in the order of a hash."""
+    """All orthonormal axes as columns, by falling variance over a sample of the unit vectors in the order of a hash."""
     rows = units.orderBy(F.xxhash64("uid"), "uid").limit(sample).select("v").toPandas()["v"]
-    x = np.stack([np.asarray(v, np.float64) for v in rows])
-    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = unit_vectors(np.stack([np.asarray(v, np.float64) for v in rows]))
     value, vector = np.linalg.eigh(np.cov(x.T, bias=True).reshape(size, size) if len(x) > 1 else np.eye(size))
-    return np.ascontiguousarray(vector[:, np.argsort(-value, kind="stable")][:, :AXES])
+    return np.ascontiguousarray(vector[:, np.argsort(-value, kind="stable")])
 
 
 def _placed(units: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
-    """units with their grid key on the leading axes (as many as fit in 62 bits) and coordinates on all axes kept."""
-    cells = int(2 / eps) + 2
+    """units with their grid key on the leading axes (as many as fit in 62 bits) and coordinates on the axes of the boxes."""
+    cells, axes = int(2 / eps) + 2, axes[:, :AXES]
     leading = max(1, min(axes.shape[1], int(62 * np.log(2) / np.log(cells))))
 
     @pandas_udf("struct<cell: long, at: array<double>>")
     def place(vectors: pd.Series) -> pd.DataFrame:
         x = np.stack([np.asarray(v, np.float64) for v in vectors]) if len(vectors) else np.zeros((0, len(axes)))
-        at = (x / np.linalg.norm(x, axis=1)[:, None]) @ axes
+        at = unit_vectors(x) @ axes
         cell = np.clip(np.floor((at[:, :leading] + 1) / eps).astype(np.int64), 0, cells - 1)
         key = np.zeros(len(x), np.int64)
         for column in cell.T:
@@ -112,7 +122,7 @@ def _apart(a: str, b: str) -> Column:
 
 def _near_blocks(boxes: DataFrame, eps: float, fanout: int) -> DataFrame:
     """Pairs (a, b), a <= b, of blocks whose boxes are within eps, by recursion over the tree of intervals."""
-    size = AXES if not (first := boxes.select(F.size("low").alias("n")).first()) else first["n"]
+    size = first["n"] if (first := boxes.select(F.size("low").alias("n")).first()) else AXES
     levels = [boxes.select(F.col("block").alias("node"), "low", "high")]
     while levels[-1].limit(2).count() > 1:
         bounds = [F.min(F.col("low")[i]).alias(f"l{i}") for i in range(size)] + [F.max(F.col("high")[i]).alias(f"h{i}") for i in range(size)]
@@ -129,86 +139,116 @@ def _near_blocks(boxes: DataFrame, eps: float, fanout: int) -> DataFrame:
     return pairs
 
 
-def _links(threshold: float, kind: str, size: int):
-    """Rows (node, links, root) of the vectors that have links in a pair of blocks."""
-
-    def compare(a: dict, b: dict, same: bool) -> pa.RecordBatch | None:
-        ids, copies, vectors = [], [], []
-        for x in (a,) if same else (a, b):
-            ids.append(np.frombuffer(x["ids"], "<i8"))
-            copies.append(np.frombuffer(x["copies"], "<i8"))
-            vectors.append(np.frombuffer(x["vectors"], kind).reshape(-1, size).astype(np.float64))
-        unit = [v / np.linalg.norm(v, axis=1)[:, None] for v in vectors]
-        left, right = unit[0], unit[-1]
-        shift = 0 if same else len(left)
-        rows, columns, step = [], [], 1024
-        narrow = right.astype(np.float32).T
-        for at in range(0, len(left), step):
-            i, j = np.nonzero(left[at : at + step].astype(np.float32) @ narrow >= threshold - _SLACK)
-            i = i + at
-            if same:
-                i, j = i[i < j], j[i < j]
-            for k in range(0, len(i), 1 << 17):
-                p, q = i[k : k + (1 << 17)], j[k : k + (1 << 17)]
-                u, v = vectors[0][p], vectors[-1][q]
-                exact = (u * v).sum(1) / np.sqrt((u * u).sum(1) * (v * v).sum(1)) >= threshold
-                rows.append(p[exact])
-                columns.append(q[exact] + shift)
-        i, j = (np.concatenate([*x, np.array([], np.int64)]).astype(np.int64) for x in (rows, columns))
-        if not len(i):
-            return None
-        ids, copies = np.concatenate(ids), np.concatenate(copies)
-        links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-        root = np.arange(len(ids))
-        while True:
-            before = root.copy()
-            np.minimum.at(root, i, before[j])
-            np.minimum.at(root, j, before[i])
-            root = root[root]
-            if (root == before).all():
-                break
-        some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(ids[root[some]])], ["node", "links", "root"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
-                a, b = ({k: row[f"{x}_{k}"] for k in ("ids", "copies", "vectors")} for x in "ab")
-                if (found := compare(a, b, row["a"] == row["b"])) is not None:
-                    yield found
+def _bounded(unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Leading coordinates and the length of the rest: products of two such rows are at least the cosine."""
+    at = unit @ axes[:, :PARTIAL]
+    return np.column_stack([at, np.sqrt(np.maximum(0, 1 - (at * at).sum(1)))]).astype(np.float32)
+
+
+def compare(left: np.ndarray, right: np.ndarray | None, axes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the linked pairs of two sets of vectors, or (i < j) of one."""
+    same = right is None
+    u = unit_vectors(left)
+    v = u if same else unit_vectors(right)
+    low_u = _bounded(u, axes)
+    low_v = (low_u if same else _bounded(v, axes)).T
+    rows, columns, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 1024
+    for at in range(0, len(u), step):
+        i, j = np.nonzero(low_u[at : at + step] @ low_v >= threshold - _SLACK)
+        i = i + at
+        if same:
+            i, j = i[i < j], j[i < j]
+        for k in range(0, len(i), 1 << 17):
+            p, q = i[k : k + (1 << 17)], j[k : k + (1 << 17)]
+            linked = (u[p] * v[q]).sum(1) >= threshold - 1e-12
+            p, q = p[linked], q[linked]
+            exact = _cosine(left[p], (left if same else right)[q]) >= threshold
+            rows.append(p[exact])
+            columns.append(q[exact])
+    return np.concatenate(rows), np.concatenate(columns)
+
+
+def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines row by row; powers of two are taken out first, which changes no digit of the result."""
+    x, y = (np.ldexp(z, -np.frexp(np.abs(z).max(1, initial=0.0))[1][:, None]) for z in (x, y))
+    return (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
+
+
+def _links(threshold: float, kind: str, axes: np.ndarray):
+    """Rows (node, links, root) of the vectors that have links in a tile: its blocks, and in the column pairs what to compare."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        blocks = {}
+        for row in frame.itertuples():
+            vectors = np.frombuffer(row.vectors, kind).reshape(-1, len(axes)).astype(np.float64)
+            blocks[row.block] = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.copies, "<i8"), vectors
+        found = []
+        for pair in frame["pairs"].iloc[0]:
+            a, b = blocks[pair["a"]], blocks[pair["b"]]
+            same = pair["a"] == pair["b"]
+            i, j = compare(a[2], None if same else b[2], axes, threshold)
+            if len(i):
+                ids, copies = (a[x] if same else np.concatenate([a[x], b[x]]) for x in (0, 1))
+                j = j if same else j + len(a[0])
+                links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+                some = np.flatnonzero(links)
+                found.append(pd.DataFrame({"node": ids[some], "links": links[some].astype(np.int64), "root": ids[_roots(len(ids), i, j)[some]]}))
+        return pd.concat(found) if found else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("node", "links", "root")})
 
     return run
 
 
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, i, before[j])
+        np.minimum.at(root, j, before[i])
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def _tiled(pairs: DataFrame, blocks: DataFrame, side: int) -> DataFrame:
+    """Rows (x, y, block, ids, copies, vectors, pairs): for each tile (x, y) that has near blocks, the blocks it needs and the pairs (at most side squared)."""
+    tile = [F.floor(F.col(c) / side).alias(name) for c, name in (("a", "x"), ("b", "y"))]
+    held = cut(pairs.select(*tile, "a", "b").groupBy("x", "y").agg(F.collect_list(F.struct("a", "b")).alias("pairs")))
+    need = held.select("x", "y", "pairs", F.explode(F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.array(p["a"], p["b"]))))).alias("block"))
+    return need.join(blocks.select("block", "ids", "copies", "vectors"), "block")
+
+
+def _of_one_length(units: DataFrame, size: int, threshold: float, block: int, fanout: int, sample: int) -> DataFrame:
+    """(node, links, root) of the vectors of one length that have links to others; units: distinct vectors (uid, v, copies)."""
+    eps = max(sqrt(max(0.0, 2 - 2 * threshold)), 1e-3)
+    axes = _axes(units, size, sample)
+    blocks, kind = _in_blocks(_placed(units, axes, eps), block)
+    pairs = _near_blocks(blocks, eps, fanout)
+    # A tile has as many blocks on a side as leave every task about two tiles.
+    number = blocks.count()
+    side = max(1, min(_TILE, ceil(number / sqrt(4 * partitions(units.sparkSession)))))
+    return _tiled(pairs, blocks, side).groupBy("x", "y").applyInPandas(_links(threshold, kind, axes), "node long, links long, root long")
+
+
 def link_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, fanout: int = FANOUT, sample: int = SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     n_links counts the other rows at cosine >= threshold in double precision;
     component_id is the least id reachable by links; kept marks the row whose
-    id that is. Rows without an id, vectors that are null, zero or hold null
-    or non-finite components, and vectors of another length than the commonest
-    (of equally common ones the longest) link with nothing. Repeated rows
-    count each. An empty table gives no rows. Other columns are not read.
+    id that is. Vectors of different lengths link with nothing of each other;
+    every length is joined by itself, in turn. Rows without an id, and vectors
+    that are null, empty, zero or hold null or non-finite components, link with
+    nothing. Repeated rows count each. An empty table gives no rows. Other
+    columns are not read.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is over 0 and at most 1")
-    eps = max(sqrt(max(0.0, 2 - 2 * threshold)), 1e-3)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     usable = rows.filter(F.col("vec_id").isNotNull() & _linkable(F.col("v")))
-    common = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if common is None:
-        return alone
-    size = common["n"]
-    usable = usable.filter(F.size("v") == size)
     units = cut(usable.groupBy("v").agg(F.min("vec_id").alias("uid"), F.count("*").alias("copies")))
-    blocks, kind = _in_blocks(_placed(units, _axes(units, size, sample), eps), block)
-    pairs = _near_blocks(blocks, eps, fanout)
-    sides = [blocks.select(F.col("block").alias(f"{x}_block"), *[F.col(c).alias(f"{x}_{c}") for c in ("ids", "copies", "vectors")]) for x in "ab"]
-    tasks = max(partitions(vectors.sparkSession), ceil(pairs.count() / _PAIRS_A_TASK))
-    work = pairs.join(sides[0], F.col("a") == F.col("a_block")).join(sides[1], F.col("b") == F.col("b_block")).drop("a_block", "b_block")
-    found = cut(work.repartition(tasks, "a", "b").mapInArrow(_links(threshold, kind, size), "node long, links long, root long"))
+    lengths = sorted(r["n"] for r in units.select(F.size("v").alias("n")).distinct().collect())
+    parts = [_of_one_length(units.filter(F.size("v") == n), n, threshold, block, fanout, sample) for n in lengths]
+    none = units.select(*[F.lit(0).cast("long").alias(c) for c in ("node", "links", "root")]).limit(0)
+    found = cut(reduce(DataFrame.unionByName, parts, none))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected_components(found, "node", "root").withColumnRenamed("node", "member")
     known = units.join(counts, F.col("uid") == F.col("node"), "left").join(groups, F.col("uid") == F.col("member"), "left")

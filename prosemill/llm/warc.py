@@ -25,6 +25,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,8 +152,11 @@ def _member(record: bytes) -> bytes:
 def arc_to_warc(archives: DataFrame) -> DataFrame:
     """A row for each record of ARC archives (name, content): its WARC fields and the whole record as a gzip member.
 
-    A null archive has no records. Records come with their full payload;
-    ``with_revisits`` turns repeats into revisit records.
+    A null or empty archive has no records, an empty table gives no rows, and
+    other columns are not read. Repeated records all come, with their full
+    payload; ``with_revisits`` turns them into revisit records. Record ids
+    follow from an archive's name and the record's offset, so archives that
+    repeat a name and hold the same give equal ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +185,9 @@ def with_revisits(records: DataFrame, order: str, least_bytes: int = 0) -> DataF
     ones the largest record id, and null counts as the smallest. Only
     responses are merged. The digest join moves compressed records; one
     digest's rows may be dealt over many tasks. records is evaluated twice,
-    for the digests and for the join, so its ids must not depend on chance.
+    for the digests and for the join, so what it is read from must be a table
+    that gives the same rows in the same tasks each time, as files do; write
+    other inputs first. An empty table gives no rows.
     """
     merged = F.col("warc_type") == "response"
     first = records.filter(merged & (F.col("payload_bytes") >= least_bytes)).groupBy("payload_digest").agg(F.max(F.struct(F.col(order).alias("o"), "record_id", "target_uri", "warc_date")).alias("first"))
@@ -201,10 +207,27 @@ def with_revisits(records: DataFrame, order: str, least_bytes: int = 0) -> DataF
     return joined.mapInArrow(run, "member binary")
 
 
-def write_warc(members: DataFrame, path: str, records_a_file: int = 20_000) -> None:
-    """Archives of (member) rows under path."""
-    text = members.filter("member is not null").select(F.col("member").cast("string").alias("value"))
-    text.write.option("lineSep", _SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", records_a_file).text(path)
+def write_warc(members: DataFrame, path: str, archive_bytes: int = 1 << 26) -> None:
+    """Archives of (member) rows under path, in folders by number; each task begins another when one has so many bytes.
+
+    An archive is larger than that by less than its last record. Null members
+    are left out, repeated ones are written again, and an empty table makes an
+    empty folder.
+    """
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = number = 0
+        for batch in batches:
+            at = []
+            for length in pc.binary_length(batch.column(0)).to_pylist():
+                number, size = (number + 1, 0) if size >= archive_bytes else (number, size)
+                size += length
+                at.append(number)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0)], ["archive", "member"])
+
+    rows = members.filter("member is not null").select("member").mapInArrow(numbered, "archive int, member binary")
+    text = rows.select("archive", F.col("member").cast("string").alias("value"))
+    text.write.partitionBy("archive").option("lineSep", _SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
 
 def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -225,13 +248,18 @@ WARC = "record_id string, warc_type string, target_uri string, warc_date string,
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the archives under path; in a revisit payload and payload_digest are null."""
+    """A row for each record of the archives under path; in a revisit payload and payload_digest are null.
+
+    Archives are read one at a time and put out record by record, in batches of
+    a few MB. Repeated records all come; a folder without archives gives no
+    rows. What is no WARC record raises an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for h, block in parse_warc(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
+                for h, block in parse_warc(gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer()))):
                     head, payload = split_http(block)
                     kind = h["warc-type"]
                     rows.append((h["warc-record-id"], kind, h.get("warc-target-uri"), h.get("warc-date"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, *((None, head, None) if kind == "revisit" else (digest(payload), head, payload))))
@@ -241,7 +269,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield _batch(rows, WARC)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(run, WARC)
 
 

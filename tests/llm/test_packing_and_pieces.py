@@ -6,7 +6,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from prosemill.llm.packing import byte_bpe, pack_documents, piece_lengths
+from prosemill.llm.packing import _Bins, byte_bpe, pack_documents
 from prosemill.llm.pieces import decode_pieces, encode_pieces, load
 from prosemill.llm.queries import tokenizer_file
 
@@ -19,44 +19,79 @@ def test_ids_are_the_librarys(text):
     assert byte_bpe(BPE)(text).tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
 
 
-def test_piece_lengths():
-    assert piece_lengths(1024, 1024, "reciprocal") == [1024]
-    assert piece_lengths(2051, 1024, "reciprocal") == [1024, 1024, 2, 1]
-    assert piece_lengths(2051, 1024, "long") == [1024, 1024, 3]
-    assert piece_lengths(767, 1024, "reciprocal") == [512, 128, 64, 32, 16, 8, 4, 2, 1]
+def packed(lengths, capacity=1024, least=16):
+    """The pieces (doc, start, length, sequence) that one task makes of documents of these lengths."""
+    bins = _Bins(capacity, 0, least)
+    for doc, n in enumerate(lengths):
+        bins.add((doc, 0, np.arange(n, dtype="<u4"), n))
+    bins.finish()
+    return [(r[0], r[1], r[2], r[4]) for r in bins.rows]
 
 
-@pytest.mark.parametrize("cut", ["reciprocal", "long"])
-def test_every_id_lies_in_one_piece_and_sequences_have_no_gaps(spark, cut):
+def test_classes_fill_by_count():
+    """Bins of class k hold k whole remainders; without cuts nothing else does."""
+    pieces = packed([400, 300, 1024, 400, 300, 300, 2048 + 5], least=None)
+    by_sequence = {}
+    for doc, _, n, s in pieces:
+        by_sequence.setdefault(s, []).append((doc, n))
+    assert sorted(by_sequence.values()) == sorted([[(2, 1024)], [(0, 400), (3, 400)], [(1, 300), (4, 300), (5, 300)], [(6, 1024)], [(6, 1024)], [(6, 5)]])
+
+
+def test_a_gap_is_filled_from_the_next_document():
+    assert packed([400, 400, 700]) == [(0, 0, 400, 0), (1, 0, 400, 0), (2, 0, 224, 0), (2, 224, 476, 1)]
+    assert packed([400, 400, 100, 50, 90]) == [(0, 0, 400, 0), (1, 0, 400, 0), (2, 0, 100, 0), (3, 0, 50, 0), (4, 0, 74, 0), (4, 74, 16, 1)]
+
+
+@pytest.mark.parametrize("least", [1, 16, None])
+def test_pieces_cover_documents_once(least):
+    rng = random.Random(least or 0)
+    for _ in range(60):
+        lengths = [rng.choice([1, 5, 15, 16, 17, 40, 300, 511, 512, 513, 1023, 1024, 1025, 3000, rng.randint(1, 2500)]) for _ in range(rng.randint(1, 60))]
+        pieces, at, sums = packed(lengths, least=least), {}, {}
+        for doc, start, n, s in sorted(pieces):
+            assert start == at.get(doc, 0) and n > 0 and (least is None or n >= min(least, lengths[doc]) or n == lengths[doc] % 1024)
+            at[doc], sums[s] = start + n, sums.get(s, 0) + n
+        assert at == dict(enumerate(lengths)) and max(sums.values()) <= 1024
+        if least:
+            assert sum(1024 - n for n in sums.values()) <= 1024 + least * len(sums)
+
+
+@pytest.mark.parametrize("least", [16, None])
+def test_every_id_lies_in_one_piece_and_sequences_have_no_gaps(spark, least):
     rng = random.Random(1)
-    rows = [(i, " ".join(rng.choice(TEXTS[5].split()) for _ in range(rng.randint(0, 900)))) for i in range(60)] + [(100, None), (None, "no id"), (7, "again"), (7, "again")]
+    rows = [(i, " ".join(rng.choice(TEXTS[5].split()) for _ in range(rng.randint(0, 900)))) for i in range(60)] + [(100, None), (101, ""), (102, "long text " * 20_000), (None, "no id"), (7, "again"), (7, "again")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("offset", F.lit(1)).repartition(3)
-    pieces = pack_documents(docs, BPE, 1024, cut).toPandas()
+    pieces = pack_documents(docs, BPE, 1024, least).toPandas()
     sequences = pieces.groupby("sequence_id")
     for _, s in sequences:
         s = s.sort_values("offset")
         assert (s["offset"] == s["length"].cumsum() - s["length"]).all() and s["length"].sum() <= 1024
-        assert len(s) <= 1 or cut == "long" or s["length"].nunique() == 1
-    totals = sequences["length"].sum()
-    if cut == "reciprocal":
-        assert all(t & (t - 1) == 0 for t in totals)
     encode = byte_bpe(BPE)
-    for i, text in rows[:61]:
+    for i, text in rows[:63]:
         mine = pieces[pieces["doc_id"] == i].sort_values("start")
         if i == 7:
             assert len(mine) >= 3
             continue
         joined = np.frombuffer(b"".join(mine["ids"]), "<u4").tolist()
         assert joined == [*encode(text or "").tolist(), 0]
-        assert (mine["doc_tokens"] == len(joined)).all()
+        assert (mine["start"] == mine["length"].cumsum() - mine["length"]).all() and (mine["doc_tokens"] == len(joined)).all()
     assert pieces["length"].sum() == sum(len(encode(t or "")) + 1 for _, t in rows)
 
 
+def test_the_quick_encoder_on_many_characters():
+    """The faster encoder gives the library's ids on strings over all kinds of characters."""
+    rng, slow = random.Random(3), Tokenizer.from_file(BPE)
+    kinds = [range(32, 127), range(0, 0x300), range(0x300, 0xD800), range(0xE000, 0x11000), range(0x1F300, 0x1F700), (9, 10, 13, 32, 160, 0x2003, 0x3000)]
+    for _ in range(1500):
+        text = "".join(chr(rng.choice(rng.choice(kinds))) for _ in range(rng.randint(1, 30)))
+        assert byte_bpe(BPE)(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pack_documents(none, BPE).count() == encode_pieces(none, PIECES).count() == 0
     with pytest.raises(ValueError):
-        pack_documents(none, BPE, 1000)
+        pack_documents(none, BPE, 100, least=80)
 
 
 def best_score(pieces, text):
@@ -71,7 +106,7 @@ def best_score(pieces, text):
     return best[-1]
 
 
-@pytest.mark.parametrize("text", [t for t in TEXTS if t] + ["quick brown foxes", "ing ", "x" * 70 + "ing the"])
+@pytest.mark.parametrize("text", [t for t in TEXTS if t] + ["quick brown foxes", "ing ", "x" * 70 + "ing the", "ab漢字ing" * 900])
 def test_segmentation_is_the_best_one(text):
     pieces = load(PIECES)
     ids = np.frombuffer(pieces.encode([text])[0], "<u4").tolist()
@@ -84,6 +119,17 @@ def test_segmentation_is_the_best_one(text):
     assert score + held * pieces.missing == pytest.approx(best_score(pieces, text))
 
 
+def test_long_units_are_found_alike_alone_and_together():
+    """A unit's ids do not depend on what it is searched with, nor on the spans of end positions."""
+    rng = random.Random(4)
+    units = ["".join(rng.choice("aeinrst漢字") for _ in range(rng.choice([3, 65, 66, 80, 150, 4096, 4100, 5000]))) for _ in range(40)]
+    together = load(PIECES).encode(units)
+    for unit, ids in zip(units, together, strict=True):
+        pieces = load(PIECES)
+        pieces.known.clear()
+        assert pieces.encode([unit]) == [ids]
+
+
 def test_no_segmentation_of_the_library_scores_higher():
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     model = proto.ModelProto()

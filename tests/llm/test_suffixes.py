@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def table(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
-@pytest.mark.parametrize("length", [32, 50, 64])
+@pytest.mark.parametrize("length", [17, 20, 50, 51, 200])
 def test_like_brute_force(spark, length):
     rng = random.Random(length)
     blocks = ["".join(rng.choice("ab é") for _ in range(rng.randint(5, 130))) for _ in range(25)]
@@ -45,6 +46,49 @@ def test_like_brute_force(spark, length):
     assert got(table(spark, rows), length) == brute(rows, length)
 
 
+def test_plain_doubling_finds_the_same(spark):
+    rng = random.Random(6)
+    blocks = ["".join(rng.choice("abcé ") for _ in range(rng.randint(5, 60))) for _ in range(8)]
+    rows = [(i, "".join(rng.choice(blocks) for _ in range(rng.randint(0, 4)))) for i in range(12)] + [(20, None)]
+    found = {}
+    for r in suffixes.doubled_repeats(table(spark, rows), 50).collect():
+        found.setdefault(r["key"], set()).update(range(r["pos"], r["pos"] + 50))
+    assert {i: len(found.get(i, ())) for i, _ in rows} == {r[0]: r[2] for r in brute(rows)}
+
+
+def test_anchors_of_very_many_contexts_are_split(spark, monkeypatch):
+    """One anchor in thousands of contexts, and a passage in a third of the documents: results stay whole, and no bucket gathers the anchor."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = word(70)
+    rows = [(i, word(30) + "the very same anchor string" + word(30)) for i in range(3000)] + [(4000 + i, word(20) + passage + word(20)) for i in range(1000)]
+    rows += [(9000 + i, rows[i][1][3:] + "x") for i in range(0, 300, 3)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(suffixes, "_SAMPLED", 1)
+    monkeypatch.setattr(suffixes, "_HOT", 50)
+    hot = suffixes._hot_anchors(table(spark, rows).select(F.col("text").cast("binary")), 50)
+    assert 3 <= len(hot) < 200
+    assert got(table(spark, rows)) == brute(rows)
+    sender = suffixes._Sender(40, hot)
+    for runs in suffixes.anchors([t.encode() for _, t in rows], 50):
+        sender.add(runs)
+    sender.document(np.array([[i, i * 7919] for i, _ in rows]))
+    sizes = {}
+    for bucket, blob in sender.flush():
+        _, runs, known = suffixes._unpack(blob)
+        if known is None:
+            sizes[bucket] = sizes.get(bucket, 0) + len(runs.v)
+    assert max(sizes.values()) < 2 * sum(sizes.values()) / 40
+
+
+def test_a_text_of_several_segments(spark):
+    rng = random.Random(11)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(400_000))
+    rows = [(1, "start " + shared), (2, shared[1000:390_000] + " end"), (3, "q" * 100 + shared[300_000:])]
+    out = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in remove_repeats(table(spark, rows), 50).collect()}
+    assert out == {1: (0, 0), 2: (389_000, 1), 3: (100_000, 1)}
+
+
 def test_nulls_empties_and_repeated_ids(spark):
     passage = "a passage of more than fifty bytes that stands in several documents"
     rows = [(3, None), (4, ""), (None, passage), (7, passage + " seven"), (7, "other " + passage), (7, passage + " seven"), (9, passage), (None, passage + "!")]

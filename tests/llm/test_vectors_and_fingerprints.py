@@ -3,8 +3,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from prosemill.llm.fingerprints import BINS, compare_neighbours, fingerprint, likeness, sketch
-from prosemill.llm.vectors import link_vectors
+from prosemill.llm.fingerprints import BINS, compare_neighbours, fingerprint, likeness, sketch, with_next
+from prosemill.llm.vectors import compare, link_vectors, unit_vectors
 
 
 def brute_links(ids, vectors, threshold):
@@ -46,6 +46,36 @@ def test_odd_vectors_link_with_nothing(spark):
         link_vectors(none, 0.0)
 
 
+def test_lengths_are_joined_apart_and_magnitudes_do_not_matter(spark):
+    rng = np.random.default_rng(2)
+    rows, ids = [], iter(range(1000))
+    for size, n in ((5, 60), (3, 20), (2, 5), (1, 3)):
+        base = rng.normal(size=(6, size))
+        for k in range(n):
+            v = (base[k % 6] + rng.normal(size=size) * 0.1) * 10.0 ** rng.choice([-300, -200, -1, 0, 3, 200, 300])
+            rows.append((next(ids), v.tolist()))
+    rows += [(next(ids), [1e-200, 0.0]), (next(ids), [2e-200, 0.0]), (next(ids), [1e200, 1e180]), (next(ids), [5e-324, 0.0])]
+    got = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), 0.9, block=7, fanout=2, sample=30).toPandas().set_index("vec_id")
+    for size in (1, 2, 3, 5):
+        part = [(i, np.array(v)) for i, v in rows if len(v) == size]
+        unit = unit_vectors(np.stack([v for _, v in part]))
+        links, component = brute_links([i for i, _ in part], unit, 0.9)
+        mine = got.loc[[i for i, _ in part]]
+        assert mine["n_links"].tolist() == links.tolist() and mine["component_id"].tolist() == component.tolist()
+
+
+@pytest.mark.parametrize("size", [3, 40, 100])
+def test_partial_distances_drop_no_pair(size):
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(300, size))
+    x[150:] = x[:150] + rng.normal(size=(150, size)) * 0.45
+    axes = np.linalg.qr(rng.normal(size=(size, size)))[0]
+    i, j = compare(x, None, axes, 0.9)
+    unit = unit_vectors(x)
+    p, q = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(zip(p.tolist(), q.tolist(), strict=True)) and len(i) > 20
+
+
 def shingles(text):
     words = text.encode().lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
@@ -106,3 +136,16 @@ def test_odd_neighbours(spark):
     assert sorted(str(r["doc_id"]) for r in out) == sorted(["None", "None", "3", "3", "3", str(2**62 + 1)])
     hexed = one.select(fingerprint(F.col("text")).alias("f")).first()["f"]
     assert hexed == sketch(["a b c d e f"])[0].tobytes().hex()
+
+
+def test_a_hot_id_is_dealt_over_many_tasks(spark):
+    """A third of the rows have one id and a third have none: results are those of one order, and no task holds a third."""
+    rows = [(i, f"text {i}") for i in range(60)] + [(30, f"hot {i} é") for i in range(60)] + [(None, f"none {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = with_next(docs).filter("ahead = 0").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert dealt.sum() == len(rows) and dealt.max() < len(rows) / 4
+    mark = {r["text"]: r["m"] for r in docs.select("text", F.xxhash64("text").alias("m")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), mark[r[1]]))
+    got = {r["text_of"]: r["edited_text"] for r in compare_neighbours(docs).withColumn("text_of", F.col("edited_text")).collect()}
+    expected = {t[: len(t) - len(t) // 3] + after[: len(t) // 3] for (_, t), (_, after) in zip(order, order[1:] + order[:1], strict=True)}
+    assert set(got) == expected

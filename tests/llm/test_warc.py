@@ -84,3 +84,11 @@ def test_small_payloads_and_empty_tables(spark):
     kinds = {r["page_id"]: r["warc_type"] for r in written_and_read(spark, pages, 3).filter("page_id is not null").collect()}
     assert kinds == {1: "response", 2: "response", 3: "revisit", 4: "response"}
     assert written_and_read(spark, pages.limit(0)).count() == 0
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    rows = spark.createDataFrame([(i, bytes([i % 7]) * 90) for i in range(100)], "i int, member binary").repartition(2)
+    write_warc(rows.withColumn("archive", F.lit("clash")), f"file://{tmp_path}/w", archive_bytes=1000)
+    sizes = [f.stat().st_size for f in tmp_path.rglob("part-*") if "crc" not in f.name]
+    empty = len(gzip.compress(b"", mtime=0))
+    assert len(sizes) >= 8 and max(sizes) <= 1000 + 90 + 13 * empty
