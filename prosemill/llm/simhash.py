@@ -353,12 +353,12 @@ def _closed(place: DataFrame, nodes: DataFrame, similarity: float, far: int, rou
     return groups
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, rounds: int = 2, block: int = 4096) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, rounds: int = 1, block: int = 4096) -> DataFrame:
     """(doc_id, component_id) of every row; component_id is the least id reachable by links of Jaccard similarity >= similarity.
 
     Links hold exactly: every one is verified on the whole sets of shingles
     (of distinct lower-case words, ``words`` long). A pair right at the
-    similarity is not found with probability ``missed``, and 0.3 % for the check
+    similarity is not found with probability ``missed``, and 0.6 % for the check
     of the first word; the chance falls fast above it, and a group holds
     together by any of its links.
 
@@ -377,7 +377,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, handle long, key long, size long, fp long, words array<long>"))
     sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("handle").alias("handle"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))
     wide = sets.filter("size > 0")
-    found = _dealt(wide.select("fp", "words"), segments, block).mapInPandas(_matches(_reach(p, 64, 3.0), _members), "bucket long, fp long")
+    found = _dealt(wide.select("fp", "words"), segments, block).mapInPandas(_matches(_reach(p, 64, 2.5), _members), "bucket long, fp long")
     # Different sets that share the first word meet in a bucket of their own.
     alone = wide.groupBy("fp").count().filter("count > 1").select(F.bitwise_not(F.shiftrightunsigned("fp", 1)).alias("bucket"), "fp")
     place = _stored(wide.join(found.unionByName(alone).distinct(), "fp").select("bucket", "key", "size", F.col("key").alias("part")))
