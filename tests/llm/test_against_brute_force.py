@@ -182,6 +182,9 @@ def by_id(frame):
 
 def test_toxic_rows_go(spark, sf_dir, tmp_path):
     rows, docs = odd_documents(spark)
+    more = [(400 + i, f"such a moronic scumbag, {TOXIC[i % 3]} {i}") for i in range(12)]
+    rows += more
+    docs = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     labels = [(i, int(t is not None and "scumbag" in t)) for i, t in rows if i is not None]
     spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
