@@ -33,26 +33,46 @@ def _with_text(docs: DataFrame, row: str, text: Column) -> list[Column]:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on all labels, does not call toxic. Null texts are scored as empty."""
+    """Documents that the classifier, fitted on all labels, does not call toxic.
+
+    Null texts are scored as empty. Rows that repeat an id or a text are each
+    judged by their text; an empty table stays empty, and all columns are kept.
+    """
     model = fit_ngrams(docs, table(spark, sf_dir, "labels"))
     return docs.filter(ngram_score(model, F.col("text")) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard 0.8 or more on five-word shingles) the document with the least id. Rows of one id are one document; rows without an id stay."""
+    """Of each group of near copies the document with the least id.
+
+    Near copies have a Jaccard similarity of 0.8 or more on five-word shingles;
+    candidates come from multi-index SimHash, and each link is verified. Rows of
+    one id are one document and stay together; rows without an id stay. Null and
+    blank texts are copies of each other. An empty table stays empty, and all
+    columns are kept.
+    """
     groups = similar_groups(docs)
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*_columns(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the characters that lie wholly in strings of 50 bytes that an earlier document has; a text may end up empty."""
+    """All documents, without the characters that lie wholly in strings of 50 bytes that a document with a smaller id has.
+
+    A text may end up empty, and a null one becomes empty. Rows of one id are one
+    document, rows without an id come after all others. An empty table stays
+    empty, and all columns are kept, n_chars as the new length.
+    """
     kept = remove_repeats(docs, 50, characters=True, carry=docs.columns)
     return kept.select(*_with_text(docs, "row", F.col("kept").cast("string")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with [SECRET] in place of every secret."""
+    """All documents, with [SECRET] in place of every secret.
+
+    Null texts stay null. Repeated rows are each rewritten; an empty table stays
+    empty, and all columns are kept, n_chars as the new length.
+    """
     found = blob_findings(scan_versions(docs)[1])
     blob = F.sha2(F.coalesce("text", F.lit("")), 256)
     rows = docs.select(F.struct(*_columns(docs)).alias("row"), F.col("text"), blob.alias("own"))
@@ -62,7 +82,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their token ids and places in sequences of 1024."""
+    """The pieces of all documents with their token ids and places in sequences of 1024.
+
+    A null text is an empty one, which is its end id. Rows that repeat an id are
+    packed each; an empty table gives no rows, and other columns are not read.
+    """
     return pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
@@ -74,7 +98,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: SQL has neither the classifier nor the tokenizer; tests/llm compares the stages with brute force.
+#: SQL has neither the classifier nor the tokenizer; tests/llm/test_against_brute_force.py compares every stage with a slow version of it.
 ORACLE_SQL: str | None = None
 
 
