@@ -34,7 +34,7 @@ from prosemill.llm.components import connected_components
 from prosemill.llm.runtime import cut, partitions
 
 #: Vectors a block, children an interval, axes of the boxes and of partial distances, rows of the sample for the axes.
-BLOCK, FANOUT, AXES, PARTIAL, SAMPLE = 4096, 16, 16, 32, 4096
+BLOCK, FANOUT, AXES, PARTIAL, SAMPLE = 4096, 16, 16, 24, 4096
 #: At most so many blocks on a side of a tile.
 _TILE = 16
 #: Single precision finds candidates down to this much below the threshold; double precision decides.
