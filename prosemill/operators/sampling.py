@@ -42,9 +42,14 @@ def even_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     return wanted.join(placed, F.col("_at") == F.col("_position")).drop("_at", "_position")
 
 
+def seeded(seed: int, key: str | Column) -> Column:
+    """A text that orders keys at random, the same in any engine: md5 of seed:key."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col(key) if isinstance(key, str) else key).cast("string")))
+
+
 def shuffled_slice(rows: DataFrame, key: str, seed: int, start: int, stop: int) -> DataFrame:
     """Rows [start, stop) of a seeded order; slices of one seed that do not overlap are disjoint."""
-    order = [F.xxhash64(F.lit(seed), F.col(key)), F.col(key)]
+    order = [seeded(seed, key), F.col(key)]
     first = rows.orderBy(*order).limit(stop)
     return first.withColumn("_n", F.row_number().over(Window.orderBy(*order))).filter(F.col("_n") > start).drop("_n")
 
@@ -72,14 +77,20 @@ def folds(rows: DataFrame, key: str, label: str, k: int = 5, seed: int = 7) -> D
 
 def pick_one(items: Column, seed: int, key: Column) -> Column:
     """One element of an array, chosen by a hash of the key; null of an empty array."""
-    spot = F.pmod(F.xxhash64(F.lit(seed), key), F.greatest(F.size(items), F.lit(1))).cast("int")
+    spot = F.pmod(F.conv(F.substring(seeded(seed, key), 1, 8), 16, 10).cast("long"), F.greatest(F.size(items), F.lit(1))).cast("int")
     return F.get(items, spot)
 
 
 def sample_within(rows: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
-    """n rows of each group without replacement."""
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
-    return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+    """n rows of each group without replacement: the first by a seeded order of the key.
+
+    They are first taken of each of 256 parts of a group, so that no task holds a large group.
+    """
+    marked = rows.withColumn("_order", seeded(seed, key)).withColumn("_part", F.substring("_order", 1, 2))
+    for by in ((group, "_part"), (group,)):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("_order", key))
+        marked = marked.withColumn("_n", place).filter(F.col("_n") <= n).drop("_n")
+    return marked.drop("_order", "_part")
 
 
 def job_grid(openers: DataFrame, repeats: int, gold: DataFrame) -> DataFrame:

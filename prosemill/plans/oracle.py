@@ -398,6 +398,10 @@ ORACLE = {
     "even_sample": """SELECT i, doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p, count(*) OVER () AS total FROM documents) d
         JOIN (SELECT unnest(range(50)) AS i) r ON d.p = CAST(round_even(r.i * ((d.total - 1)::DOUBLE / 49), 0) AS BIGINT)""",
     "shard_modulo": "SELECT doc_id FROM documents WHERE doc_id % 4 = 1",
+    "hash_shuffle_slice": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS n FROM documents) t WHERE n > 20 AND n <= 50",
+    "sample_within_source": "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS n FROM documents) t WHERE n <= 3",
+    "sentence_sample": f"""SELECT doc_id, e[CAST(CAST('0x' || substr(md5('7:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % len(e) AS BIGINT) + 1] AS sentence
+        FROM (SELECT doc_id, list_filter({_sentences('text')}, lambda x: len({_words('x')}) BETWEEN 8 AND 40) AS e FROM {_D} d) t WHERE len(e) > 0""",
     "stratified_folds": "SELECT quality, CAST(fold AS INTEGER) AS fold, n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END AS n FROM (SELECT quality, count(*) AS n FROM labels GROUP BY quality) t CROSS JOIN range(5) r(fold)",
     "paragraph_chunks": f"SELECT doc_id, CAST(p AS BIGINT) AS paragraph, md5(string_agg(s, ' ' ORDER BY i)) AS text_md5 FROM (SELECT doc_id, s, i, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1) // 5 AS p FROM {_LINES} l) t GROUP BY doc_id, p HAVING count(*) = 5",
     "held_out_openings": f"""SELECT doc_id, count(*) AS n_kept FROM {_LINES} l WHERE array_to_string(({_words('s')})[1:8], ' ') NOT IN (
