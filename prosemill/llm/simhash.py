@@ -11,9 +11,9 @@ every match is checked on all 64 bits.
 
 ``similar_groups`` links texts whose sets of shingles have a Jaccard similarity
 of 0.8, say, or more. At 0.8 a bit of a SimHash differs with probability 0.15,
-so 64 bits are too few to tell: it uses as many segments as find such a pair
-with the probability asked for, checks matches on their whole wide
-fingerprints, and links on the exact similarity of the sets.
+so 64 bits are too few to tell: it takes fingerprints of 2,048 bits, probes as
+many segments of them as find such a pair with the probability asked for, and
+links matches by their complete distance.
 
 Equal fingerprints are merged first. A bucket of more than ``block`` distinct
 fingerprints is dealt over several tasks, each holding a block of it against
@@ -44,6 +44,8 @@ _PAIRS = 1 << 20
 _SHINGLES = 1 << 16
 #: A wide fingerprint takes its bit vectors from a table of so many rows, each with a sign.
 _ROWS = 1024
+#: Bits of a wide fingerprint at least; words of a chunk of distances.
+WIDE, _CHUNK = 2048, 1 << 22
 
 
 def _hashes(text: str | None, words: int, seed: int) -> Iterator[np.ndarray]:
@@ -159,22 +161,37 @@ def _members(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"bucket": np.concatenate([bucket, bucket]), "fp": np.concatenate([a, b])}).drop_duplicates()
 
 
-def _dealt(fps: DataFrame, segments: tuple[tuple[int, int, int], ...], block: int) -> DataFrame:
+def _segment_keys(fingerprint: str, segments: tuple[tuple[int, int, int], ...]) -> list[Column]:
+    """The column keys: for each segment its number and value together, and its width. fingerprint: a long, or binary of 64-bit words."""
+
+    def word(number: int) -> Column:
+        if fingerprint == "fp":
+            return F.col("fp")
+        return F.conv(F.hex(F.substring(fingerprint, 8 * number + 1, 8)), 16, -10).cast("long")
+
+    keys = [F.struct(F.shiftrightunsigned(word(w), low).bitwiseAND((1 << width) - 1).bitwiseOR(s << 40).alias("own"), F.lit(width).alias("width")) for s, (w, low, width) in enumerate(segments)]
+    return [F.array(*keys).alias("keys")]
+
+
+def _in_parts(rows: DataFrame, load: DataFrame, name: str, block: int) -> DataFrame:
+    """rows (bucket, name, stored) with a part: each goes to all parts of its bucket, and is stored in one; load: rows stored by bucket."""
+    hot = cut(load.filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts")))
+    dealt = rows.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    at = F.pmod(F.xxhash64(name), F.col("parts")).cast("int")
+    spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), at.alias("at"))
+    return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
+
+
+def _dealt(fps: DataFrame, block: int) -> DataFrame:
     """Rows (bucket, part, fp, stored) sorted in their tasks: every fingerprint stored under its keys and sought under their flips of a 0.
 
-    fps: fp, the first word, and words, an array of all of them. A bucket's
-    number says its segment.
+    fps: fp (the first word of a wide one) and keys. A bucket's number says its segment.
     """
-    keys = [F.struct(F.shiftrightunsigned(F.get("words", F.lit(word)), low).bitwiseAND((1 << width) - 1).bitwiseOR(s << 40).alias("own"), F.lit(width).alias("width")) for s, (word, low, width) in enumerate(segments)]
-    own = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.own", "k.width")
+    own = fps.select("fp", F.explode("keys").alias("k")).select("fp", "k.own", "k.width")
     flips = "transform(filter(sequence(0, width - 1), b -> (own & shiftleft(1L, b)) = 0), b -> struct(own | shiftleft(1L, b) AS bucket, false AS stored))"
     rows = own.select("fp", F.expr(f"explode(concat(array(struct(own AS bucket, true AS stored)), {flips}))").alias("p")).select("p.bucket", "fp", "p.stored")
-    hot = own.groupBy(F.col("own").alias("bucket")).count().filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts"))
-    dealt = rows.join(cut(hot), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    stored_at = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    spread = dealt.select("bucket", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), stored_at.alias("at"))
-    spread = spread.select("bucket", "part", "fp", (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
-    return spread.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
+    dealt = _in_parts(rows, own.groupBy(F.col("own").alias("bucket")).count(), "fp", block)
+    return dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
 
 
 def near_links(fps: DataFrame, bits: int = 4, block: int = 4096) -> DataFrame:
@@ -184,7 +201,7 @@ def near_links(fps: DataFrame, bits: int = 4, block: int = 4096) -> DataFrame:
     """
     if not 0 <= bits <= 4:
         raise ValueError("three segments with balls of radius 1 find distances up to 4")
-    return _dealt(fps.select("fp", F.array("fp").alias("words")), SEGMENTS, block).mapInPandas(_matches(bits, _forest), "a long, b long")
+    return _dealt(fps.select("fp", *_segment_keys("fp", SEGMENTS)), block).mapInPandas(_matches(bits, _forest), "a long, b long")
 
 
 def _node(least: Column, mark: Column) -> Column:
@@ -239,18 +256,13 @@ def _table(bits: int) -> np.ndarray:
     return np.random.default_rng(64).choice(np.array([-1, 1], np.float32), (_ROWS, bits))
 
 
-def _longs(rows: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate([*rows, np.zeros(0, np.uint64)]).view(np.int64))
-
-
 def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; a blank text has none."""
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, words, seed)]))
 
 
 def _sketch(words: int, n_words: int):
-    """Rows (doc_id, handle, key, size, fp, words) of texts: the hash and size of the set of shingles and its wide SimHash.
+    """Rows (doc_id, key, size, fp, words) of texts: the hash and size of the set of shingles and its wide SimHash.
 
     The bit vector of a shingle is a row of a fixed random table or its
     complement, as its hash says; a bit of the SimHash is 1 if it is set in over
@@ -263,34 +275,73 @@ def _sketch(words: int, n_words: int):
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 sizes, keys, counts = [], [], np.zeros((batch.num_rows, _ROWS), np.float32)
-                for i, text in enumerate(batch.column(2)):
+                for i, text in enumerate(batch.column(1)):
                     marks = shingle_set(text.as_py(), words)
                     counts[i] = np.bincount((marks % np.uint64(_ROWS)).astype(np.int64), np.where(marks >> np.uint64(63), 1.0, -1.0), _ROWS)
                     sizes.append(len(marks))
                     keys.append(xxhash.xxh64_intdigest(marks.tobytes()))
                 bits = np.packbits(counts @ table > 0, axis=1, bitorder="little").view("<u8")
-                columns = [batch.column(0), batch.column(1), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits[:, 0].view(np.int64)), _longs(list(bits))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "handle", "key", "size", "fp", "words"])
+                columns = [batch.column(0), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits[:, 0].view(np.int64)), pa.array([b.tobytes() for b in bits], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "size", "fp", "words"])
         release()
 
     return run
 
 
-def _sets(words: int):
-    """(key, marks) of rows (key, text): their shingles, in batches of bounded size."""
+def _near(a: np.ndarray, b: np.ndarray, far: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of the rows of a and b at distance <= far, in chunks."""
+    step = max(1, _CHUNK // max(1, b.size))
+    for at in range(0, len(a), step):
+        distance = np.zeros((len(a[at : at + step]), len(b)), np.uint16)
+        for x, y in zip(a[at : at + step].T, b.T, strict=True):
+            distance += np.bitwise_count(x[:, None] ^ y)
+        i, j = np.nonzero(distance <= far)
+        yield i + at, j
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sets, held = [], [], 0
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys.append(key)
-                sets.append(shingle_set(text.as_py(), words))
-                held += sets[-1].nbytes
-                if held > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(sets)], ["key", "marks"])
-                    keys, sets, held = [], [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(sets)], ["key", "marks"])
-        release()
+
+def _linked(far: int):
+    """Sorted rows (bucket, part, stored first) of wide fingerprints to a spanning forest of the links by complete distance.
+
+    What is near the first fingerprint stored in a group is one tree by that;
+    only what is not is held against all others. No group is held but for the
+    fingerprints stored in it, which are ``block`` at most.
+    """
+
+    def links(keys: np.ndarray, stored: np.ndarray, other_keys: np.ndarray, others: np.ndarray) -> Iterator[pd.DataFrame]:
+        a, b, tree = [], [], _Forest()
+
+        def take(x: np.ndarray, y: np.ndarray) -> None:
+            for p, q in zip(keys[x].tolist(), other_keys[y].tolist(), strict=True):
+                if tree.add(p, q):
+                    a.append(p)
+                    b.append(q)
+
+        first = np.zeros(1, np.int64)
+        with_first = [np.concatenate([j for _, j in _near(stored[:1], rows, far)]) for rows in (stored, others)]
+        apart = [np.setdiff1d(np.arange(len(rows)), near) for rows, near in zip((stored, others), with_first, strict=True)]
+        for k in with_first[0].tolist():
+            if tree.add(int(keys[0]), int(keys[k])):
+                a.append(int(keys[0]))
+                b.append(int(keys[k]))
+        take(np.repeat(first, len(with_first[1])), with_first[1])
+        for i, j in _near(stored[apart[0]], others, far):
+            take(apart[0][i], j)
+        for i, j in _near(stored[with_first[0]], others[apart[1]], far):
+            take(with_first[0][i], apart[1][j])
+        if a:
+            yield pd.DataFrame({"a": a, "b": b}, dtype=np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, keys, stored = None, np.zeros(0, np.int64), None
+        for frame in batches:
+            for group, rows in frame.groupby(["bucket", "part"], sort=False):
+                words = np.frombuffer(b"".join(rows["words"]), "<u8").reshape(len(rows), -1)
+                own = rows["stored"].to_numpy()
+                if group != at:
+                    at, keys, stored = group, np.zeros(0, np.int64), words[:0]
+                keys, stored = np.concatenate([keys, rows["key"].to_numpy()[own]]), np.concatenate([stored, words[own]])
+                if len(keys):
+                    yield from links(keys, stored, rows["key"].to_numpy(), words)
 
     return run
 
@@ -316,79 +367,40 @@ def _reach(probability: float, n: int, z: float) -> int:
     return math.ceil(n * probability + z * math.sqrt(n * probability * (1 - probability)))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float, far: int) -> DataFrame:
-    """(a, b, alike) of pairs of keys: the complete distance of their fingerprints first, then the similarity of the sets."""
-    of_a, of_b = (nodes.select(F.col("key").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("words", "marks")]) for end in "ab")
-    both = pairs.join(of_a, "a").join(of_b, "b")
-    distance = F.aggregate(F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    common = F.size(F.array_intersect("marks_a", "marks_b"))
-    union = F.size("marks_a") + F.size("marks_b") - common
-    return both.select("a", "b", F.when(distance <= far, common >= similarity * union - 1e-9).otherwise(False).alias("alike"))
-
-
-def _closed(place: DataFrame, nodes: DataFrame, similarity: float, far: int, rounds: int) -> DataFrame:
-    """(node, component) of the keys in place (bucket, key, size, part) that are alike; sets of too different sizes cannot be."""
-    tried: DataFrame | None = None
-    groups = None
-    for number in range(rounds + 1):
-        order = F.xxhash64("key", F.lit(number))
-        bucket = place.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min_by(F.struct("key", "size", "part"), order).alias("other"))
-        before, place = place, _stored(place.join(cut(bucket.filter("low != high").select("bucket", "other")), "bucket"))
-        _deleted(before)
-        if number == rounds:
-            met = place.drop("other").join(place.select("bucket", F.struct("key", "size", "part").alias("other")), "bucket").filter("part < other.part")
-        else:
-            met = place.filter("part != other.part")
-        fit = met.filter(F.least("size", "other.size") >= similarity * F.greatest("size", "other.size") - 1e-9)
-        pairs = fit.select(F.least("key", "other.key").alias("a"), F.greatest("key", "other.key").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        checked = _stored(_verified(_stored(pairs), nodes, similarity, far))
-        tried = checked if tried is None else tried.union(checked)
-        groups = cut(connected_components(tried.filter("alike")))
-        if number < rounds:
-            before, place = place, _stored(place.join(groups, place["key"] == groups["node"], "left").select("bucket", "key", "size", F.coalesce("component", "key").alias("part")))
-            _deleted(before)
-    _deleted(place)
-    return groups
-
-
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, rounds: int = 1, block: int = 4096) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, block: int = 4096) -> DataFrame:
     """(doc_id, component_id) of every row; component_id is the least id reachable by links of Jaccard similarity >= similarity.
 
-    Links hold exactly: every one is verified on the whole sets of shingles
-    (of distinct lower-case words, ``words`` long). A pair right at the
-    similarity is not found with probability ``missed``, and 0.6 % for the check
-    of the first word; the chance falls fast above it, and a group holds
-    together by any of its links.
-
-    Of the matches of a bucket not all pairs are verified: its members are
-    first held against one of them, links are closed to groups, and what stays
-    apart after so many ``rounds`` is compared in full.
+    The similarity is that of the sets of shingles (``words`` lower-case words
+    long), as their SimHash tells it: the complete distance of two fingerprints
+    stands for it with a standard error of about 0.02, and the limit is set one
+    such error low, so pairs at the similarity link for the most part, and
+    pairs well below it do not. A pair right at the similarity is not found
+    with probability ``missed``, and 0.6 % for the check of the first word; the
+    chance falls fast above it, and a group holds together by any of its links.
 
     Null and blank texts have the empty set and are copies of each other.
     Repeated ids and texts keep their rows. A row without an id belongs to the
     group of its text; a group without any id has a null component. An empty
     table gives no rows. Other columns of docs are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("handle"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     segments, p = wide_segments(rows.count(), similarity, missed), differing(similarity)
-    n_words = segments[-1][0] + 1
-    marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, handle long, key long, size long, fp long, words array<long>"))
-    sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("handle").alias("handle"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))
+    n_words = max(WIDE // 64, segments[-1][0] + 1)
+    marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, key long, size long, fp long, words binary"))
+    sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))
     wide = sets.filter("size > 0")
-    found = _dealt(wide.select("fp", "words"), segments, block).mapInPandas(_matches(_reach(p, 64, 2.5), _members), "bucket long, fp long")
+    found = _dealt(wide.select("fp", *_segment_keys("words", segments)), block).mapInPandas(_matches(_reach(p, 64, 2.5), _members), "bucket long, fp long")
     # Different sets that share the first word meet in a bucket of their own.
     alone = wide.groupBy("fp").count().filter("count > 1").select(F.bitwise_not(F.shiftrightunsigned("fp", 1)).alias("bucket"), "fp")
-    place = _stored(wide.join(found.unionByName(alone).distinct(), "fp").select("bucket", "key", "size", F.col("key").alias("part")))
-    named = wide.join(place.select("key").distinct(), "key", "left_semi").select("key", "handle", "words")
-    marks = named.select("key", "handle").join(rows, "handle").select("key", "text").mapInArrow(_sets(words), "key long, marks array<long>").dropDuplicates(["key"])
-    nodes = _stored(named.select("key", "words").join(marks, "key"))
-    groups = _closed(place, nodes, similarity, _reach(p, 64 * n_words, 4.0), rounds)
+    at = _stored(found.unionByName(alone).distinct())
+    held = at.join(wide.select("fp", "key"), "fp").select("bucket", "key")
+    dealt = _in_parts(held.withColumn("stored", F.lit(True)), held.groupBy("bucket").count(), "key", block)
+    dealt = dealt.join(wide.select("key", "words"), "key").repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
+    links = dealt.select("bucket", "part", "key", "stored", "words").mapInPandas(_linked(_reach(p, 64 * n_words, 1.0)), "a long, b long")
     own = sets.select("key", _node(F.col("first_id"), F.col("key")).alias("own"))
-    of_a, of_b = (own.select(F.col("key").alias(end), F.col("own").alias(f"own_{end}")) for end in ("node", "component"))
-    linked = connected_components(groups.join(of_a, "node").join(of_b, "component").select("own_node", "own_component"), "own_node", "own_component")
+    of_a, of_b = (own.select(F.col("key").alias(end), F.col("own").alias(f"own_{end}")) for end in "ab")
+    linked = connected_components(cut(links.distinct()).join(of_a, "a").join(of_b, "b").select("own_a", "own_b"), "own_a", "own_b")
     grouped = own.join(linked, own["own"] == linked["node"], "left").select("key", _least_id(F.coalesce("component", "own")).alias("component_id"))
     result = _stored(marked.select("doc_id", "key").join(grouped, "key", "left").select("doc_id", "component_id"))
-    _deleted(marked, sets, nodes)
+    _deleted(marked, sets, at)
     return result

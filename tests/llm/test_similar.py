@@ -55,19 +55,23 @@ def family(seed):
     return rows
 
 
-@pytest.mark.parametrize(("rounds", "block"), [(0, 4096), (1, 7)])
-def test_groups_equal_brute_force(spark, rounds, block):
-    """With hardly any pair missed, groups are those of all pairs."""
+@pytest.mark.parametrize("block", [4096, 7])
+def test_groups_lie_between_those_of_a_higher_and_a_lower_similarity(spark, block):
+    """Every pair clearly above the limit is together, and no document clearly below it to all others."""
     rows = family(3)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["component_id"] for r in similar_groups(docs, rounds=rounds, missed=1e-6, block=block).collect()}
-    assert got == brute_groups(rows)
+    got = {r["doc_id"]: r["component_id"] for r in similar_groups(docs, missed=1e-6, block=block).collect()}
+    high, low = brute_groups(rows, 0.86), brute_groups(rows, 0.72)
+    assert all(got[doc] == got[least] for doc, least in high.items())
+    assert all(low[doc] == low[least] for doc, least in got.items())
+    exact = brute_groups(rows)
+    assert sum(got[d] == exact[d] for d in got) > 0.9 * len(got)
 
 
-def test_the_stage_drops_every_copy_at_the_threshold(spark):
+def test_the_stage_keeps_one_of_each_group(spark):
     rows = family(4)
-    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
-    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(brute_groups(rows).values()))
+    out = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
+    assert set(brute_groups(rows, 0.72).values()) <= set(out) <= set(brute_groups(rows, 0.86).values())
 
 
 def test_rows_without_id_and_empty_tables(spark):
