@@ -46,6 +46,8 @@ _SHINGLES = 1 << 16
 _ROWS = 1024
 #: Bits of a wide fingerprint at least; words of a chunk of distances.
 WIDE, _CHUNK = 2048, 1 << 22
+#: So many hot buckets are broadcast, a few MB.
+_FEW = 100_000
 
 
 def _hashes(text: str | None, words: int, seed: int) -> Iterator[np.ndarray]:
@@ -176,7 +178,8 @@ def _segment_keys(fingerprint: str, segments: tuple[tuple[int, int, int], ...])
 def _in_parts(rows: DataFrame, load: DataFrame, name: str, block: int) -> DataFrame:
     """rows (bucket, name, stored) with a part: each goes to all parts of its bucket, and is stored in one; load: rows stored by bucket."""
     hot = cut(load.filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts")))
-    dealt = rows.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    # There are few hot buckets, mostly none: a join by broadcast saves an exchange of all rows. More of them are joined like any table.
+    dealt = rows.join(F.broadcast(hot) if hot.count() <= _FEW else hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     at = F.pmod(F.xxhash64(name), F.col("parts")).cast("int")
     spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), at.alias("at"))
     return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
@@ -238,13 +241,9 @@ def differing(similarity: float) -> float:
     return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
 
 
-def wide_segments(n: int, similarity: float, missed: float) -> tuple[tuple[int, int, int], ...]:
-    """Segments for n fingerprints, such that a pair at the similarity is missed in all of them with probability ``missed``.
-
-    A segment has about log2(n) bits, so that as many fingerprints as there are
-    put a bounded number of strangers on a key, at every size.
-    """
-    width, p = min(32, max(12, math.ceil(math.log2(max(n, 2))))), differing(similarity)
+def wide_segments(similarity: float, missed: float, width: int = 18) -> tuple[tuple[int, int, int], ...]:
+    """Segments of so many bits, such that a pair at the similarity is missed in all of them with probability ``missed``."""
+    p = differing(similarity)
     hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
     number = max(1, math.ceil(math.log(missed) / math.log1p(-hit))) if hit < 1 else 1
     a_word = 64 // width
@@ -367,7 +366,7 @@ def _reach(probability: float, n: int, z: float) -> int:
     return math.ceil(n * probability + z * math.sqrt(n * probability * (1 - probability)))
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, block: int = 4096) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.01, width: int = 18, block: int = 4096) -> DataFrame:
     """(doc_id, component_id) of every row; component_id is the least id reachable by links of Jaccard similarity >= similarity.
 
     The similarity is that of the sets of shingles (``words`` lower-case words
@@ -377,6 +376,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs well below it do not. A pair right at the similarity is not found
     with probability ``missed``, and 0.6 % for the check of the first word; the
     chance falls fast above it, and a group holds together by any of its links.
+    Rows grow in proportion to the documents. Strangers that share a key grow
+    with their square, about n / 700 for each of n documents; each costs a
+    comparison of one word. A larger ``width`` has fewer of them, and more segments.
 
     Null and blank texts have the empty set and are copies of each other.
     Repeated ids and texts keep their rows. A row without an id belongs to the
@@ -384,7 +386,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table gives no rows. Other columns of docs are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    segments, p = wide_segments(rows.count(), similarity, missed), differing(similarity)
+    segments, p = wide_segments(similarity, missed, width), differing(similarity)
     n_words = max(WIDE // 64, segments[-1][0] + 1)
     marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, key long, size long, fp long, words binary"))
     sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))

@@ -60,7 +60,7 @@ def test_groups_lie_between_those_of_a_higher_and_a_lower_similarity(spark, bloc
     """Every pair clearly above the limit is together, and no document clearly below it to all others."""
     rows = family(3)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["component_id"] for r in similar_groups(docs, missed=1e-6, block=block).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in similar_groups(docs, missed=1e-6, block=block, width=12).collect()}
     high, low = brute_groups(rows, 0.86), brute_groups(rows, 0.72)
     assert all(got[doc] == got[least] for doc, least in high.items())
     assert all(low[doc] == low[least] for doc, least in got.items())
@@ -86,8 +86,8 @@ def test_rows_without_id_and_empty_tables(spark):
 def test_segments_find_pairs_at_the_similarity():
     """The share of pairs at 0.8 that no segment finds, of simulated fingerprints, is the one asked for."""
     rng = __import__("numpy").random.default_rng(5)
-    for n in (1000, 1 << 20):
-        segments = wide_segments(n, 0.8, 0.01)
+    for bits in (12, 18, 24):
+        segments = wide_segments(0.8, 0.01, bits)
         found = sum((rng.random((4000, width)) < differing(0.8)).sum(1) <= 1 for _, _, width in segments)
         assert 0.003 < (found == 0).mean() < 0.02
         assert all(low + width <= 64 for _, low, width in segments)
