@@ -52,7 +52,8 @@ def docs(spark):
 
 def test_near_copies(spark):
     out = corpus_pipeline.drop_near_copies(spark, docs(spark).withColumn("gone", F.lit(1)), "")
-    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4, 5, 6]
+    # 3 and 4 share 8 of 10 shingles, which is 0.8, so 4 goes; a stage at four bits of 64 once kept it.
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 5, 6]
     assert out.columns[-1] == "gone"
 
 
