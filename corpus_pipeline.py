@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from prosemill.llm.packing import pack_documents
 from prosemill.llm.queries import tokenizer_file
-from prosemill.llm.runtime import checkpoint_root, table
+from prosemill.llm.runtime import checkpoint_root, cut, table
 from prosemill.llm.secrets import blob_findings, redact, scan_versions
-from prosemill.llm.simhash import similar_groups
+from prosemill.llm.simhash import few_by_broadcast, similar_groups
 from prosemill.llm.suffixes import remove_repeats
 from prosemill.llm.toxicity import fit_ngrams, ngram_score
 
@@ -52,8 +52,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     columns are kept.
     """
     groups = similar_groups(docs)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*_columns(docs))
+    gone = cut(groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(few_by_broadcast(gone), docs["doc_id"] == gone["gone"], "left_anti").select(*_columns(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

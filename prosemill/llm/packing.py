@@ -24,9 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prosemill.llm.runtime import release
+
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
-_ROWS = 4096
+#: Pieces of a batch that is passed on, and texts that are Python objects at a time.
+_ROWS, _TEXTS = 512, 128
 
 
 @lru_cache(maxsize=2)
@@ -102,7 +105,7 @@ class _Bins:
         take = size if size <= room else min(room, size - self.least)
         if take < min(self.least, size):
             return piece
-        self.short.append((doc, start, ids[:take], total))
+        self.short.append((doc, start, ids[:take].copy(), total))
         if self._room() < self.least:
             self._close(self.short)
             self.short = []
@@ -121,7 +124,7 @@ class _Bins:
             return
         k = self.capacity // len(ids)
         pieces = self.open.setdefault(k, [])
-        pieces.append((doc, start, ids, total))
+        pieces.append((doc, start, ids.copy(), total))  # a view would hold the ids of the whole document while the bin is open
         if len(pieces) == k:
             self._full(self.open.pop(k))
 
@@ -157,6 +160,22 @@ class _Bins:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "ids" else pa.int64()) for n, c in zip(NAMES, columns, strict=True)], NAMES)
 
 
+def _packed(batches: Iterator[pa.RecordBatch], encode: Callable[[str], np.ndarray], end_id: int, bins: _Bins) -> Iterator[pa.RecordBatch]:
+    """The pieces of one task's batches (id, text), in batches. Besides the batch it holds few texts, few pieces and the open bins."""
+    end = np.array([end_id], dtype="<u4")
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TEXTS):
+            part = batch.slice(at, _TEXTS)
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                ids = np.append(encode(text or ""), end)
+                bins.add((doc, 0, ids, len(ids)))
+                if len(bins.rows) >= _ROWS:
+                    yield bins.take()
+        release()
+    bins.finish()
+    yield bins.take()
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, least: int | None = 16, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents and the place of each in its sequence.
 
@@ -172,15 +191,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, l
         raise ValueError("the capacity is at least 1, and the least piece at most half of it")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = byte_bpe(tokenizer_path), np.array([end_id], dtype="<u4")
-        bins = _Bins(capacity, TaskContext.get().partitionId(), least)
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(encode(text or ""), end)
-                bins.add((doc, 0, ids, len(ids)))
-                if len(bins.rows) >= _ROWS:
-                    yield bins.take()
-        bins.finish()
-        yield bins.take()
+        yield from _packed(batches, byte_bpe(tokenizer_path), end_id, _Bins(capacity, TaskContext.get().partitionId(), least))
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)

@@ -46,7 +46,7 @@ _SHINGLES = 1 << 16
 _ROWS = 1024
 #: Bits of a wide fingerprint at least; words of a chunk of distances.
 WIDE, _CHUNK = 2048, 1 << 22
-#: So many hot buckets are broadcast, a few MB.
+#: So many hot buckets or ids are broadcast, a few MB.
 _FEW = 100_000
 
 
@@ -175,11 +175,15 @@ def _segment_keys(fingerprint: str, segments: tuple[tuple[int, int, int], ...])
     return [F.array(*keys).alias("keys")]
 
 
+def few_by_broadcast(df: DataFrame) -> DataFrame:
+    """df, computed before, for a join by broadcast if it has few rows: that saves an exchange of the other side. More of them are joined like any table."""
+    return F.broadcast(df) if df.count() <= _FEW else df
+
+
 def _in_parts(rows: DataFrame, load: DataFrame, name: str, block: int) -> DataFrame:
     """rows (bucket, name, stored) with a part: each goes to all parts of its bucket, and is stored in one; load: rows stored by bucket."""
     hot = cut(load.filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts")))
-    # There are few hot buckets, mostly none: a join by broadcast saves an exchange of all rows. More of them are joined like any table.
-    dealt = rows.join(F.broadcast(hot) if hot.count() <= _FEW else hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = rows.join(few_by_broadcast(hot), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     at = F.pmod(F.xxhash64(name), F.col("parts")).cast("int")
     spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), at.alias("at"))
     return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))

@@ -1,11 +1,15 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from prosemill.llm import packing
 from prosemill.llm.packing import _Bins, byte_bpe, pack_documents
 from prosemill.llm.pieces import decode_pieces, encode_pieces, load
 from prosemill.llm.queries import tokenizer_file
@@ -78,6 +82,29 @@ def test_every_id_lies_in_one_piece_and_sequences_have_no_gaps(spark, least):
     assert pieces["length"].sum() == sum(len(encode(t or "")) + 1 for _, t in rows)
 
 
+def test_open_bins_hold_no_whole_documents():
+    bins = _Bins(1024, 0, None)
+    for doc in range(50):
+        n = 98 * 1024 + 100 + doc
+        bins.add((doc, 0, np.arange(n, dtype="<u4"), n))
+    bins.take()
+    held = [p[2] if p[2].base is None else p[2].base for pieces in bins.open.values() for p in pieces]
+    assert held and sum(x.nbytes for x in held) < 50 * 1024 * 4
+
+
+def test_a_task_holds_few_texts_at_a_time(spark, monkeypatch):
+    """What a task needs besides its batch does not grow with the batch."""
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(packing, "byte_bpe", lambda path: lambda text: np.full(1500, len(text), "<u4"))
+    task = pack_documents(SimpleNamespace(select=lambda *columns: SimpleNamespace(mapInArrow=lambda run, schema: run)), BPE)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8000), pa.int64()), pa.array(["x" * 3000] * 8000)], ["doc_id", "text"])
+    tracemalloc.start()
+    ids = sum(sum(out.column(2).to_pylist()) for out in task(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == 8000 * 1501 and peak < 12 << 20
+
+
 def test_the_quick_encoder_on_many_characters():
     """The faster encoder gives the library's ids on strings over all kinds of characters."""
     rng, slow = random.Random(3), Tokenizer.from_file(BPE)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from prosemill.llm import queries
+from prosemill.llm import queries, simhash
 from prosemill.llm.packing import byte_bpe
 from prosemill.llm.queries import tokenizer_file
 
@@ -57,6 +57,20 @@ def test_near_copies(spark):
     assert out.columns[-1] == "gone"
 
 
+def test_few_copies_leave_without_an_exchange_of_the_documents(spark, monkeypatch):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        few = corpus_pipeline.drop_near_copies(spark, docs(spark), "")
+        monkeypatch.setattr(simhash, "_FEW", 0)
+        many = corpus_pipeline.drop_near_copies(spark, docs(spark), "")
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (few, many)]
+        assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0] and "SortMergeJoin" in plans[1]
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_repeats(spark):
     out = {r["doc_id"]: r for r in corpus_pipeline.cut_repeats(spark, docs(spark), "").collect()}
     assert out[4]["text"] == "fourth " and out[4]["n_chars"] == 7 and out[4]["lang"] == "fr"
