@@ -487,7 +487,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                     yield from _sent(sender.flush())
         yield from _sent(sender.flush())
 
-    ranked = cut(_ranked(rows.select("key", "text_hash", "text").mapInArrow(first, "bucket int, blob binary"), buckets))
+    # The rows of round 1 are the most that is ever exchanged, and not needed beside those of round 2.
+    ranked = cut(_ranked(rows.select("key", "text_hash", "text").mapInArrow(first, "bucket int, blob binary"), buckets), clear=True)
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)

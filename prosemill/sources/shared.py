@@ -22,7 +22,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once and cut its lineage, in the shared checkpoint folder."""
+def _clear_exchanges(df: DataFrame) -> None:
+    """Remove the files of the exchanges that df, as it was computed, reads directly; they would stay until the driver collects its garbage."""
+    cleaner = df.sparkSession.sparkContext._jsc.sc().cleaner()
+    rdds, found = [df._jdf.queryExecution().toRdd()], set()
+    while rdds:
+        each = rdds.pop().dependencies()
+        for dependency in (each.apply(i) for i in range(each.size())):
+            if dependency.getClass().getSimpleName() == "ShuffleDependency":
+                found.add(dependency.shuffleId())
+            else:
+                rdds.append(dependency.rdd())
+    for number in found if cleaner.isDefined() else ():
+        cleaner.get().doCleanupShuffle(number, True)
+
+
+def cut(df: DataFrame, clear: bool = False) -> DataFrame:
+    """Compute df once and cut its lineage, in the shared checkpoint folder. With clear, what it was exchanged by is removed: for a df that nothing else reads."""
     checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    done = df.checkpoint()
+    if clear:
+        _clear_exchanges(df)
+    return done

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -95,6 +96,21 @@ def test_nulls_empties_and_repeated_ids(spark):
     assert got(table(spark, rows)) == brute(rows)
 
 
+def test_the_files_of_round_1_are_gone_before_round_2(spark):
+    """The rows of round 1 are large; what the second round and the result need is in checkpoints."""
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=3000))) for i in range(600)] + [(1000 + i, rng.choice("xyz") * 60) for i in range(20)]
+    docs, local = spark.createDataFrame(rows, "doc_id long, text string"), spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(f) for top in [str(d) for d in local.localDirs()] for f in Path(top).glob("*/shuffle_*.data")}
+
+    before = files()
+    out = remove_repeats(docs, 50)
+    assert sum(Path(f).stat().st_size for f in files() - before) < 200_000
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect()), key=str) == brute(rows)
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_SEGMENT", 300)
     monkeypatch.setattr(suffixes, "_FLUSH", 200)
