@@ -181,11 +181,14 @@ def few_by_broadcast(df: DataFrame) -> DataFrame:
 
 
 def _in_parts(rows: DataFrame, load: DataFrame, name: str, block: int) -> DataFrame:
-    """rows (bucket, name, stored) with a part: each goes to all parts of its bucket, and is stored in one; load: rows stored by bucket."""
+    """rows (bucket, name, stored) with a part: each row meets all that is stored in its bucket; load: rows stored by bucket.
+
+    Rows that are not stored go to all parts. A stored one goes to its own part and those before it: what is stored in later parts comes to it.
+    """
     hot = cut(load.filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts")))
     dealt = rows.join(few_by_broadcast(hot), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     at = F.pmod(F.xxhash64(name), F.col("parts")).cast("int")
-    spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("stored").alias("own"), at.alias("at"))
+    spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.when(F.col("stored"), at).otherwise(F.col("parts") - 1))).alias("part"), F.col("stored").alias("own"), at.alias("at"))
     return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
 
 

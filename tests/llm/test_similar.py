@@ -3,6 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from prosemill.llm import simhash
 from prosemill.llm.simhash import differing, shingle_set, similar_groups, wide_segments
 
 
@@ -97,3 +98,16 @@ def test_an_id_of_two_texts_joins_nothing(spark):
     rows = [(7, "one two three four five six"), (7, "quite other words stand here now"), (9, "quite other words stand here now")]
     got = [tuple(r) for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(got) == [(7, 7), (7, 7), (9, 7)]
+
+
+def test_rows_of_a_hot_bucket_meet_once(spark):
+    """Every pair of a bucket meets where one of it is stored, unless neither is; stored rows are not sent to all parts."""
+    rows = [(5, i, i % 4 > 0) for i in range(60)] + [(6, 100 + i, True) for i in range(5)]
+    table = spark.createDataFrame(rows, "bucket long, key long, stored boolean")
+    load = table.filter("stored").groupBy("bucket").count()
+    dealt = [tuple(r) for r in simhash._in_parts(table, load, "key", 10).collect()]
+    stored = {(b, key): part for b, part, key, own in dealt if own}
+    assert sorted(stored) == sorted((b, key) for b, key, own in rows if own)
+    seen = {(b, part, key) for b, part, key, _ in dealt}
+    assert all((5, stored[5, i], j) in seen or (5, j) in stored and (5, stored[5, j], i) in seen for i in range(60) if i % 4 for j in range(60))
+    assert len(dealt) == len(seen) < 0.8 * (60 * 5 + 5)
