@@ -1,19 +1,20 @@
 """SimHash near-duplicate detection by multi-index hashing.
 
-A fingerprint is cut into segments. Each fingerprint is stored in the table of
-every segment under its own key there, and looks up every key within a small
-Hamming ball (radius 1) of its own. A pair that differs in one bit of a segment
-is found from the side where the bit is 0, so only those flips are sent.
+A fingerprint is cut into segments, and stored in the table of every segment
+under its own key there.
 
 ``simhash_groups`` links fingerprints of 64 bits at distance 4 or less. They
-agree in one of three segments but for one bit at most, so no link is lost;
-every match is checked on all 64 bits.
+agree in one of three segments but for one bit at most, so a fingerprint also
+looks up every key within a Hamming ball of radius 1 of its own, and no link is
+lost; every match is checked on all 64 bits. A pair that differs in one bit of a
+segment is found from the side where the bit is 0, so only those flips are sent.
 
 ``similar_groups`` links texts whose sets of shingles have a Jaccard similarity
 of 0.8, say, or more. At 0.8 a bit of a SimHash differs with probability 0.15,
-so 64 bits are too few to tell: it takes fingerprints of 2,048 bits, probes as
-many segments of them as find such a pair with the probability asked for, and
-links matches by their complete distance.
+so 64 bits are too few to tell: it takes fingerprints of 2,048 bits, stores them
+by as many segments as find such a pair under one key with the probability asked
+for, and links matches by their complete distance. A ball of 19 keys would find
+4 times as many pairs a segment, for 19 times the keys.
 
 Equal fingerprints are merged first. A bucket of more than ``block`` distinct
 fingerprints is dealt over several tasks, each holding a block of it against
@@ -88,13 +89,14 @@ def fingerprint(text: Column, words: int = 4, seed: int = 42) -> Column:
 # --- probes and matches ---------------------------------------------------------------
 
 
-def _matches(bits: int, take: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]):
-    """Sorted rows (bucket, part, stored first) to what take(bucket, left, right) makes of the matches at distance <= bits."""
+def _matches(bits: int, take: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame], name: str = "fp"):
+    """Sorted rows (bucket, part, stored first) to what take(bucket, left, right) makes of the matches at distance <= bits, by different values of the column name."""
 
     def against(stored: pd.DataFrame, probes: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Every probe against all stored fingerprints of its bucket and part."""
         s_key = stored["key"].to_numpy()
         s_fp, p_fp, p_bucket = stored["fp"].to_numpy(), probes["fp"].to_numpy(), probes["bucket"].to_numpy()
+        s_name, p_name = stored["name"].to_numpy(), probes["name"].to_numpy()
         first = np.searchsorted(s_key, probes["key"].to_numpy(), "left")
         count = np.searchsorted(s_key, probes["key"].to_numpy(), "right") - first
         done = 0
@@ -102,16 +104,17 @@ def _matches(bits: int, take: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.
             total = np.cumsum(count[done:])
             n_rows = max(1, int(np.searchsorted(total, _PAIRS, "right")))
             own, n = first[done : done + n_rows], count[done : done + n_rows]
-            left = np.repeat(p_fp[done : done + n_rows], n)
+            row = np.repeat(np.arange(done, done + len(n)), n)
             spot = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(own, n)
-            right = s_fp[spot]
-            near = (np.bitwise_count((left ^ right).view(np.uint64)) <= bits) & (left != right)
+            near = np.bitwise_count((p_fp[row] ^ s_fp[spot]).view(np.uint64)) <= bits
+            row, spot = row[near], spot[near]
+            near = p_name[row] != s_name[spot]
             if near.any():
-                yield take(np.repeat(p_bucket[done : done + n_rows], n)[near], left[near], right[near])
+                yield take(p_bucket[row[near]], p_name[row[near]], s_name[spot[near]])
             done += n_rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, at = pd.DataFrame({"key": np.array([], np.int64), "fp": np.array([], np.int64)}), None
+        held, at = pd.DataFrame({c: np.array([], np.int64) for c in ("key", "fp", "name")}), None
         for frame in batches:
             if frame.empty:
                 continue
@@ -120,9 +123,9 @@ def _matches(bits: int, take: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.
             change[1:] = (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])
             keys = np.cumsum(change)
             carried = held.assign(key=1) if at == (bucket[0], part[0]) else held.iloc[:0]
-            fresh = pd.DataFrame({"key": keys, "fp": frame["fp"].to_numpy(), "bucket": bucket})
+            fresh = pd.DataFrame({"key": keys, "fp": frame["fp"].to_numpy(), "name": frame[name].to_numpy(), "bucket": bucket})
             own = frame["stored"].to_numpy()
-            stored = pd.concat([carried, fresh[own][["key", "fp"]]])
+            stored = pd.concat([carried, fresh[own][["key", "fp", "name"]]])
             yield from against(stored, fresh)
             # The last group can go on in the next batch; its rows there meet what is stored of it here.
             held, at = stored[stored["key"] == keys[-1]], (bucket[-1], part[-1])
@@ -159,8 +162,8 @@ def _forest(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
 
 
 def _members(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    """The fingerprints that have a match, by bucket."""
-    return pd.DataFrame({"bucket": np.concatenate([bucket, bucket]), "fp": np.concatenate([a, b])}).drop_duplicates()
+    """What has a match, by bucket."""
+    return pd.DataFrame({"bucket": np.concatenate([bucket, bucket]), "key": np.concatenate([a, b])}).drop_duplicates()
 
 
 def _segment_keys(fingerprint: str, segments: tuple[tuple[int, int, int], ...]) -> list[Column]:
@@ -181,26 +184,30 @@ def few_by_broadcast(df: DataFrame) -> DataFrame:
 
 
 def _in_parts(rows: DataFrame, load: DataFrame, name: str, block: int) -> DataFrame:
-    """rows (bucket, name, stored) with a part: each row meets all that is stored in its bucket; load: rows stored by bucket.
+    """rows (bucket, name, stored and others) with a part: each row meets all that is stored in its bucket; load: rows stored by bucket.
 
     Rows that are not stored go to all parts. A stored one goes to its own part and those before it: what is stored in later parts comes to it.
     """
     hot = cut(load.filter(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts")))
     dealt = rows.join(few_by_broadcast(hot), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     at = F.pmod(F.xxhash64(name), F.col("parts")).cast("int")
-    spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.when(F.col("stored"), at).otherwise(F.col("parts") - 1))).alias("part"), F.col("stored").alias("own"), at.alias("at"))
-    return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"))
+    others = [c for c in rows.columns if c not in ("bucket", name, "stored")]
+    spread = dealt.select("bucket", name, F.explode(F.sequence(F.lit(0), F.when(F.col("stored"), at).otherwise(F.col("parts") - 1))).alias("part"), F.col("stored").alias("own"), at.alias("at"), *others)
+    return spread.select("bucket", "part", name, (F.col("own") & (F.col("at") == F.col("part"))).alias("stored"), *others)
 
 
-def _dealt(fps: DataFrame, block: int) -> DataFrame:
-    """Rows (bucket, part, fp, stored) sorted in their tasks: every fingerprint stored under its keys and sought under their flips of a 0.
+def _dealt(fps: DataFrame, block: int, name: str = "fp", radius: int = 1) -> DataFrame:
+    """Rows (bucket, part, name, stored, fp) sorted in their tasks: every row stored under its keys and, for a radius of 1, sought under their flips of a 0.
 
-    fps: fp (the first word of a wide one) and keys. A bucket's number says its segment.
+    fps: name, fp (the first word of a wide one) and keys. A bucket's number says its segment.
     """
-    own = fps.select("fp", F.explode("keys").alias("k")).select("fp", "k.own", "k.width")
+    columns = list(dict.fromkeys([name, "fp"]))
+    own = fps.select(*columns, F.explode("keys").alias("k")).select(*columns, "k.own", "k.width")
     flips = "transform(filter(sequence(0, width - 1), b -> (own & shiftleft(1L, b)) = 0), b -> struct(own | shiftleft(1L, b) AS bucket, false AS stored))"
-    rows = own.select("fp", F.expr(f"explode(concat(array(struct(own AS bucket, true AS stored)), {flips}))").alias("p")).select("p.bucket", "fp", "p.stored")
-    dealt = _in_parts(rows, own.groupBy(F.col("own").alias("bucket")).count(), "fp", block)
+    rows = own.select(F.col("own").alias("bucket"), *columns, F.lit(True).alias("stored"))
+    if radius:
+        rows = own.select(*columns, F.expr(f"explode(concat(array(struct(own AS bucket, true AS stored)), {flips}))").alias("p")).select("p.bucket", *columns, "p.stored")
+    dealt = _in_parts(rows, own.groupBy(F.col("own").alias("bucket")).count(), name, block)
     return dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
 
 
@@ -248,10 +255,10 @@ def differing(similarity: float) -> float:
     return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
 
 
-def wide_segments(similarity: float, missed: float, width: int = 18) -> tuple[tuple[int, int, int], ...]:
-    """Segments of so many bits, such that a pair at the similarity is missed in all of them with probability ``missed``."""
+def wide_segments(similarity: float, missed: float, width: int = 18, radius: int = 1) -> tuple[tuple[int, int, int], ...]:
+    """Segments of so many bits, such that a pair at the similarity differs in more than ``radius`` bits of each with probability ``missed``."""
     p = differing(similarity)
-    hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    hit = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(radius + 1))
     number = max(1, math.ceil(math.log(missed) / math.log1p(-hit))) if hit < 1 else 1
     a_word = 64 // width
     return tuple((s // a_word, s % a_word * width, width) for s in range(number))
@@ -383,9 +390,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs well below it do not. A pair right at the similarity is not found
     with probability ``missed``, and 0.6 % for the check of the first word; the
     chance falls fast above it, and a group holds together by any of its links.
-    Rows grow in proportion to the documents. Strangers that share a key grow
-    with their square, about n / 700 for each of n documents; each costs a
-    comparison of one word. A larger ``width`` has fewer of them, and more segments.
+    A text has a row for each segment (87) at most, however many are like it; in
+    a bucket of many blocks, one for each block up to its own. Strangers that
+    share a key grow with their square, about n / 3,000 for each of n documents;
+    each costs a comparison of one word. A larger ``width`` has fewer of them,
+    and more segments.
 
     Null and blank texts have the empty set and are copies of each other.
     Repeated ids and texts keep their rows. A row without an id belongs to the
@@ -393,16 +402,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table gives no rows. Other columns of docs are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    segments, p = wide_segments(similarity, missed, width), differing(similarity)
+    segments, p = wide_segments(similarity, missed, width, 0), differing(similarity)
     n_words = max(WIDE // 64, segments[-1][0] + 1)
     marked = _stored(rows.mapInArrow(_sketch(words, n_words), "doc_id long, key long, size long, fp long, words binary"))
     sets = _stored(marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("size", "fp", "words")]))
     wide = sets.filter("size > 0")
-    found = _dealt(wide.select("fp", *_segment_keys("words", segments)), block).mapInPandas(_matches(_reach(p, 64, 2.5), _members), "bucket long, fp long")
-    # Different sets that share the first word meet in a bucket of their own.
-    alone = wide.groupBy("fp").count().filter("count > 1").select(F.bitwise_not(F.shiftrightunsigned("fp", 1)).alias("bucket"), "fp")
-    at = _stored(found.unionByName(alone).distinct())
-    held = at.join(wide.select("fp", "key"), "fp").select("bucket", "key")
+    found = _dealt(wide.select("key", "fp", *_segment_keys("words", segments)), block, "key", 0).mapInPandas(_matches(_reach(p, 64, 2.5), _members, "key"), "bucket long, key long")
+    held = _stored(found.distinct())
     dealt = _in_parts(held.withColumn("stored", F.lit(True)), held.groupBy("bucket").count(), "key", block)
     dealt = dealt.join(wide.select("key", "words"), "key").repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("stored"))
     links = dealt.select("bucket", "part", "key", "stored", "words").mapInPandas(_linked(_reach(p, 64 * n_words, 1.0)), "a long, b long")
@@ -411,5 +417,5 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = connected_components(cut(links.distinct()).join(of_a, "a").join(of_b, "b").select("own_a", "own_b"), "own_a", "own_b")
     grouped = own.join(linked, own["own"] == linked["node"], "left").select("key", _least_id(F.coalesce("component", "own")).alias("component_id"))
     result = _stored(marked.select("doc_id", "key").join(grouped, "key", "left").select("doc_id", "component_id"))
-    _deleted(marked, sets, at)
+    _deleted(marked, sets, held)
     return result

@@ -111,3 +111,18 @@ def test_rows_of_a_hot_bucket_meet_once(spark):
     seen = {(b, part, key) for b, part, key, _ in dealt}
     assert all((5, stored[5, i], j) in seen or (5, j) in stored and (5, stored[5, j], i) in seen for i in range(60) if i % 4 for j in range(60))
     assert len(dealt) == len(seen) < 0.8 * (60 * 5 + 5)
+
+
+def test_rows_of_a_large_group_are_bounded_by_its_segments(spark, monkeypatch):
+    """However many texts are like it, a text has one row a segment at most where complete distances are compared."""
+    rng, base, counts, in_parts = random.Random(6), [f"g{i}" for i in range(300)], [], simhash._in_parts
+
+    def counted(rows, load, name, block):
+        counts.append(rows.count())
+        return in_parts(rows, load, name, block)
+
+    monkeypatch.setattr(simhash, "_in_parts", counted)
+    rows = [(i, " ".join(edited(rng, base, rng.randint(1, 3)))) for i in range(600)]
+    groups = similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component_id"] for r in groups.collect()} == {0}
+    assert 600 < counts[-1] <= 600 * 87
