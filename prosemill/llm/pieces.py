@@ -4,7 +4,8 @@ A text is cut before each run of word marks; no piece reaches over such a cut,
 so the best segmentation of a text is that of its units. Distinct units of one
 length advance together (long ones with others of about their length, each up
 to its own end): at each end position the hashes of all substrings that end
-there probe the sorted keys of the pieces, and the maximum over their starts is
+there probe the keys of the pieces (a table of their first bits, and of what is
+left the sorted keys), and the maximum over their starts is
 stored as a back pointer. Of equal scores the longer last piece wins.
 Characters without a piece cost ten less than the lowest score and become byte
 pieces (or the unknown id).
@@ -30,6 +31,8 @@ _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Units of a batch times their length; units up to this length only advance with equally long ones; end positions hashed at a time; units kept in memory.
 _CELLS, _EQUAL, _SPAN, _KEPT = 1 << 18, 64, 1 << 12, 1 << 18
+#: All but so many bits of a hash are looked up first.
+_FIRST = np.uint64(44)
 
 
 class Pieces:
@@ -57,7 +60,10 @@ class Pieces:
             raise ValueError("two pieces have one hash")
         self.ids = np.array(list(self.id_of.values()), np.int64)[order]
         self.scores = np.array(list(self.score_of.values()))[order]
+        self.first = np.zeros(1 << 64 - int(_FIRST), bool)
+        self.first[self.keys >> _FIRST] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -77,35 +83,69 @@ class Pieces:
         """Search units together, from the first character on; the shorter ones are padded and end before."""
         n, sizes = len(units), [len(u) for u in units]
         length = max(sizes)
-        codes = np.zeros((n, length), np.uint64)
-        for r, unit in enumerate(units):
-            codes[r, : sizes[r]] = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4")
+        equal = min(sizes) == length <= _EQUAL
+        if equal:
+            codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, length).T.astype(np.uint64, order="C")
+        else:
+            codes = np.zeros((length, n), np.uint64)
+            for r, unit in enumerate(units):
+                codes[: sizes[r], r] = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4")
         widest = min(self.widest, length)
-        best, from_, piece = np.full((n, length + 1), -np.inf), np.zeros((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
-        best[:, 0] = 0
+        best, from_, piece = np.full((length + 1, n), -np.inf), np.zeros((length + 1, n), np.int32), np.full((length + 1, n), -1, np.int32)
+        best[0] = 0
         row = np.arange(n)
         for low in range(0, length, _SPAN):
-            # rolling[w, :, i]: the hash of the w + 1 characters from first + i on
+            # rolling[w, i]: the hashes of the w + 1 characters from first + i on
             first, high = max(0, low - widest + 1), min(length, low + _SPAN)
-            part = codes[:, first:high]
+            part = codes[first:high]
             rolling = np.zeros((widest, *part.shape), np.uint64)
-            for w in range(min(widest, part.shape[1])):
-                before = rolling[w - 1, :, : part.shape[1] - w] if w else np.zeros(part.shape, np.uint64)
-                h = (before ^ part[:, w:]) * _BASE
-                rolling[w, :, : part.shape[1] - w] = h ^ (h >> np.uint64(29))
+            for w in range(min(widest, len(part))):
+                before = rolling[w - 1, : len(part) - w] if w else np.uint64(0)
+                h = (before ^ part[w:]) * _BASE
+                rolling[w, : len(part) - w] = h ^ (h >> np.uint64(29))
             for end in range(low + 1, high + 1):
                 widths = np.arange(min(widest, end), 0, -1)
-                probe = rolling[widths - 1, :, end - widths - first]
-                at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-                hit = self.keys[at] == probe
-                value = np.where(hit, self.scores[at], -np.inf)
-                value[-1] = np.where(hit[-1], value[-1], self.missing)
-                total = value + best[:, end - widths].T
-                pick = np.argmax(total, axis=0)
-                best[:, end], from_[:, end] = total[pick, row], end - widths[pick]
-                piece[:, end] = np.where(hit[pick, row], self.ids[at[pick, row]], -1)
+                probe = rolling[widths - 1, end - widths - first]
+                value, found = self._scores(probe)
+                value[-1][found[-1] < 0] = self.missing
+                value += best[end - len(widths) : end]
+                pick = np.argmax(value, axis=0)
+                best[end], from_[end], piece[end] = value[pick, row], end - widths[pick], found[pick, row]
+        if equal:
+            self._walk_all(units, from_, piece)
+            return
         for r, unit in enumerate(units):
-            self.known[unit] = self._walk(unit, from_[r], piece[r])
+            self.known[unit] = self._walk(unit, from_[:, r], piece[:, r])
+
+    def _scores(self, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of the piece with each hash; without one -inf and -1."""
+        value, found = np.full(probe.size, -np.inf), np.full(probe.size, -1, np.int32)
+        flat = probe.ravel()
+        spot = np.flatnonzero(self.first[flat >> _FIRST])
+        at = np.minimum(np.searchsorted(self.keys, flat[spot]), len(self.keys) - 1)
+        hit = self.keys[at] == flat[spot]
+        value[spot[hit]], found[spot[hit]] = self.scores[at[hit]], self.ids[at[hit]]
+        return value.reshape(probe.shape), found.reshape(probe.shape)
+
+    def _walk_all(self, units: list[str], back: np.ndarray, found: np.ndarray) -> None:
+        """Ids of units of one length, all walked back together; those with a character without a piece one by one."""
+        rows, end, steps = np.arange(len(units)), np.full(len(units), len(back) - 1), []
+        spelt = np.zeros(len(units), bool)
+        while len(rows):
+            ids = found[end, rows]
+            spelt[rows[ids < 0]] = True
+            steps.append((rows, ids))
+            end = back[end, rows]
+            rows, end = rows[end > 0], end[end > 0]
+        count = np.bincount(np.concatenate([r for r, _ in steps]), minlength=len(units))
+        stop = np.cumsum(count)
+        flat = np.zeros(stop[-1], "<u4")
+        for step, (r, ids) in enumerate(steps):
+            flat[stop[r] - 1 - step] = ids.astype("<u4")
+        joined, ends = flat.tobytes(), (4 * stop).tolist()
+        self.known.update(zip(units, map(joined.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        for r in np.flatnonzero(spelt).tolist():
+            self.known[units[r]] = self._walk(units[r], back[:, r], found[:, r])
 
     def _walk(self, unit: str, back: np.ndarray, found: np.ndarray) -> bytes:
         from_, piece = back[: len(unit) + 1].tolist(), found[: len(unit) + 1].tolist()
@@ -120,10 +160,14 @@ class Pieces:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         units = [_UNIT.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > _KEPT:
-            self.known.clear()
+        if len(self.known) > _KEPT // 2:
+            # Units that come again move over from the older half; the others go with it.
+            self.known, self.older = {}, self.known
         by_length: dict[int, list[str]] = {}
-        for unit in {u for us in units for u in us} - self.known.keys():
+        fresh = {u for us in units for u in us} - self.known.keys()
+        again = fresh & self.older.keys()
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        for unit in fresh - again:
             length = len(unit)
             by_length.setdefault(length if length <= _EQUAL else -(-length // (1 << length.bit_length() - 3)) << length.bit_length() - 3, []).append(unit)
         for length, group in by_length.items():

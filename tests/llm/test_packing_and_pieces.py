@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from prosemill.llm import packing
 from prosemill.llm.packing import _Bins, byte_bpe, pack_documents
-from prosemill.llm.pieces import decode_pieces, encode_pieces, load
+from prosemill.llm.pieces import Pieces, decode_pieces, encode_pieces, load
 from prosemill.llm.queries import tokenizer_file
 
 BPE, PIECES = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
@@ -157,6 +157,21 @@ def test_long_units_are_found_alike_alone_and_together():
         assert pieces.encode([unit]) == [ids]
 
 
+def test_units_that_come_again_are_searched_once(monkeypatch):
+    """Units in use outlive the memory of others, which stays bounded, and ids are those of a search anew."""
+    monkeypatch.setattr("prosemill.llm.pieces._KEPT", 100)
+    searched, rng, pieces = [], random.Random(5), Pieces(PIECES)
+    batch = pieces._batch
+    monkeypatch.setattr(pieces, "_batch", lambda units: (searched.extend(units), batch(units)))
+    for k in range(20):
+        text = "the " + " ".join(f"{rng.choice(['word', 'ing', '漢'])}{k}x{i}" for i in range(40))
+        got = pieces.encode([text, "the end"])
+        alone = load(PIECES)
+        alone.known.clear()
+        assert got == [alone.encode([text])[0], alone.encode(["the end"])[0]] and len(pieces.known) <= 100
+    assert searched.count("▁the") == searched.count("▁end") == 1
+
+
 def test_no_segmentation_of_the_library_scores_higher():
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     model = proto.ModelProto()
