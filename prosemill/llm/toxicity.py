@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from prosemill.llm.labels import balanced_sample, known_labels
+from prosemill.llm.runtime import release
 
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -126,6 +127,22 @@ def _minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndar
     return x
 
 
+def _chosen(texts: Sequence[str | None], y: np.ndarray, orders: tuple[int, ...], bits: int, keep: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted features of the greatest weights that ``least`` texts have, and their log ratios."""
+    counts = np.zeros((2, 1 << bits), np.int32)
+    for keys in _pairs(texts, orders, bits):
+        for c in (0, 1):
+            counts[c] += np.bincount((keys & ((1 << bits) - 1))[y[keys >> bits] == c], minlength=1 << bits)
+    spot = np.flatnonzero(counts.sum(0) >= least)
+    counts = counts[:, spot]
+    rates = (counts + 1) / (np.array([[len(y) - y.sum()], [y.sum()]]) + 2)
+    ratio = np.log(rates[1] / rates[0])
+    weight = np.abs(ratio) * np.sqrt(counts.sum(0))
+    best = np.sort(np.argsort(-weight, kind="stable")[:keep])
+    best = best[weight[best] > 0]
+    return spot[best], ratio[best]
+
+
 def train_ngrams(texts: Sequence[str | None], labels: Sequence[int], rate: float, orders: tuple[int, ...] = (3, 4, 5, 6), bits: int = 20, keep: int = 30_000, least: int = 3, penalty: float = 1.0) -> NgramModel:
     """Fit on texts in memory. rate: share of label 1 among all labelled rows, for the intercept.
 
@@ -136,34 +153,25 @@ def train_ngrams(texts: Sequence[str | None], labels: Sequence[int], rate: float
     prior = float(np.log(rate / (1 - rate)))
     if not 0 < y.sum() < len(y):
         return NgramModel(np.array([], np.int64), np.array([], np.float32), prior, orders, bits)
-    mask = (1 << bits) - 1
-    counts = np.zeros((2, 1 << bits))
-    for keys in _pairs(texts, orders, bits):
-        for c in (0, 1):
-            counts[c] += np.bincount((keys & mask)[y[keys >> bits] == c], minlength=1 << bits)
-    seen = counts.sum(0)
-    rates = (counts + 1) / (np.array([[len(y) - y.sum()], [y.sum()]]) + 2)
-    ratio = np.log(rates[1] / rates[0])
-    weight = np.where(seen >= least, np.abs(ratio) * np.sqrt(seen), 0)
-    chosen = np.sort(np.argsort(-weight, kind="stable")[:keep])
-    chosen = chosen[weight[chosen] > 0]
-    live, place = np.zeros(1 << bits, bool), np.zeros(1 << bits, np.int64)
+    chosen, ratio = _chosen(texts, y, orders, bits, keep, least)
+    live, place, mask = np.zeros(1 << bits, bool), np.zeros(1 << bits, np.int32), (1 << bits) - 1
     live[chosen], place[chosen] = True, np.arange(len(chosen))
-    keys = np.concatenate([*_pairs(texts, orders, bits, live)])
-    row, column = keys >> bits, place[keys & mask]
-    value = ratio[chosen][column]
+    blocks = [((keys >> bits).astype(np.int32), place[keys & mask]) for keys in _pairs(texts, orders, bits, live)]
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
-        margin = np.bincount(row, value * x[column], len(y)) + x[-1]
+        scaled, margin, slope = ratio * x[:-1], np.full(len(y), x[-1]), np.zeros(len(chosen))
+        for row, column in blocks:
+            margin += np.bincount(row, scaled[column], len(y))
         p = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
-        slope = np.bincount(column, value * (p - y)[row], len(chosen)) + penalty * x[:-1]
+        for row, column in blocks:
+            slope += np.bincount(column, (p - y)[row], len(chosen))
         cost = np.logaddexp(0, margin).sum() - y @ margin + penalty * (x[:-1] @ x[:-1]) / 2
-        return float(cost), np.append(slope, (p - y).sum())
+        return float(cost), np.append(ratio * slope + penalty * x[:-1], (p - y).sum())
 
     x = _minimise(loss, np.zeros(len(chosen) + 1))
     share = y.mean()
     bias = float(x[-1] + prior - np.log(share / (1 - share)))
-    return NgramModel(chosen, (x[:-1] * ratio[chosen]).astype(np.float32), bias, orders, bits)
+    return NgramModel(chosen, (x[:-1] * ratio).astype(np.float32), bias, orders, bits)
 
 
 def fit_ngrams(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None, sample: int = 1_500, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", **options) -> NgramModel:
@@ -171,12 +179,16 @@ def fit_ngrams(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable:
 
     usable: condition on column doc_id for rows to learn from. Of several
     labels of an id the largest holds; null labels and ids are left out. No
-    labelled rows give the constant score of rate 0.5.
+    labelled rows give the constant score of rate 0.5. The driver gives the
+    memory of the fit back.
     """
     some, rate = balanced_sample(known_labels(labels, label, usable, id_col), sample)
     texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
     rows = texts.join(F.broadcast(some), F.col("doc") == F.col("sample_id")).groupBy("sample_id", "y").agg(F.min("text").alias("text")).toPandas().sort_values("sample_id")
-    return train_ngrams(rows["text"].tolist(), rows["y"].tolist(), rate, **options)
+    model = train_ngrams(rows["text"].tolist(), rows["y"].tolist(), rate, **options)
+    del rows
+    release()
+    return model
 
 
 def ngram_score(model: NgramModel, text: Column) -> Column:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -56,6 +57,16 @@ def test_odd_rows_are_scored(spark):
     assert score_toxicity(docs, labels.limit(0)).select("score").distinct().first()["score"] == pytest.approx(0.5)
 
 
+def test_the_fit_takes_little_memory_of_the_driver():
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(97, 105, 2_000))) for _ in range(600)]
+    tracemalloc.start()
+    train_ngrams(texts, [i % 2 for i in range(600)], 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90e6
+
+
 def test_one_class_gives_the_rate():
     assert train_ngrams(["a", "b"], [0, 0], 0.25).bias == pytest.approx(np.log(1 / 3))
     assert train_rules(np.zeros((2, len(STATS))), [1, 1], 0.75).bias == pytest.approx(np.log(3))
