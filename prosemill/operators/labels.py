@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.functions.labels import parse_reply
-from prosemill.functions.text import normalise
+from prosemill.functions.text import materialised, normalise
 from prosemill.functions.vocab import ENERGIES, TAGS, WORLDS
 from prosemill.sources.shared import cut
 
@@ -75,7 +75,7 @@ def outcomes(corpus: DataFrame, replies: DataFrame, most: int = 8_000) -> DataFr
     """(k, world, energy, tags, raw, ok) of every row: its parsed reply (k, raw), or what stands for a blank story or a lost reply."""
     story = classifier_input(F.col("prose"), F.col("text"), most)
     joined = corpus.select("k", (normalise(story) == "").alias("_blank")).join(replies.select("k", F.col("raw").alias("_raw")), "k", "left")
-    parsed = joined.select("*", parse_reply(F.coalesce("_raw", F.lit(""))).alias("_p"))
+    parsed = materialised(joined, "_p", r=parse_reply(F.coalesce("_raw", F.lit("")))).select("k", "_blank", "_raw", F.col("_p.r").alias("_p"))
     none = F.array().cast("array<string>")
     world = F.when(F.col("_blank"), "?").when(F.col("_raw").isNull(), "<err no reply>").otherwise(F.col("_p.world"))
     asked = ~F.col("_blank")
