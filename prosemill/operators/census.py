@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re._parser as re_parser
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -18,18 +19,38 @@ from prosemill.functions.vocab import CLICHE, UNCANNY
 FAMILIES = {"cliche": CLICHE, "uncanny": UNCANNY}
 
 
-def phrase_count(text: Column, family: str) -> Column:
-    """Non-overlapping matches of all phrases of a family. Texts without any are left after one search."""
-    any_of = text.rlike(java("|".join(FAMILIES[family]), "iu"))
-    total = reduce(add, [F.regexp_count(text, F.lit(java(p, "iu"))) for p in FAMILIES[family]])
-    return F.when(any_of, total).otherwise(0).cast("long")
+#: Letters beyond ASCII that match s, i and k where case does not count, and that lower() leaves or takes apart.
+FOLDED = "[\u017f\u0130\u0131\u212a]"
+
+
+def landmark(phrase: str) -> str:
+    """The longest text, in lower case, that every match of a phrase holds."""
+    runs, run = [""], ""
+    for kind, value in re_parser.parse(phrase):
+        run = run + chr(value) if kind is re_parser.LITERAL else ""
+        runs.append(run)
+    return max(runs, key=len).lower()
+
+
+def phrase_count(text: Column, family: str, lower: Column | None = None, folded: Column | None = None) -> Column:
+    """Non-overlapping matches of all phrases of a family. A phrase is searched only where its landmark is found.
+
+    lower: the text in lower case; folded: whether it holds FOLDED letters. Both are made of text if they are not given.
+    """
+    low = F.lower(text) if lower is None else lower
+    odd = text.rlike(FOLDED) if folded is None else folded
+    counts = [F.when(odd | F.contains(low, F.lit(landmark(p))), F.regexp_count(text, F.lit(java(p, "iu")))).otherwise(0) for p in FAMILIES[family]]
+    return reduce(add, counts).cast("long")
 
 
 def phrase_census(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame:
     """Documents, words and phrase rates per 1,000 words of each corpus, quoted speech left out of the phrases."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    bare = T.without_quotes(text)
-    rows = docs.select(F.col(by), F.greatest(F.size(T.tokens(text)).cast("long"), F.lit(1).cast("long")).alias("w"), *[phrase_count(bare, f).alias(f) for f in FAMILIES])
+    cut = T.materialised(docs.select(by, text.alias("_text")), "_b", bare=T.without_quotes(F.col("_text")))
+    ready = T.materialised(cut, "_l", low=F.lower("_b.bare"), odd=F.col("_b.bare").rlike(FOLDED))
+    counts = [phrase_count(F.col("_b.bare"), f, F.col("_l.low"), F.col("_l.odd")).alias(f) for f in FAMILIES]
+    words = F.greatest(F.size(T.tokens(F.col("_text"))).cast("long"), F.lit(1).cast("long"))
+    rows = T.materialised(ready, "_c", w=words, **dict(zip(FAMILIES, counts, strict=True))).select(by, "_c.*")
     rates = [F.bround(1000 * F.sum(f) / F.sum("w"), 2).alias(f"{f}_per_1kw") for f in FAMILIES]
     return rows.groupBy(by).agg(F.count("*").alias("docs"), F.sum("w").alias("words_total"), F.bround(F.avg("w"), 0).cast("long").alias("words_mean"), T.upper_median("w").cast("long").alias("words_median"), *rates, F.count_if(reduce(add, map(F.col, FAMILIES)) == 0).alias("docs_with_zero"))
 

@@ -205,3 +205,10 @@ def test_subwords_by_a_real_tokenizer(spark):
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, text string")
     got = {r["k"]: r["n"] for r in subword_counts(rows, tokenizer_counter(path)).collect()}
     assert got == {str(i): len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_phrases_are_found_by_their_landmarks(spark):
+    assert [census.landmark(p) for p in (r"\bshivers? ran down\b", r"\bprickl(e|ed|ing)\b", r"\btime (stood|ran) still\b")] == [" ran down", "prickl", " still"]
+    rows = spark.createDataFrame([("Something stirred.",), ("\u017fomething \u017ftirred, SHIVERS RAN DOWN",), ("The a\u0131r hummed",), ("prick l",)], "t string")
+    counts = rows.select((census.phrase_count(F.col("t"), "uncanny") + census.phrase_count(F.col("t"), "cliche")).alias("n")).collect()
+    assert [r["n"] for r in counts] == [1, 2, 1, 0]
