@@ -8,7 +8,9 @@ from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,15 +74,80 @@ def _own_grams(docs: DataFrame, n: int, text_col: str, *keep: str) -> DataFrame:
     return rows.select(*keep, F.explode(F.array_distinct(T.ngrams(F.col("_w.words"), n))).alias("g"))
 
 
-def repeated_ngrams(docs: DataFrame, n: int = 8, text_col: str = "text") -> DataFrame:
+#: Parts that the hashes of n-grams are dealt over, by their last bits.
+PARTS = 4096
+
+
+def _spread_bits(x: np.ndarray, factor: int) -> np.ndarray:
+    x = x * np.uint64(factor)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _hashed_grams(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of hash, as two numbers, of each n words in a row."""
+    count = len(words) - n + 1
+    first, second = np.zeros(count, np.uint64), np.zeros(count, np.uint64)
+    for i in range(n):
+        word = words[i : i + count]
+        first, second = _spread_bits(first ^ word, 0xBF58476D1CE4E5B9), _spread_bits(second + word, 0x94D049BB133111EB)
+    return first, second
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray]], total: int) -> pa.RecordBatch:
+    """(part, grams, total): the distinct grams held, 10 bytes each, in a row for each part; the first row has the total."""
+    first, second = (np.concatenate(side) for side in zip(*held, strict=True))
+    part = second % np.uint64(PARTS)
+    order = np.lexsort((second, first, part))
+    first, second, part = first[order], second[order], part[order]
+    new = np.ones(len(first), bool)
+    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    first, second, part = first[new], second[new], part[new]
+    grams = np.empty(len(first), [("a", "<u8"), ("b", "<u2")])
+    grams["a"], grams["b"] = first, second >> np.uint64(48)
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    blobs = [grams[i:j].tobytes() for i, j in zip(starts, [*starts[1:], len(grams)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array(blobs, pa.binary()), pa.array([total] + [0] * (len(starts) - 1), pa.int64())], ["part", "grams", "total"])
+
+
+def repeated_ngrams(docs: DataFrame, n: int = 8, text_col: str = "text", most: int = 1_000_000) -> DataFrame:
     """n-grams by document, distinct ones, and the repeated percentage; each document counts an n-gram once.
 
-    Across documents n-grams are counted by 128 bits of hash, not as texts.
+    Across documents n-grams are compared by 92 bits of hash, not as texts: 12
+    say the part, and the others are exchanged as bytes, packed for each part
+    and freed of repeats in so many (most) n-grams of a task at a time.
     """
-    rows = T.materialised(docs, "_w", words=T.tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    marks = F.transform(F.array_distinct(T.ngrams(F.col("_w.words"), n)), lambda g: F.struct(F.xxhash64(g).alias("a"), F.xxhash64(F.lit(1), g).alias("b")))
-    grams = rows.select(F.explode(marks).alias("g")).select("g.a", "g.b")
-    counted = grams.groupBy("a", "b").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n_distinct"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, total = [], 0, 0
+        for batch in batches:
+            lists = batch.column(0)
+            flat, ends = lists.flatten().to_numpy().view(np.uint64), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+            for i, j in zip(ends[:-1], ends[1:], strict=True):
+                if j - i < n:
+                    continue
+                first, second = _hashed_grams(flat[i:j], n)
+                _, own = np.unique(first, return_index=True)
+                held.append((first[own], second[own]))
+                size, total = size + len(own), total + len(own)
+                if size >= most:
+                    yield _packed(held, total)
+                    held, size, total = [], 0, 0
+        if held:
+            yield _packed(held, total)
+
+    def count(table: pa.Table) -> pa.Table:
+        grams = np.frombuffer(b"".join(table["grams"].to_pylist()), [("a", "<u8"), ("b", "<u2")])
+        first, second = grams["a"], grams["b"]
+        order = np.lexsort((second, first))
+        first, second = first[order], second[order]
+        distinct = 1 + np.count_nonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1]))
+        return pa.table({"c": pa.array([sum(table["total"].to_pylist())], pa.int64()), "d": pa.array([distinct], pa.int64())})
+
+    words = docs.select(F.transform(T.tokens(F.coalesce(F.col(text_col), F.lit(""))), lambda w: F.xxhash64(w)).alias("words"))
+    packed = words.mapInArrow(pack, "part int, grams binary, total long")
+    counted = packed.groupBy("part").applyInArrow(count, "c long, d long").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.coalesce(F.sum("d"), F.lit(0)).alias("n_distinct"))
     return counted.select("total", "n_distinct", F.bround(F.try_divide(100.0 * (F.col("total") - F.col("n_distinct")), F.col("total")), 2).alias("repeated_pct"))
 
 

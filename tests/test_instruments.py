@@ -212,3 +212,15 @@ def test_phrases_are_found_by_their_landmarks(spark):
     rows = spark.createDataFrame([("Something stirred.",), ("\u017fomething \u017ftirred, SHIVERS RAN DOWN",), ("The a\u0131r hummed",), ("prick l",)], "t string")
     counts = rows.select((census.phrase_count(F.col("t"), "uncanny") + census.phrase_count(F.col("t"), "cliche")).alias("n")).collect()
     assert [r["n"] for r in counts] == [1, 2, 1, 0]
+
+
+@pytest.mark.parametrize("most", [1, 50, 1_000_000])
+def test_repeated_ngrams_are_exchanged_in_parts(spark, most):
+    dice = random.Random(3)
+    texts = [" ".join(dice.choice("abc") for _ in range(dice.randrange(60))) for _ in range(80)] + ["", None, "a b c"]
+    found = census.repeated_ngrams(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), 4, most=most)
+    own = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in ((t or "").split() for t in texts)]
+    total, distinct = sum(map(len, own)), len(set().union(*own))
+    assert tuple(found.first())[:2] == (total, distinct)
+    assert "FlatMapGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(census.repeated_ngrams(spark.createDataFrame([("a b",)], "text string"), 4).first()) == (0, 0, None)
