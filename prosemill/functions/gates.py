@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.functions import patterns as P
 from prosemill.functions import text as T
+from prosemill.functions.hints import ALL, BITS
 from prosemill.functions.vocab import FUNCTION_WORDS, STOP_WORDS, TYPOGRAPHIC
 
 
@@ -16,12 +19,15 @@ def _starts(text: Column, pattern: str, flags: str = "") -> Column:
 
 def foreign_letters(text: Column) -> Column:
     """Characters beyond ASCII, typographic marks aside."""
-    return F.length(F.regexp_replace(text, rf"[\x00-\x7f{TYPOGRAPHIC}]", ""))
+    return F.length(F.regexp_replace(text, rf"[\x00-\x7f{TYPOGRAPHIC}]+", ""))
 
 
 def function_share(text: Column) -> Column:
     """Share of English function words; null where there are no words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z']+"), F.lit(0))
+    return _share_of(F.regexp_extract_all(F.lower(text), F.lit("[a-z']+"), F.lit(0)))
+
+
+def _share_of(words: Column) -> Column:
     known = F.size(F.filter(words, lambda w: w.isin(*FUNCTION_WORDS)))
     return F.try_divide(known.cast("double"), F.size(words).cast("double"))
 
@@ -65,44 +71,56 @@ def about_story(text: Column) -> Column:
     return opens & ~echo_kept(hit)
 
 
-def outline(text: Column, raw: Column) -> Column:
+def _always(gate: str, found: Column) -> Column:
+    return found
+
+
+def outline(text: Column, raw: Column, hinted: Callable[[str, Column], Column] = _always) -> Column:
     return (
-        (F.regexp_count(text, F.lit(P.java(P.ROMAN_HEAD))) >= 2)
+        hinted("roman", F.regexp_count(text, F.lit(P.java(P.ROMAN_HEAD))) >= 2)
         | text.rlike(P.java(P.OUTLINE_INTRO))
-        | text.rlike(P.java(P.INSTRUCTION_BULLET))
-        | text.rlike(P.java(P.SHEET_HEAD, "iu"))
+        | hinted("bullet", text.rlike(P.java(P.INSTRUCTION_BULLET)))
+        | hinted("sheet", text.rlike(P.java(P.SHEET_HEAD, "iu")))
         | (F.regexp_count(raw, F.lit(P.java(P.LETTER_BULLET))) >= 2)
         | (F.regexp_count(raw, F.lit(P.java(P.NUMBER_BULLET))) >= 2)
     )
 
 
-def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = None, max_words: int = 240) -> DataFrame:
+def with_gates(rows: DataFrame, text_col: str = "text", raw_col: str | None = None, max_words: int = 240, known: Column | None = None) -> DataFrame:
     """rows with ``hard`` and ``soft``, arrays of the gates that fired, in the order of evaluation.
 
     text_col is normalised text; raw_col (text_col where None) keeps its
-    lines. Null texts count as empty.
+    lines. Null texts count as empty. known: struct of the text's foreign
+    letters and hints (functions/hints.py), where it was looked through before.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     raw = text if raw_col is None else F.coalesce(F.col(raw_col), F.lit(""))
-    step = T.materialised(rows, "_t", text=text, raw=raw, words=T.tokens(text), stems=sentence_stems(text), foreign=foreign_letters(text), share=function_share(text))
+    looked = (foreign_letters(text), F.lit(ALL)) if known is None else (known["foreign"], known["hints"])
+    step = T.materialised(rows, "_t", text=text, raw=raw, words=T.tokens(text), stems=sentence_stems(text), foreign=looked[0], hints=looked[1])
     words = F.col("_t.words")
-    step = T.materialised(step, "_g", g8=T.gram_hashes(words, 8), g6=T.gram_hashes(words, 6), cohesion=cohesion(F.col("_t.stems")))
+    # Where no digits are, the words of the share are the tokens.
+    share = F.when(F.col("_t.text").rlike("[0-9]"), function_share(F.col("_t.text"))).otherwise(_share_of(words))
+    step = T.materialised(step, "_g", share=share, grams=T.loop_hashes(words), cohesion=cohesion(F.col("_t.stems")))
     n, t, r = F.size(words), F.col("_t.text"), F.col("_t.raw")
-    g8, g6 = F.col("_g.g8"), F.col("_g.g6")
+    g8, g6 = F.col("_g.grams.g8"), F.col("_g.grams.g6")
     band = (n >= 40) & (n <= max_words)
     distinct6 = F.try_divide(F.size(F.array_distinct(g6)).cast("double"), F.size(g6).cast("double"))
     loop = (n >= 9) & T.repeats(F.slice(g8, F.lit(1), F.greatest(F.size(g8) - 1, F.lit(0))))
-    foreign, share, cohesive = F.col("_t.foreign"), F.col("_t.share"), F.col("_g.cohesion")
+    foreign, share, cohesive = F.col("_t.foreign"), F.col("_g.share"), F.col("_g.cohesion")
+
+    def hinted(gate: str, found: Column) -> Column:
+        return F.when(F.col("_t.hints").bitwiseAND(BITS[gate]) != 0, found).otherwise(False)
+
     wide = foreign > F.greatest(F.lit(8.0), F.length(t) * 0.01)
     english = ~wide & ((foreign > 0) | (F.coalesce(share, F.lit(0.0)) >= 0.15))
     hard = (
         ("len", ~band),
         ("loop", loop),
-        ("format", t.rlike(P.java(P.FORMAT, "iu"))),
+        ("format", hinted("format", t.rlike(P.java(P.FORMAT, "iu")))),
         ("meta", about_story(t)),
-        ("define", t.rlike(P.java(P.DEFINE, "iu"))),
-        ("template", t.rlike(P.java(P.TEMPLATE_LABEL)) | t.rlike(P.java(P.TEMPLATE_HEAD))),
-        ("outline", outline(t, r)),
+        ("define", hinted("define", t.rlike(P.java(P.DEFINE, "iu")))),
+        ("template", hinted("label", t.rlike(P.java(P.TEMPLATE_LABEL))) | t.rlike(P.java(P.TEMPLATE_HEAD))),
+        ("outline", outline(t, r, hinted)),
         ("english", ~english),
         ("meta", lead_speech(t)),
         ("incoherent", cohesive < 0.10),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Every code point that separates words, for Java patterns.
 WS = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
+WS_NOT_SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}&&[^ ]]"
 WORD = r"[a-z0-9']+"
 SENTENCE_END = rf"(?<=[.!?]){WS}+|\n+"
 #: A closing mark, then at most one straight quote or bracket (fixed values).
@@ -32,8 +33,8 @@ def materialised(rows: DataFrame, name: str, **columns: Column) -> DataFrame:
 
 
 def normalise(text: Column) -> Column:
-    """Runs of white space become one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, f"{WS}+", " "))
+    """Runs of white space become one space; none at the ends. A space that stands alone is no match: most are."""
+    return F.trim(F.regexp_replace(text, f"{WS_NOT_SPACE}{WS}*| {WS}+", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -78,14 +79,39 @@ def ngrams(words: Column, n: int, drop_last: int = 0) -> Column:
     return let(words, of)
 
 
+def _joined(first: Column, then: Column, step: int) -> Column:
+    """Hashes of first at each place with then so many places on."""
+    m = F.greatest(F.size(then) - step, F.lit(0))
+    return F.zip_with(F.slice(first, F.lit(1), m), F.slice(then, F.lit(1 + step), m), lambda a, b: F.xxhash64(a, b))
+
+
 def gram_hashes(words: Column, n: int, drop_last: int = 0) -> Column:
-    """All n-grams of an array of words, as 64-bit hashes: for comparisons within one text, where they do not collide in practice."""
+    """All n-grams of an array of words, as 64-bit hashes: for comparisons within one text, where they do not collide in practice.
 
-    def of(w: Column) -> Column:
-        last = F.size(w) - n - drop_last
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
+    Each word is hashed once. Hashes of twice the words come from pairs of
+    neighbours, so the work for a gram grows with the logarithm of n.
+    """
 
-    return let(words, of)
+    def grown(block: Column, width: int, left: int, done: Column | None, held: int) -> Column:
+        """block: hashes of width words; done: hashes of the held words before, for the lower bits of n; left: the bits to come."""
+        if left & 1:
+            now = block if done is None else _joined(done, block, held)
+            if left == 1:
+                return now
+            return let(now, lambda d: let(_joined(block, block, width), lambda b: grown(b, 2 * width, left >> 1, d, held + width)))
+        return let(_joined(block, block, width), lambda b: grown(b, 2 * width, left >> 1, done, held))
+
+    grams = let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: grown(hashes, 1, n, None, 0))
+    return let(grams, lambda g: F.slice(g, F.lit(1), F.greatest(F.size(g) - drop_last, F.lit(0)))) if drop_last else grams
+
+
+def loop_hashes(words: Column) -> Column:
+    """Struct (g8, g6) of the hashes of all 8-grams and 6-grams, both from the same hashes of four words."""
+
+    def of(pairs: Column) -> Column:
+        return let(_joined(pairs, pairs, 2), lambda fours: F.struct(_joined(fours, fours, 4).alias("g8"), _joined(fours, pairs, 4).alias("g6")))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: let(_joined(hashes, hashes, 1), of))
 
 
 def repeats(items: Column) -> Column:
