@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,10 @@ def cut(df: DataFrame, clear: bool = False) -> DataFrame:
     if clear:
         _clear_exchanges(df)
     return done
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Compute df once and cut its lineage as cut does, by columns: whoever reads the result reads the columns needed only. For wide rows."""
+    path = f"{checkpoint_root(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -188,3 +188,11 @@ def test_pending_leaves(spark):
     leaves = table(spark, [(i, f"n{i}", "p") for i in range(6)], LEAVES)
     done = spark.createDataFrame([("n1",), ("n1",)], "n string")
     assert [r["idx"] for r in corpus.pending(leaves, done, shard=1, shards=2).orderBy("idx").collect()] == [3, 5]
+
+
+def test_choosing_among_draws_does_not_read_texts(spark, tmp_path):
+    leaves = spark.createDataFrame([(0, "a", "p"), (1, "b", "p")], "idx long, n string, p string")
+    draws = spark.createDataFrame([(i, a, f"text {i} {a}", "stop") for i in (0, 1) for a in (0, 1)], "idx long, att long, text string, stop string")
+    rows, _ = corpus.build(leaves, draws, config=corpus.BuildConfig(attempts=2))
+    plan = corpus.yields(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "prompt" not in plan
