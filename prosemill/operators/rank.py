@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +130,13 @@ def _features(rows: DataFrame, vector: str) -> DataFrame:
     return rows.withColumn("features", array_to_vector(normalised(F.col(vector))))
 
 
+def at_once(fit: Callable[..., DataFrame], settings: Iterable) -> list[DataFrame]:
+    """fit of every setting, side by side: a fit is many short jobs one after another, which leave most cores idle."""
+    settings = list(settings)
+    with ThreadPoolExecutor(max(len(settings), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(fit), settings))
+
+
 def probe(rows: DataFrame, key: str, vector: str, label: str, head: str = "logistic", k: int = 5, seed: int = 7) -> DataFrame:
     """(fold, auc) of a classifier head under cross-validation; head: logistic, network or trees."""
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
@@ -142,13 +151,14 @@ def probe(rows: DataFrame, key: str, vector: str, label: str, head: str = "logis
         "network": lambda: MultilayerPerceptronClassifier(layers=[size, 64, 2], maxIter=100, seed=seed),
         "trees": lambda: GBTClassifier(maxIter=20, maxDepth=3, seed=seed),
     }
-    parts = []
-    for fold in range(k):
+
+    def judged(fold: int) -> DataFrame:
         model = makers[head]().fit(ready.filter(F.col("fold") != fold))
         scored = model.transform(ready.filter(F.col("fold") == fold)).withColumn("p", vector_to_array("probability")[1])
-        parts.append(auc(scored, "label", "p").withColumn("fold", F.lit(fold)))
-    out = parts[0]
-    for part in parts[1:]:
+        return auc(scored, "label", "p").withColumn("fold", F.lit(fold))
+
+    out, *parts = at_once(judged, range(k))
+    for part in parts:
         out = out.unionByName(part)
     return out.select("fold", "auc")
 

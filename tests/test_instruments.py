@@ -224,3 +224,19 @@ def test_repeated_ngrams_are_exchanged_in_parts(spark, most):
     assert tuple(found.first())[:2] == (total, distinct)
     assert "FlatMapGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
     assert tuple(census.repeated_ngrams(spark.createDataFrame([("a b",)], "text string"), 4).first()) == (0, 0, None)
+
+
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    from pyspark.ml.classification import LogisticRegression
+
+    both, fit = threading.Barrier(2, timeout=60), LogisticRegression.fit
+
+    def together(self, *args):
+        both.wait()
+        return fit(self, *args)
+
+    monkeypatch.setattr(LogisticRegression, "fit", together)
+    rows = spark.createDataFrame([(i, [float(i % 2), 1.0, float(i % 5)], i % 2) for i in range(40)], "i long, v array<float>, y int")
+    assert {r["fold"]: r["auc"] for r in rank.probe(rows, "i", "v", "y", k=2).collect()} == {0: 1.0, 1: 1.0}
